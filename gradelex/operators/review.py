@@ -111,7 +111,7 @@ def concept_level(concepts: DataFrame, rows: DataFrame, default: str = "B1") ->
     """concepts (gloss, pos) with the lowest level of a row of the same normalised gloss and tag."""
     low = rows.select(norm_gloss(F.col("english")).alias("g"), "pos", level_index(F.col("level")).alias("li")).groupBy("g", "pos").agg(F.min("li").alias("li"))
     j = concepts.withColumn("g", norm_gloss(F.col("gloss"))).join(low, ["g", "pos"], "left")
-    return j.select("gloss", "pos", F.coalesce(F.element_at(F.array(*[F.lit(x) for x in LEVELS]), F.col("li")), F.lit(default)).alias("level"))
+    return j.select("gloss", "pos", F.when(F.col("li").isNull(), default).otherwise(F.element_at(F.array(*[F.lit(x) for x in LEVELS]), F.col("li"))).alias("level"))
 
 
 def apply_verdicts(items: DataFrame, verdicts: DataFrame) -> DataFrame:
@@ -139,11 +139,11 @@ def translate_blanks(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def recent_rejections(log: DataFrame, accepted: DataFrame, most: int) -> DataFrame:
-    """The `most` keys rejected last, latest first, then accepted keys not among them: place, key. log: key, ord."""
+    """The `most` keys rejected last, latest first, then accepted keys not among them, at place 0: place, key. log: key, ord."""
     last = log.groupBy("key").agg(F.max("ord").alias("ord"))
     top = last.orderBy(F.desc("ord"), "key").limit(most)
     shown = top.withColumn("place", F.row_number().over(Window.orderBy(F.desc("ord"), "key"))).select("place", "key")  # at most `most` rows
-    return shown.unionByName(accepted.select("key").distinct().join(shown.select("key"), "key", "left_anti").select(F.lit(None).cast("int").alias("place"), "key"))
+    return shown.unionByName(accepted.select("key").distinct().join(shown.select("key"), "key", "left_anti").select(F.lit(0).alias("place"), "key"))
 
 
 def pivot_concepts(rows: DataFrame, level: str) -> DataFrame:

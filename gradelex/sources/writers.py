@@ -28,7 +28,7 @@ def write_delivery(delivery: DataFrame, target: str) -> None:
     """Tab-separated files in lang=<lang> folders, each sorted by (lemma, rank), cells unquoted."""
     made = _beside(target)
     out = delivery.repartition("lang").sortWithinPartitions("lang", "lemma", "rank")
-    out.select("lang", *DELIVERY).write.partitionBy("lang").option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").option("escapeQuotes", False).csv(made)
+    out.select("lang", *DELIVERY).write.partitionBy("lang").option("sep", "\t").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("quote", "").option("emptyValue", "").option("escapeQuotes", False).csv(made)
     _swap(delivery.sparkSession, made, target)
 
 
@@ -36,7 +36,7 @@ def write_list(rows: DataFrame, target: str, order: list[Column | str], columns:
     """One list as one CSV file in the folder target: a list is a bounded file, so one task sorts and writes it. crlf ends
     lines with CR LF."""
     made = _beside(target)
-    w = rows.coalesce(1).sortWithinPartitions(*order).select(*columns).write.option("header", True).option("escape", '"').option("emptyValue", "")
+    w = rows.coalesce(1).sortWithinPartitions(*order).select(*columns).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("escape", '"').option("emptyValue", "")
     (w.option("lineSep", "\r\n") if crlf else w).csv(made)
     _swap(rows.sparkSession, made, target)
 
@@ -70,7 +70,7 @@ def append_log(events: DataFrame, target: str) -> None:
 def write_sample(sample: DataFrame, target: str) -> None:
     """Audit packs: one CSV folder per level."""
     made = _beside(target)
-    sample.repartition("level").sortWithinPartitions("level", "sample_index").write.partitionBy("level").option("header", True).option("escape", '"').csv(made)
+    sample.repartition("level").sortWithinPartitions("level", "sample_index").write.partitionBy("level").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("escape", '"').csv(made)
     _swap(sample.sparkSession, made, target)
 
 
