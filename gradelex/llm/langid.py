@@ -10,13 +10,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 17
 CHUNK = 400_000
-#: bound of the training sample: labelled documents and their length
-SAMPLE_DOCS, SAMPLE_CHARS = 2000, 3000
+#: bound of the training sample: labelled documents of each language and their length
+SAMPLE_DOCS, SAMPLE_CHARS = 200, 2000
 #: ISO 639-2 and 639-3 codes of the languages the profile table may name: fixed values
 ISO_CODES = {
     "eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "spa": "es", "nld": "nl", "dut": "nl", "swe": "sv", "ara": "ar", "zho": "zh", "chi": "zh", "cmn": "zh",
@@ -130,10 +130,35 @@ def sentences(texts: list[str]) -> Sentences:
     return Sentences(d, starts - begin[d], ends - begin[d] + mark[ends], mark[ends], weight, grams.ravel(), heads * 4, np.diff(np.append(heads, len(of))) * 4)
 
 
+def joined(texts: list[str]) -> Sentences:
+    """sentences() of many texts, made chunk by chunk so that only their n-grams stay in memory."""
+    parts, at, docs, grams = [], 0, 0, 0
+    while at < len(texts):
+        to, room = at, CHUNK
+        while to < len(texts) and (to == at or room >= len(texts[to])):
+            room -= len(texts[to])
+            to += 1
+        s = sentences(texts[at:to])
+        s.doc, s.head = s.doc + docs, s.head + grams
+        docs, grams, at = docs + to - at, grams + len(s.grams), to
+        parts.append(s)
+    return Sentences(*[np.concatenate([getattr(p, f) for p in parts]) for f in ("doc", "start", "end", "whole", "size", "grams", "head", "count")])
+
+
 def _scores(s: Sentences, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     if not len(s.head):
         return np.zeros((0, len(bias)), np.float32)
-    return np.add.reduceat(weights[s.grams], s.head, axis=0) / np.sqrt(s.count)[:, None] + bias
+    # block by block of sentences, so that the gathered weights stay small
+    total = []
+    for at in range(0, len(s.head), 4096):
+        head, count = s.head[at : at + 4096], s.count[at : at + 4096]
+        first, last = head[0], head[-1] + count[-1]
+        if last - first == count.sum():
+            total.append(np.add.reduceat(weights[s.grams[first:last]], head - first, axis=0))
+        else:
+            grams = s.grams[np.repeat(head - np.cumsum(count) + count, count) + np.arange(count.sum())]
+            total.append(np.add.reduceat(weights[grams], np.cumsum(count) - count, axis=0))
+    return np.concatenate(total) / np.sqrt(s.count)[:, None] + bias
 
 
 def decode(scores: np.ndarray, m: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -172,9 +197,9 @@ def _fit(s: Sentences, label: np.ndarray, codes: list[str], epochs: int, rate: f
 def _rough(s: Sentences, label: np.ndarray, n: int) -> np.ndarray:
     """Language of each sentence by n-gram counts under the given labels, refined once by its own judgement.
     Counts bear wrong labels well, as those only add a little of every n-gram to another language."""
-    seg = np.repeat(np.arange(len(s.head)), s.count)
+    seg = np.repeat(np.arange(len(s.head), dtype=np.int32), s.count)
     for _ in range(2):
-        counts = np.stack([np.bincount(s.grams[(label == y)[seg]], minlength=BUCKETS) for y in range(n)], 1) + 0.1
+        counts = np.stack([np.bincount(s.grams[(label == y)[seg]], minlength=BUCKETS) for y in range(n)], 1).astype(np.float32) + 0.1
         logs = np.log(counts / counts.sum(0)).astype(np.float32)
         label = _scores(s, logs, np.zeros(n, np.float32)).argmax(1)
     return label
@@ -188,7 +213,7 @@ def fit(texts: list[str], labels: list[str], codes: list[str], epochs: int = 4)
     if not known:
         raise ValueError("no labelled text to learn languages from")
     plain = ["".join(c for c in unicodedata.normalize("NFD", t) if not unicodedata.combining(c)) for t, _ in known]
-    s = sentences([t for t, _ in known] + plain)
+    s = joined([t for t, _ in known] + plain)
     label = np.array([y for _, y in known] * 2)[s.doc]
     agree = _rough(s, label, len(codes)) == label
     held = s.doc % len(known) % 5 == 4
@@ -200,8 +225,7 @@ def fit(texts: list[str], labels: list[str], codes: list[str], epochs: int = 4)
     model = _fit(*subset(agree & ~held if (agree & ~held).any() else agree), codes, epochs)
     test, truth = subset(agree & held)
     if len(truth):
-        # grams of a subset are not contiguous, so the held-out scores are taken from those of all
-        right = (np.sign(_scores(s, model.weights, model.bias)[np.flatnonzero(agree & held)]) == model.words[truth]).mean(0)
+        right = (np.sign(_scores(test, model.weights, model.bias)) == model.words[truth]).mean(0)
         odds = np.log((right * len(truth) + 1) / ((1 - right) * len(truth) + 1))
         model.trust = np.maximum(odds / odds.mean(), 0.05).astype(np.float32)
     return model
@@ -228,13 +252,16 @@ def read_label(label: str | None, names: dict[str, str]) -> str | None:
 
 
 def train(docs: DataFrame, profile: DataFrame) -> tuple[Model, dict[str, str]]:
-    """Model fitted to at most SAMPLE_DOCS documents with a known label and at most SAMPLE_CHARS characters, those with the
-    smallest hash of doc_id and text. That sample and the language table (one row per language) are all that reaches the driver."""
+    """Model fitted to at most SAMPLE_DOCS documents of each label, of at most SAMPLE_CHARS characters, those with the smallest hash of
+    doc_id and text. That sample and the language table (one row per language) are all that reaches the driver. The sample is a
+    windowed top-n, whose limit Spark applies before the shuffle too, so a frequent label moves no more rows than a rare one."""
     rows = [r.asDict() for r in profile.select("code", "directory", "display_name", "endonym").where("code is not null").limit(1000).collect()]
     names = label_codes(rows)
     spelled = F.trim(F.lower("lang"))
-    usable = docs.where(spelled.isin(*names) & (F.length("text") <= SAMPLE_CHARS) & (F.length("text") > 20)).select("text", "lang", F.xxhash64("doc_id", "text").alias("h"))
-    sample = usable.orderBy("h", "text", "lang").limit(SAMPLE_DOCS).collect()
+    code = F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), spelled)
+    usable = docs.where(spelled.isin(*names) & (F.length("text") <= SAMPLE_CHARS) & (F.length("text") > 20)).select("text", "lang", code.alias("code"), F.xxhash64("doc_id", "text").alias("h"))
+    place = F.row_number().over(Window.partitionBy("code").orderBy("h", "text", "lang"))
+    sample = usable.withColumn("k", place).where(F.col("k") <= SAMPLE_DOCS).orderBy("code", "k").collect()
     codes = [r["code"] for r in rows]
     return fit([r["text"] for r in sample], [read_label(r["lang"], names) for r in sample], codes), names
 
