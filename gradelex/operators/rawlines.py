@@ -24,19 +24,30 @@ def _kind(file_name: Column) -> Column:
     return F.when(base.endswith(".tsv"), "tsv").when(base == "expansion.csv", "expansion").otherwise("csv")
 
 
-def _parse(lines: DataFrame) -> DataFrame:
-    """Adds kind, quoted_well and cells. The line is split at its quotes: pieces at odd places lie inside quotes,
-    an empty piece between two of those is a doubled quote, and every other piece outside must begin and end
-    at a separator. Real separators become U+001F after the two characters used for that are escaped."""
-    sep = F.when(F.col("kind") == "tsv", "\t").otherwise(",")
+def _pieces(sep: str) -> Column:
+    """The line, between two separators, split at its quotes. The two characters used below for marks are escaped."""
     text = F.replace(F.replace("line", F.lit(_ESC), F.lit(_ESC + "s")), F.lit(_CELL), F.lit(_ESC + "u"))
-    df = lines.withColumn("kind", _kind(F.col("file_name"))).withColumn("sep", sep).withColumn("pieces", F.split(text, '"', -1))
-    n = F.size("pieces")
-    outside = F.transform("pieces", lambda p, i: (i % 2 == 1) | (n == 1) | F.when(i == 0, (p == "") | p.endswith(F.col("sep"))).when(i == n - 1, (p == "") | p.startswith(F.col("sep"))).otherwise((p == "") | (p.startswith(F.col("sep")) & p.endswith(F.col("sep")))))
-    df = df.withColumn("quoted_well", (n % 2 == 1) & F.forall(outside, lambda x: x))
-    plain = F.transform("pieces", lambda p, i: F.when(i % 2 == 1, p).when((p == "") & (i > 0) & (i < n - 1), '"').otherwise(F.replace(p, F.col("sep"), F.lit(_CELL))))
-    cells = F.transform(F.split(F.array_join(plain, ""), _CELL, -1), lambda c: F.replace(F.replace(c, F.lit(_ESC + "u"), F.lit(_CELL)), F.lit(_ESC + "s"), F.lit(_ESC)))
-    return df.withColumn("cells", cells).drop("pieces", "sep")
+    return F.split(F.concat(F.lit(sep), text, F.lit(sep)), '"', -1)
+
+
+def _well_quoted(sep: str) -> Column:
+    """Pieces at odd places lie inside quotes. One outside must begin and end at a separator, or be empty, which is a doubled quote.
+    Lambdas refer to nothing but their piece and its place: whatever else they named would be computed for each piece."""
+    outside = F.transform(_pieces(sep), lambda p, i: (i % 2 == 1) | (p == "") | (p.startswith(sep) & p.endswith(sep)))
+    return (F.size(outside) % 2 == 1) & F.forall(outside, lambda x: x)
+
+
+def _cells(sep: str) -> Column:
+    plain = F.transform(_pieces(sep), lambda p, i: F.when(i % 2 == 1, p).when(p == "", '"').otherwise(F.replace(p, F.lit(sep), F.lit(_CELL))))
+    inner = F.regexp_replace(F.array_join(plain, ""), rf"\A{_CELL}|{_CELL}\z", "")
+    return F.transform(F.split(inner, _CELL, -1), lambda c: F.replace(F.replace(c, F.lit(_ESC + "u"), F.lit(_CELL)), F.lit(_ESC + "s"), F.lit(_ESC)))
+
+
+def _parse(lines: DataFrame) -> DataFrame:
+    """Adds kind, quoted_well and cells."""
+    tsv = F.col("kind") == "tsv"
+    either = lambda f: F.when(tsv, f("\t")).otherwise(f(","))
+    return lines.withColumn("kind", _kind(F.col("file_name"))).withColumn("quoted_well", either(_well_quoted)).withColumn("cells", either(_cells))
 
 
 def _breaks(rule: Column, v: Column) -> Column:
