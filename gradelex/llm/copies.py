@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradelex.functions.text import nfc
+from gradelex.functions.text import nfc_fold
 from gradelex.operators.spread import join_groups
 
 
 def _plain(c: Column) -> Column:
-    """Letters, digits and marks in one case; null counts as empty. lower(upper()) also folds letters such as sharp s."""
-    return F.coalesce(F.regexp_replace(F.lower(F.upper(nfc(c))), r"[^\p{L}\p{N}\p{M}]", ""), F.lit(""))
+    """Letters, digits and marks in one case and one canonical spelling; null counts as empty."""
+    return F.coalesce(F.regexp_replace(nfc_fold(c), r"[^\p{L}\p{N}\p{M}]", ""), F.lit(""))
 
 
 def _sum_hash(names: list[Column | None], values: list[Column], seed: int) -> Column:
