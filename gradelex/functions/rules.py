@@ -130,8 +130,8 @@ def text_problem(c: Column) -> Column:
 
 def last_json(text: Column) -> Column:
     """The last fenced, braced or bracketed block of a model's answer, or null."""
-    fenced = F.element_at(F.regexp_extract_all(text, F.lit(r"(?s)```(?:json)?\s*(.*?)```"), 1), -1)
-    bare = F.element_at(F.regexp_extract_all(text, F.lit(r"(\{[^{}]*\}|\[[^\[\]]*\])"), 1), -1)
+    fenced = F.try_element_at(F.regexp_extract_all(text, F.lit(r"(?s)```(?:json)?\s*(.*?)```"), 1), F.lit(-1))
+    bare = F.try_element_at(F.regexp_extract_all(text, F.lit(r"(\{[^{}]*\}|\[[^\[\]]*\])"), 1), F.lit(-1))
     return F.coalesce(F.when(text.contains("```"), strip_ws(fenced)), bare)
 
 
