@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 17
 CHUNK = 400_000
 #: bound of the training sample: labelled documents of each language and their length
-SAMPLE_DOCS, SAMPLE_CHARS = 200, 2000
+SAMPLE_DOCS, SAMPLE_CHARS = 400, 2000
 #: ISO 639-2 and 639-3 codes of the languages the profile table may name: fixed values
 ISO_CODES = {
     "eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "spa": "es", "nld": "nl", "dut": "nl", "swe": "sv", "ara": "ar", "zho": "zh", "chi": "zh", "cmn": "zh",
@@ -75,8 +75,8 @@ class Sentences:
 
 
 def sentences(texts: list[str]) -> Sentences:
-    """Sentences with letters outside quotes, of all texts at once. A sentence ends after . ! ? or the like, unless a
-    digit follows, and at a line break; only one closed by such a mark is whole."""
+    """Sentences with letters outside quotes, of all texts at once. A sentence ends after . ! ? or the like, unless
+    digits stand on both sides, and at a line break; only one closed by such a mark is whole."""
     is_letter, lower, upper, size = _letters()
     joined = "\n".join(texts) + "\n"
     cp = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
@@ -89,13 +89,16 @@ def sentences(texts: list[str]) -> Sentences:
         hidden[m.start()] += 1
         hidden[m.end()] -= 1
     open_ = np.cumsum(hidden[:-1]) == 0
-    nxt = np.append(cp[1:], 10)
-    mark = np.isin(cp, [ord(c) for c in ENDS]) & ~((nxt >= 48) & (nxt <= 57)) & open_
+    digit = (cp >= 48) & (cp <= 57)
+    inner = np.concatenate([[False], digit[:-1]]) & np.append(digit[1:], False)
+    mark = np.isin(cp, [ord(c) for c in ENDS]) & ~inner & open_
     breaks = np.flatnonzero((cp == 10) | (cp == 13))
     seen = np.flatnonzero(~np.isin(cp, (9, 10, 13, 32)))
     after = np.append(seen, n - 1)[np.searchsorted(seen, breaks)]
-    # CR LF before a small letter is a break inside a sentence
-    inside = (is_letter[cp[after]] & (upper[cp[after]] != cp[after]) & (doc[after] == doc[breaks])) & ((cp[breaks] == 13) | (cp[np.maximum(breaks - 1, 0)] == 13))
+    # CR LF before a small letter or a blank is a break inside a sentence
+    blank_next = np.append(cp, [10, 10])[breaks + 1 + (cp[breaks] == 13)] == 32
+    small_next = is_letter[cp[after]] & (upper[cp[after]] != cp[after]) & (doc[after] == doc[breaks])
+    inside = (small_next | blank_next) & ((cp[breaks] == 13) | (cp[np.maximum(breaks - 1, 0)] == 13))
     stop = mark.copy()
     stop[breaks[~inside]] = True
     sent = np.cumsum(stop) - stop
@@ -275,8 +278,8 @@ UNSEEN = 0.02
 def identify(texts: list[str], m: Model) -> list[list[tuple[int, int, int, float, bool]]]:
     """For each text its segments (start, end, language, confidence, whole): neighbouring sentences of one language.
 
-    A short sentence or one of low confidence is judged with the shares of the text's surely found languages as a
-    prior. Sentences that are not whole only count if no sentence of the text is; else they go with a language it has.
+    A sentence of low confidence is judged with the shares of the text's surely found languages as a prior; a short
+    one can only have one of those. Sentences that are not whole only count if no sentence of the text is; else they go with a language it has.
     """
     out: list[list[tuple[int, int, int, float, bool]]] = [[] for _ in texts]
     s = sentences(texts)
@@ -296,7 +299,7 @@ def identify(texts: list[str], m: Model) -> list[list[tuple[int, int, int, float
     np.add.at(share, (s.doc[sure], lang[sure]), s.size[sure])
     share[np.arange(len(texts)), main] += 1
     share /= share.sum(1, keepdims=True)
-    lang = np.where(sure, lang, (p * (share[s.doc] + UNSEEN)).argmax(1))
+    lang = np.where(sure, lang, (p * (share[s.doc] + UNSEEN * (s.size >= LEAST_LETTERS)[:, None])).argmax(1))
     few = ~use & (share[s.doc, lang] == 0)
     lang[few] = main[s.doc[few]]
     conf = p[np.arange(len(lang)), lang]
