@@ -6,16 +6,33 @@ import atexit
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list[tuple[SparkSession, str]] = []
+_shipped: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the executors' Python this package, once per application; the driver serves the archive."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    home = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="gradelex-")) / "gradelex.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(home.rglob("*.py")):
+            z.write(f, f.relative_to(home.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or a temporary folder where it is unset (local mode)."""
     conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
