@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gradelex.operators.keep import numbered, running_sum
+
 
 def greedy_batches(rows: DataFrame, group: list[str], order: str, cost: str, cap: int, most: int) -> DataFrame:
     """rows with batch, numbered from 0 in each group: rows in order fill a batch until its cost would pass cap or it has `most`
@@ -38,15 +40,19 @@ def greedy_batches(rows: DataFrame, group: list[str], order: str, cost: str, cap
     return rows.repartition(*group).sortWithinPartitions(*group, order).mapInPandas(run, fields + ", batch bigint")
 
 
+def _part(order: str) -> Column:
+    """Stretches of the order column, a number, to count in."""
+    return F.floor(F.col(order) / 4096)
+
+
 def fixed_batches(rows: DataFrame, group: list[str], order: str, size: int) -> DataFrame:
-    w = Window.partitionBy(*group).orderBy(order)
-    return rows.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("bigint"))
+    """rows with batch, numbered from 0: each `size` rows of a group in order."""
+    return numbered(rows, group, [order], _part(order), "batch").withColumn("batch", F.floor((F.col("batch") - 1) / size).cast("bigint"))
 
 
 def exclusion_prefix(rows: DataFrame, group: list[str], order: str, cost: str, cap: int) -> DataFrame:
     """The longest beginning of each group whose summed cost stays within cap; costs are not negative."""
-    w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("running", F.sum(cost).over(w)).where(F.col("running") <= cap)
+    return running_sum(rows, group, [order], _part(order), cost, "running").where(F.col("running") <= cap)
 
 
 def halved(rows: DataFrame, batch: list[str], order: str, cost: str, cap: int) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gradelex.functions.rules import TARGETS, coarse_pos, gloss_pos
 from gradelex.functions.text import LEVELS, level_index, strip_ws
-from gradelex.operators.keep import keep_first, repeats
+from gradelex.operators.keep import keep_first, numbered, repeats
 
 # rows: lang, level, ord (unique), line, lemma, english, chinese, pos
 BANDS = ((1, 600, "A1"), (601, 1200, "A2"), (1201, 2200, "B1"), (2201, 4200, "B2"), (4201, 8200, "C1"))
@@ -79,10 +79,9 @@ def fuzzy_singletons(tagged: DataFrame) -> DataFrame:
 
 
 def positions(rows: DataFrame) -> DataFrame:
-    """rows with place, the 0-based position in their list by line; lists (list_id) are bounded files."""
-    from pyspark.sql import Window
-
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy("list_id").orderBy("line", "ord")) - 1)
+    """rows with place, the 0-based position in their list by line."""
+    part = F.coalesce(F.floor(F.col("line") / 500), F.lit(-1))
+    return numbered(rows, ["list_id"], ["line", "ord"], part, "place").withColumn("place", F.col("place") - 1)
 
 
 def _target(level):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,15 +28,31 @@ def keep_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return best.select(*keys, *[F.col("_x")[c].alias(c) for c in (*order, *rest)]).select(*df.columns)
 
 
+def _before(df: DataFrame, keys: list[str], what: Column) -> DataFrame:
+    """For each key and bucket _b what the smaller buckets of the key add up to, as _o. A window over one row per bucket."""
+    sizes = df.groupBy(*keys, "_b").agg(what.alias("_n"))
+    w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumn("_o", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+
+
+def numbered(df: DataFrame, keys: list[str], order: list, bucket: Column, name: str) -> DataFrame:
+    """df with `name`, the 1-based place of each row in its key by the order columns; rows equal in them have arbitrary different
+    places. Keys and bucket must not be null, and the bucket must not fall as the order rises.
+
+    Places are counted per (key, bucket) and shifted by the number of rows in smaller buckets, so a key that holds a third of all
+    rows is numbered by as many tasks as it has buckets."""
+    p = df.withColumn("_b", bucket)
+    w = Window.partitionBy(*keys, "_b").orderBy(*order)
+    return p.join(_before(p, keys, F.count(F.lit(1))), [*keys, "_b"]).withColumn(name, F.row_number().over(w) + F.col("_o")).drop("_b", "_o")
+
+
+def running_sum(df: DataFrame, keys: list[str], order: list, bucket: Column, value: str, name: str) -> DataFrame:
+    """df with `name`, the sum of the value over the rows of the key up to this one, found like numbered()."""
+    p = df.withColumn("_b", bucket)
+    w = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return p.join(_before(p, keys, F.sum(value)), [*keys, "_b"]).withColumn(name, F.sum(value).over(w) + F.col("_o")).drop("_b", "_o")
+
+
 def ranked(df: DataFrame, keys: list[str], text: str, name: str, prefix: int = 2) -> DataFrame:
-    """df with `name`, the 1-based place of each row by the text column within its key; equal texts have arbitrary different
-    places. Key columns must not be null.
-
-    Places are found per (key, first letters) and shifted by the number of rows with smaller first letters, so a
-    large key is ranked by as many tasks as it has beginnings instead of one."""
-    p = df.withColumn("_p", F.substring(F.coalesce(text, F.lit("")), 1, prefix))
-    sizes = p.groupBy(*keys, "_p").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_o", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    w = Window.partitionBy(*keys, "_p").orderBy(text)
-    return p.join(offsets, [*keys, "_p"]).withColumn(name, F.row_number().over(w) + F.col("_o")).drop("_p", "_o")
+    """df numbered by a text column; the buckets are the texts' first letters."""
+    return numbered(df, keys, [text], F.substring(F.coalesce(text, F.lit("")), 1, prefix), name)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradelex.functions.text import strip_ws
+from gradelex.operators.keep import numbered
 
 STRATA = ("edited", "pos_or_key_changed", "new_or_renamed", "unchanged")
 
@@ -80,9 +81,15 @@ def defect_rates(verdicts: DataFrame, by: list[str]) -> DataFrame:
 
 def spread_targets(rows: DataFrame, buckets: int, content: tuple[str, ...] = ("NOUN", "VERB", "ADJ", "ADV")) -> DataFrame:
     """rows of each list with bucket, 1 to `buckets`: content words first, then by line; bucket sizes differ by at most one, the
-    larger ones first. Lists are bounded files."""
-    w = Window.partitionBy("list_id").orderBy((~F.col("pos").isin(*content)).cast("int"), "line", "ord")
-    return rows.withColumn("bucket", F.ntile(buckets).over(w))
+    larger ones first. A row's bucket follows from its place and the size of its list, so no list is sorted by one task."""
+    later = (~F.col("pos").isin(*content)).cast("bigint")
+    part = later * 2**40 + F.coalesce(F.floor(F.col("line") / 500), F.lit(-1))
+    n = rows.groupBy("list_id").agg(F.count(F.lit(1)).alias("_n"))
+    p = numbered(rows.withColumn("_later", later), ["list_id"], ["_later", "line", "ord"], part, "_place").join(n, "list_id")
+    size, larger = F.floor(F.col("_n") / buckets), F.col("_n") % buckets
+    edge = larger * (size + 1)
+    nth = F.when(F.col("_place") <= edge, F.floor((F.col("_place") - 1) / (size + 1))).otherwise(larger + F.floor((F.col("_place") - 1 - edge) / F.greatest(size, F.lit(1))))
+    return p.withColumn("bucket", (nth + 1).cast("int")).drop("_later", "_place", "_n")
 
 
 def task_grid(phases: list[str], langs: list[str], levels: list[str], spark) -> DataFrame:

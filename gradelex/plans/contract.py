@@ -8,7 +8,7 @@ from gradelex.functions import rules
 from gradelex.functions.text import strip_ws
 from gradelex.operators import align, contract, quality
 from gradelex.plans.base import LEVEL_LIST, Registry, entries, level_no, norm, with_entry
-from gradelex.session import cut
+from gradelex.session import cut, table
 
 R = Registry()
 QUERIES, SQL = R.queries, R.sql
@@ -35,13 +35,15 @@ def norm_pivot(spark, d):
     return entries(spark, d).select("ord", rules.norm_pivot(F.col("chinese")).alias("pivot"), rules.concept_key(F.col("english"), F.col("pos")).alias("concept_key"))
 
 
-@R.add("clean_text", "WITH r AS (SELECT raw_id, trim(regexp_replace(raw_text, '\\r\\z', ''), ' ') AS s FROM raw_line WHERE NOT regexp_matches(raw_text, '[^\\x{20}-\\x{10FFFF}\\t\\r]') AND NOT regexp_matches(raw_text, '[\\x{7f}-\\x{a0}]')) SELECT raw_id, CASE WHEN starts_with(t, '\"') AND ends_with(t, '\"') THEN replace(substring(t, 2, greatest(length(t) - 2, 0)), '\"\"', '\"') ELSE t END AS unquoted, trim(translate(replace(s, '\"', ''), chr(9) || chr(13), '  '), ' ') AS clean FROM (SELECT *, regexp_replace(s, '^\\s+|\\s+$', '', 'g') AS t FROM r)")
-def clean_text(spark, d):
-    from gradelex.session import table
+# White_Space of Unicode, which RE2's \\s does not cover
+_SPACE = "[\\t-\\r \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
+_STRIP = lambda c: f"regexp_replace({c}, '^{_SPACE}+|{_SPACE}+$', '', 'g')"
+
 
-    r = table(spark, d, "raw_line").where(~F.col("raw_text").rlike(r"[^\x{20}-\x{10FFFF}\t\r]") & ~F.col("raw_text").rlike(r"[\x{7f}-\x{a0}]"))
-    s = F.trim(F.regexp_replace("raw_text", r"\r\z", ""))
-    return r.select("raw_id", rules.unquote(s).alias("unquoted"), rules.clean_lemma(s).alias("clean"))
+@R.add("clean_text", f"SELECT raw_id, CASE WHEN starts_with(t, '\"') AND ends_with(t, '\"') THEN replace(substring(t, 2, greatest(length(t) - 2, 0)), '\"\"', '\"') ELSE t END AS unquoted, {_STRIP("translate(replace(raw_text, chr(34), ''), chr(9) || chr(13), '  ')")} AS clean FROM (SELECT *, {_STRIP('raw_text')} AS t FROM raw_line)")
+def clean_text(spark, d):
+    r = F.col("raw_text")
+    return table(spark, d, "raw_line").select("raw_id", rules.unquote(r).alias("unquoted"), rules.clean_lemma(r).alias("clean"))
 
 
 @R.add("clean_gloss", with_entry("SELECT ord, trim(regexp_replace(regexp_replace(strip_accents(english), '[()/]', ' ', 'g'), '\\s+', ' ', 'g')) AS gloss FROM entry"))
