@@ -22,8 +22,6 @@ ALIAS_SUPPORT, ALIAS_SHARE = 3, 0.3
 RARE = 4
 #: glosses of up to so many letters are compared without each one of their letters, longer ones by halves
 SHORT = 64
-#: one in so many records with a typo is used to estimate the precision of the typo rule
-TYPO_LABELS = 16
 
 
 def _tokens(english: Column) -> Column:
@@ -163,28 +161,33 @@ def match_records(left: DataFrame, left_id: str, right: DataFrame, right_id: str
 
 
 def _typos(classes: DataFrame, open_: DataFrame, side, rule, tags: Column, one_null: Column, tail: Column) -> None:
-    """Rule 6: an exact join on what one edit or one swap leaves of a gloss: the gloss without one letter, or one of its halves."""
+    """Rule 6: an exact join on what one edit or one swap leaves of a gloss: the gloss without one letter, or one of its halves.
+    All glosses of the two sides are joined, so that each knows every gloss as close; then their classes, of which one must be open."""
     word = classes.where("toks is not null").select("e", F.explode("toks").alias("token")).distinct().groupBy("token").agg(F.count(F.lit(1)).alias("k"))
-    odd = classes.where("toks is not null").select("c", F.explode("toks").alias("token")).join(word.where(F.col("k") <= RARE), "token").select("c").distinct()
-    sampled = classes.where(F.col("z").isNotNull() & (F.pmod(F.xxhash64("c"), F.lit(TYPO_LABELS)) == 0))
-    typo = open_.where("z is null").unionByName(sampled).where("e is not null").join(odd, "c", "left_semi")
+    rare = classes.where("toks is not null").select("e", F.explode("toks").alias("token")).join(word.where(F.col("k") <= RARE), "token").select(F.col("e").alias("gloss")).distinct()
+    glosses = classes.where("e is not null").groupBy("e").agg((F.min("side") < F.max("side")).alias("twin"), F.collect_set(F.struct("side", "toks")).alias("s")).select("e", "twin", F.inline("s"))
     # short glosses: without each one of their letters; long ones: both halves, at the two lengths that a neighbour's halves may have
     less = "transform(sequence(1, length(e)), i -> xxhash64(concat(substring(e, 1, i - 1), substring(e, i + 1))))"
     halves = "flatten(transform(array(length(e) div 2 - 1, length(e) div 2), h -> array(xxhash64('p', left(e, h)), xxhash64('s', right(e, h)))))"
     keys = f"array_distinct(concat(array(xxhash64(e)), if(length(e) <= {SHORT} + 2, {less}, array()), if(length(e) >= {SHORT}, {halves}, array())))"
-    spread = lambda df: df.where("e is not null").withColumn("key", F.explode(F.expr(keys)))
-    every, some = spread(classes), spread(typo)
-    got = side(some, 0).join(side(every, 1), F.col("key1") == F.col("key2")).withColumn("own", F.col("c1")).unionByName(side(every, 0).join(side(some, 1), F.col("key1") == F.col("key2")).withColumn("own", F.col("c2")))
-    got = got.drop("key1", "key2").where(_close(F.col("e1"), F.col("e2")) & (F.col("e1") != F.col("e2"))).dropDuplicates(["c1", "c2", "own"])
+    spread = lambda k: glosses.where(F.col("side") == k).select(*[F.col(x).alias(f"{x}{k + 1}") for x in ("e", "toks", "twin")], F.explode(F.expr(keys)).alias("key"))
+    near = spread(0).join(spread(1), "key").where(_close(F.col("e1"), F.col("e2")) & (F.col("e1") != F.col("e2"))).drop("key").distinct()
+    # either of the two may be the mistyped one
+    near = near.withColumn("own", F.explode(F.array(F.lit(1), F.lit(2))))
+    one = lambda x, k: F.when(F.col("own") == k, F.col(f"{x}1")).otherwise(F.col(f"{x}2"))
+    near = near.withColumn("gloss", one("e", 1)).join(rare, "gloss", "left_semi")
     # the words in which the two differ: one each, or none where only the place of a gap differs
-    mine = F.when(F.col("own") == F.col("c1"), F.col("toks1")).otherwise(F.col("toks2"))
-    theirs = F.when(F.col("own") == F.col("c1"), F.col("toks2")).otherwise(F.col("toks1"))
-    got = got.withColumn("odd", F.array_except(mine, theirs)[0]).withColumn("usual", F.array_except(theirs, mine)[0])
-    got = got.join(word.select(F.col("token").alias("odd"), F.col("k").alias("ko")), "odd", "left").join(word.select(F.col("token").alias("usual"), F.col("k").alias("ku")), "usual", "left")
-    got = got.where((F.coalesce("ko", F.lit(1)) <= 1) | (F.col("ku") >= RARE * F.col("ko")))
-    other = F.when(F.col("own") == F.col("c1"), F.col("e2")).otherwise(F.col("e1"))
-    alone = got.groupBy("own").agg((F.min(other) == F.max(other)).alias("alone"))
-    rule(6, got.join(alone, "own"), tags & F.col("alone") & one_null, F.when(~one_null & F.col("alone") & tags, tail))
+    mine, theirs = one("toks", 1), one("toks", 2)
+    near = near.withColumn("odd", F.array_except(mine, theirs)[0]).withColumn("usual", F.array_except(theirs, mine)[0])
+    near = near.join(word.select(F.col("token").alias("odd"), F.col("k").alias("ko")), "odd", "left").join(word.select(F.col("token").alias("usual"), F.col("k").alias("ku")), "usual", "left")
+    near = near.where((F.coalesce("ko", F.lit(1)) <= 1) | (F.col("ku") >= RARE * F.col("ko")))
+    alone = near.groupBy("own", "gloss").agg(F.min(one("e", 2)).alias("least"), F.max(one("e", 2)).alias("most")).where("least = most").select("own", "gloss")
+    near = cut(near.join(alone, ["own", "gloss"]).select("e1", "toks1", "e2", "toks2", "own", one("twin", 1).alias("twin")))
+    marked = classes.join(open_.select("c", F.lit(True).alias("open")), "c", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    got = near.join(side(marked, 0), ["e1", "toks1"]).join(side(marked, 1), ["e2", "toks2"])
+    # a resolved class is mistyped only if its gloss stands in one list
+    mistyped = tags & (one("open", 1) | ~F.col("twin"))
+    rule(6, got, mistyped & one_null & (F.col("open1") | F.col("open2")), F.when(~one_null & mistyped, tail))
 
 
 def _members(pairs: DataFrame, classes: DataFrame, rows: list[DataFrame], left_id: str, right_id: str, total: int) -> DataFrame:

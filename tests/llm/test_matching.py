@@ -41,6 +41,32 @@ def test_typos(spark):
     assert (0, 0) in got and (0, 1) in got and (1, 2) in got
 
 
+ADJECTIVES = ["quiet", "cold", "rare", "heavy", "empty", "simple"]
+NOUNS = ["apple", "river", "engine", "window", "bottle", "garden"]
+
+
+def common_words(without):
+    """Glosses of common words only, with pivots."""
+    return [(f"{a} {n}", f"{chr(0x5000 + i)}{chr(0x6000 + j)}", "NOUN") for i, a in enumerate(ADJECTIVES) for j, n in enumerate(NOUNS) if (i, j) not in without]
+
+
+def test_every_mistyped_gloss_with_pivot_is_tried(spark):
+    own = [(i, i) for i in range(6)]
+    clean = [(f"{a} {n}", None, "NOUN") for a, n in zip(ADJECTIVES, NOUNS, strict=True)]
+    wrong = [(f"{a}{a[-1]} {n}", f"{chr(0x5000 + i)}{chr(0x6000 + i)}", "NOUN") for i, (a, n) in enumerate(zip(ADJECTIVES, NOUNS, strict=True))]
+    got = pairs(run(spark, clean + common_words(own), wrong + common_words(own)))
+    assert got == sorted([(i, i) for i in range(36)], key=repr)
+
+
+def test_a_resolved_mistyped_gloss_is_tried_for_open_ones(spark):
+    own = [(i, i) for i in range(6)]
+    clean = [(f"{a} {n}", None, "NOUN") for a, n in zip(ADJECTIVES, NOUNS, strict=True)]
+    full = [(f"{a} {n}", f"{chr(0x5000 + i)}{chr(0x6000 + i)}", "NOUN") for i, (a, n) in enumerate(zip(ADJECTIVES, NOUNS, strict=True))]
+    wrong = [(f"{e[: e.index(' ')]}{e[e.index(' ') - 1]} {e[e.index(' ') + 1 :]}", z, p) for e, z, p in full]
+    got = pairs(run(spark, clean + full + common_words(own), wrong + common_words(own)))
+    assert got == sorted([(k, i) for i in range(6) for k in (i, 6 + i)] + [(12 + i, 6 + i) for i in range(30)], key=repr)
+
+
 def test_repeats_count_and_large_classes(spark, monkeypatch):
     sv = [("deep well", "深井", "NOUN")] * 40 + [(f"w{i} stone", f"石{chr(0x4E00 + i)}", "NOUN") for i in range(30)]
     fr = [("deep well", "深井", "NOUN")] * 30 + [("Deep wells", "深井", None)] * 2 + [(f"w{i} stone", f"石{chr(0x4E00 + i)}", "NOUN") for i in range(20)]
