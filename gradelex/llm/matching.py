@@ -18,7 +18,7 @@ NOUN_TAGS, VERB_TAGS = ("noun", "n", "propn"), ("verb", "v", "aux")
 RULES = ("gloss+pivot+pos", "gloss+pivot", "pivot", "gloss", "gloss~pivot tail", "gloss typo")
 #: a token is another spelling of a commoner one if it takes its place in this many concepts and this share of its cases
 ALIAS_SUPPORT, ALIAS_SHARE = 3, 0.3
-#: a word of at most so many glosses may be a typo, unless the other word is not this many times as frequent
+#: a word may be a typo if it stands in one gloss only, or if the other word is this many times as frequent
 RARE = 4
 #: glosses of up to so many letters are compared without each one of their letters, longer ones by halves
 SHORT = 64
@@ -164,7 +164,6 @@ def _typos(classes: DataFrame, open_: DataFrame, side, rule, tags: Column, one_n
     """Rule 6: an exact join on what one edit or one swap leaves of a gloss: the gloss without one letter, or one of its halves.
     All glosses of the two sides are joined, so that each knows every gloss as close; then their classes, of which one must be open."""
     word = classes.where("toks is not null").select("e", F.explode("toks").alias("token")).distinct().groupBy("token").agg(F.count(F.lit(1)).alias("k"))
-    rare = classes.where("toks is not null").select("e", F.explode("toks").alias("token")).join(word.where(F.col("k") <= RARE), "token").select(F.col("e").alias("gloss")).distinct()
     glosses = classes.where("e is not null").groupBy("e").agg((F.min("side") < F.max("side")).alias("twin"), F.collect_set(F.struct("side", "toks")).alias("s")).select("e", "twin", F.inline("s"))
     # short glosses: without each one of their letters; long ones: both halves, at the two lengths that a neighbour's halves may have
     less = "transform(sequence(1, length(e)), i -> xxhash64(concat(substring(e, 1, i - 1), substring(e, i + 1))))"
@@ -175,7 +174,7 @@ def _typos(classes: DataFrame, open_: DataFrame, side, rule, tags: Column, one_n
     # either of the two may be the mistyped one
     near = near.withColumn("own", F.explode(F.array(F.lit(1), F.lit(2))))
     one = lambda x, k: F.when(F.col("own") == k, F.col(f"{x}1")).otherwise(F.col(f"{x}2"))
-    near = near.withColumn("gloss", one("e", 1)).join(rare, "gloss", "left_semi")
+    near = near.withColumn("gloss", one("e", 1))
     # the words in which the two differ: one each, or none where only the place of a gap differs
     mine, theirs = one("toks", 1), one("toks", 2)
     near = near.withColumn("odd", F.array_except(mine, theirs)[0]).withColumn("usual", F.array_except(theirs, mine)[0])

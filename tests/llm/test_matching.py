@@ -67,6 +67,14 @@ def test_a_resolved_mistyped_gloss_is_tried_for_open_ones(spark):
     assert got == sorted([(k, i) for i in range(6) for k in (i, 6 + i)] + [(12 + i, 6 + i) for i in range(30)], key=repr)
 
 
+def test_a_repeated_variant_of_a_common_word_is_tried(spark):
+    own = [(f"{a} harbour", f"{chr(0x5000 + i)}港", "NOUN") for i, a in enumerate(ADJECTIVES)]
+    more = [(f"{w}{v} harbour", f"{chr(0x5100 + i)}港", "NOUN") for i, (w, v) in enumerate((w, v) for w in ("kato", "lumi", "zefa") for v in ("ru", "nosi", "bade", "ti", "wug", "ximo"))]
+    variant = [(f"{a} harbor", None, "NOUN") for a in ADJECTIVES]
+    got = pairs(run(spark, own + more + common_words(()), variant + more + common_words(())))
+    assert got == sorted([(i, i) for i in range(6 + 18 + 36)], key=repr)
+
+
 def test_repeats_count_and_large_classes(spark, monkeypatch):
     sv = [("deep well", "深井", "NOUN")] * 40 + [(f"w{i} stone", f"石{chr(0x4E00 + i)}", "NOUN") for i in range(30)]
     fr = [("deep well", "深井", "NOUN")] * 30 + [("Deep wells", "深井", None)] * 2 + [(f"w{i} stone", f"石{chr(0x4E00 + i)}", "NOUN") for i in range(20)]
