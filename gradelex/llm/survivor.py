@@ -44,9 +44,9 @@ def survivors(copies: DataFrame, origin_trust: DataFrame, fields: tuple[str, ...
     2^fields cells for each level of trust, however many copies it has.
     Layers: candidates sorted by (trust, recency, completeness) follow all that dominate them, so one fold over at
     most that many candidates gives each its layer, one more than the highest among its dominators.
-    Fields: the skyline's lexicographic best gives what it has; a field it lacks is filled from the successive
-    layers of the candidates that have the field, in the policy's order of trust, recency, smallest id. The
-    first in that order is never dominated by another candidate with the field, so it stands in their first layer.
+    Fields: the best candidate that has the field, by trust, recency, smallest id; the layers play no part in it. Of two
+    candidates equal in trust and recency the less complete one is dominated, yet it gives its value if its id is smaller,
+    and one without the field may dominate a candidate that has it. Only the columns skyline and layers read the fold.
     """
     trust = F.broadcast(origin_trust.groupBy("origin").agg(F.max("trust").alias("trust")))  # one row per origin, six of them
     key = ["lang", "lemma", "upos"]

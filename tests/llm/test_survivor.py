@@ -76,6 +76,15 @@ def test_layers(spark):
     assert got == want
 
 
+def test_dominated_candidates_give_their_field(spark):
+    trust = spark.createDataFrame(list(TRUST.items()), "origin string, trust int")
+    row = lambda i, lemma, english, chinese, origin, day: (i, "en", "A1", lemma, english, chinese, "X", origin, T0 + timedelta(days=day), "", "", "")
+    # u: 1 is as trusted and late as 2, which is more complete; w: 3 has no English and dominates 4, which is more trusted than 5 of the skyline
+    rows = [row(1, "u", "house", None, "manual", 1), row(2, "u", "barn", "仓", "manual", 1), row(3, "w", None, "房", "manual", 2), row(4, "w", "house", None, "manual", 1), row(5, "w", "barn", "仓", "scrape", 0)]
+    got = survivors(spark.createDataFrame(rows, SCHEMA), trust)
+    assert rows_of(got, "lemma", "kept_english_lemma", "kept_chinese_lemma", "skyline", "layers") == [("u", "house", "仓", 1, 2), ("w", "house", "房", 2, 2)]
+
+
 def test_empty_and_repeated(spark):
     trust = spark.createDataFrame([("manual", 5), ("manual", 5)], "origin string, trust int")
     df = spark.createDataFrame([(1, "en", "A1", "w", "g" * 100_000, None, "X", "manual", None, "", "", "")] * 2, SCHEMA)
