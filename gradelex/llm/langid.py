@@ -22,7 +22,7 @@ ISO_CODES = {
     "eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "spa": "es", "nld": "nl", "dut": "nl", "swe": "sv", "ara": "ar", "zho": "zh", "chi": "zh", "cmn": "zh",
     "ita": "it", "por": "pt", "dan": "da", "nor": "no", "fin": "fi", "rus": "ru", "pol": "pl", "jpn": "ja", "kor": "ko", "tur": "tr",
 }
-QUOTED = re.compile("[“„”«\"][^“„”«»\"\n]{0,200}[“”»\"]")
+QUOTED = re.compile("[“„”«\"][^“„”«»\"\n]*[“”»\"]")
 ENDS = ".!?。！？؟۔"
 
 
@@ -269,7 +269,7 @@ def train(docs: DataFrame, profile: DataFrame) -> tuple[Model, dict[str, str]]:
     return fit([r["text"] for r in sample], [read_label(r["lang"], names) for r in sample], codes), names
 
 
-#: a second language needs a sentence of this many letters (an ideograph counts as three) and this confidence
+#: a second language is sure by a sentence of this many letters (an ideograph counts as three) and this confidence
 LEAST_LETTERS, LEAST_CONFIDENCE = 8, 0.9
 #: prior of a language that no sure sentence of the text has
 UNSEEN = 0.02
@@ -278,8 +278,8 @@ UNSEEN = 0.02
 def identify(texts: list[str], m: Model) -> list[list[tuple[int, int, int, float, bool]]]:
     """For each text its segments (start, end, language, confidence, whole): neighbouring sentences of one language.
 
-    A sentence of low confidence is judged with the shares of the text's surely found languages as a prior; a short
-    one can only have one of those. Sentences that are not whole only count if no sentence of the text is; else they go with a language it has.
+    A sentence of low confidence or few letters is judged with the shares of the text's surely found languages as a prior, in
+    which every other language has UNSEEN. Sentences that are not whole only count if no sentence of the text is; else they go with a language it has.
     """
     out: list[list[tuple[int, int, int, float, bool]]] = [[] for _ in texts]
     s = sentences(texts)
@@ -299,7 +299,7 @@ def identify(texts: list[str], m: Model) -> list[list[tuple[int, int, int, float
     np.add.at(share, (s.doc[sure], lang[sure]), s.size[sure])
     share[np.arange(len(texts)), main] += 1
     share /= share.sum(1, keepdims=True)
-    lang = np.where(sure, lang, (p * (share[s.doc] + UNSEEN * (s.size >= LEAST_LETTERS)[:, None])).argmax(1))
+    lang = np.where(sure, lang, (p * (share[s.doc] + UNSEEN)).argmax(1))
     few = ~use & (share[s.doc, lang] == 0)
     lang[few] = main[s.doc[few]]
     conf = p[np.arange(len(lang)), lang]

@@ -64,6 +64,15 @@ def test_segments_quotes_and_fragments(model):
     assert got[3] == got[4] == got[5] == []
 
 
+def test_short_whole_sentences_and_long_quotes(model):
+    r = random.Random(5)
+    de, en = sentence(r, "de"), sentence(r, "en")
+    long = " ".join([en[:-1]] * 12)
+    got = L.identify([f"{de} {de} Le pain.", f"{de} {de} 面包。", f"{de} Das Brot.", f"{de} “{long}” {de}", f"{de} “{long}.” {de}"], model)
+    langs = [[model.codes[y] for _, _, y, _, w in g if w] for g in got]
+    assert len(long) > 200 and langs == [["de", "fr"], ["de", "zh"], ["de"], ["de"], ["de"]]
+
+
 def test_chunks_do_not_show(model, monkeypatch):
     r = random.Random(6)
     texts = [sentence(r, r.choice(list(PARTS))) * r.randrange(4) for _ in range(60)]
