@@ -24,6 +24,14 @@ def test_every_constraint_holds(sizes, rule, docs):
         assert ((load * 2 <= 50) & ~full).sum() <= 1
 
 
+def test_attention_cost_binds_below_the_square_of_the_capacity():
+    s = np.array([20, 20, 20, 20, 5, 5])
+    for rule in ("norm", "dot"):
+        b = fill.best_fit(s, 50, 9, 50**2 * 0.2, rule)
+        assert b.max() + 1 == 4 and all((s[b == k] ** 2).sum() <= 500 for k in range(4))
+        assert fill.best_fit(s, 50, 9, 50**2, rule).max() + 1 == 2
+
+
 def test_close_to_the_least_number():
     r = np.random.default_rng(2)
     s = np.minimum(r.lognormal(5, 1, 8192).astype(np.int64) + 1, 2048)
