@@ -56,10 +56,12 @@ def exclusion_prefix(rows: DataFrame, group: list[str], order: str, cost: str, c
 
 
 def halved(rows: DataFrame, batch: list[str], order: str, cost: str, cap: int) -> DataFrame:
-    """rows with part: a batch over the cap is halved again and again until each part fits or is one row. Batches are short, so
-    each is cut by one window over its own rows and at most ten rounds."""
+    """rows with part: a batch over the cap is halved again and again until each part fits or is one row. A batch is
+    cut by one window over its own rows in as many rounds as the largest batch can need, ten at least, so that parts keep their
+    numbers; the size of that batch is counted first."""
+    most = rows.groupBy(*batch).count().agg(F.max("count")).first()[0] or 1
     out = rows.withColumn("part", F.lit(0).cast("bigint"))
-    for _ in range(10):
+    for _ in range(max(10, (most - 1).bit_length())):
         key = [*batch, "part"]
         w = Window.partitionBy(*key)
         n, total, place = F.count(F.lit(1)).over(w), F.sum(cost).over(w), F.row_number().over(w.orderBy(order))

@@ -109,6 +109,13 @@ def test_batches(spark):
     assert all(p.c <= 100 or p.n == 1 for p in parts)
 
 
+def test_large_batches_are_halved_to_the_end(spark):
+    rows = spark.range(1500).select(F.lit("l").alias("g"), F.col("id").alias("ord"), F.lit(60).alias("cost"))
+    parts = batching.halved(rows, ["g"], "ord", "cost", 100).groupBy("part").agg(F.count("*").alias("n")).collect()
+    assert len(parts) == 1500 and all(p.n == 1 for p in parts)
+    assert batching.halved(rows.limit(0), ["g"], "ord", "cost", 100).count() == 0
+
+
 def test_list_files(spark, entry, tmp_path):
     rows = entry(("de", "A1", "b\"c", "x, y", "", "NOUN"), ("de", "A1", " A", "", "字", "VERB"))
     writers.write_level(rows, str(tmp_path / "out"))
