@@ -92,6 +92,8 @@ def match_records(left: DataFrame, left_id: str, right: DataFrame, right_id: str
 
     Confidence of a rule: (right + 1) / (labelled + 2). labels: (left_id, right_id, same boolean); where it is not
     given, a rule's pairs are labelled by an attribute the rule does not use (the tag, or the pivot where both have one).
+    Rule 1 uses all attributes, so none is left to label its pairs: they count as right, also where rules 2 and 4 are judged,
+    whose conditions they meet, and its confidence tells their number only. Rule 6 is judged by all its pairs with two pivots.
     Records without gloss and pivot match nothing. Repeated rows each count; further columns are ignored; empty tables give no pairs.
     Only classes are joined while matching; their members meet at the end, with salts for large classes.
     """
