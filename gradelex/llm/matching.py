@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradelex.functions.text import key64
-from gradelex.operators.spread import join_groups
+from gradelex.operators.spread import hot_keys, split_join
 from gradelex.session import cut
 
 #: words that carry no sense in a gloss: fixed values
@@ -22,6 +22,8 @@ ALIAS_SUPPORT, ALIAS_SHARE = 3, 0.3
 RARE = 4
 #: glosses of up to so many letters are compared without each one of their letters, longer ones by halves
 SHORT = 64
+#: classes of one pivot or gloss, and members or pairs of one class, that are joined in one stretch
+CLASSES, MEMBERS = 2_000, 50_000
 
 
 def _tokens(english: Column) -> Column:
@@ -77,10 +79,13 @@ def _close(a: Column, b: Column) -> Column:
     return d.isin(0, 1) | ((d == 2) & (letters(a) == letters(b)))
 
 
-def match_records(left: DataFrame, left_id: str, right: DataFrame, right_id: str, labels: DataFrame | None = None) -> DataFrame:
-    """Pairs (left_id, right_id, rule, confidence) of records that mean the same, by english_lemma, chinese_lemma and pos.
+def match_classes(left: DataFrame, left_id: str, right: DataFrame, right_id: str, labels: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(pairs, members) by english_lemma, chinese_lemma and pos. Records that agree in all normalised attributes are one class.
+
+    pairs: c1, c2 (classes of the left and of the right table that mean the same), n1, n2 (their records), first1, first2 (their smallest
+    ids), rule and confidence. members: side (0 left, 1 right), id, c of every record that has a gloss or pivot.
 
-    Records that agree in all normalised attributes are one class; the cascade joins classes exactly:
+    The cascade joins classes exactly:
     1 gloss, pivot and tag; 2 gloss and pivot; 3 pivot, where the glosses are close, differ in one word, or one is missing;
     4 gloss, where a pivot is missing and the gloss has one sense only, or one pivot is the tail of the other;
     5 pivot against pivot without its first character, where the glosses are close or differ in one word after the first;
@@ -90,21 +95,24 @@ def match_records(left: DataFrame, left_id: str, right: DataFrame, right_id: str
     open. Tags must agree unless one is missing. Glosses are compared after frequent synonyms and typos, learnt from
     the records themselves, are replaced.
 
-    Confidence of a rule: (right + 1) / (labelled + 2). labels: (left_id, right_id, same boolean); where it is not
-    given, a rule's pairs are labelled by an attribute the rule does not use (the tag, or the pivot where both have one).
-    Rule 1 uses all attributes, so none is left to label its pairs: they count as right, also where rules 2 and 4 are judged,
-    whose conditions they meet, and its confidence tells their number only. Rule 6 is judged by all its pairs with two pivots.
+    Confidence of a rule: (right + 1) / (labelled + 2). labels: (left_id, right_id, same boolean). Without them a pair is labelled by an
+    attribute held back from the rule, and only pairs that have it in both records count:
+    2, 3, 5 by the tag; 6 by the pivot; 4 by the right record's pivot, where the left list alone decides whether the gloss has one sense.
+    1 holds nothing back. Wrong pairs of rule 2's condition show as different tags; of all its wrong pairs the share that two tags agree by chance
+    has equal tags, so disagreeing pairs * chance / (1 - chance) is the number of wrong pairs expected among rule 1's.
+
+    A pivot or gloss of very many classes is joined in stretches (spread.split_join), so that none lands in one task.
     Records without gloss and pivot match nothing. Repeated rows each count; further columns are ignored; empty tables give no pairs.
-    Only classes are joined while matching; their members meet at the end, with salts for large classes.
     """
     rows = [_rows(left, left_id, 0), _rows(right, right_id, 1)]
-    classes = rows[0].unionByName(rows[1]).where("toks is not null or z is not null").groupBy("c", "side", "z", "p").agg(F.any_value("toks").alias("toks"), F.count(F.lit(1)).alias("n"))
+    classes = rows[0].unionByName(rows[1]).where("toks is not null or z is not null").groupBy("c", "side", "z", "p").agg(F.any_value("toks").alias("toks"), F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
     classes = cut(classes)
     classes = cut(_renamed(classes, _aliases(classes)))
+    total = classes.count()
     cols = ["c", "e", "z", "p", "toks"]
 
     def side(df: DataFrame, k: int) -> DataFrame:
-        return df.where(F.col("side") == k).select(*[F.col(x).alias(f"{x}{k + 1}") for x in cols], *[F.col(x).alias(f"{x}{k + 1}") for x in df.columns if x not in (*cols, "side", "n")])
+        return df.where(F.col("side") == k).select(*[F.col(x).alias(f"{x}{k + 1}") for x in cols], *[F.col(x).alias(f"{x}{k + 1}") for x in df.columns if x not in (*cols, "side", "n", "first")])
 
     tags = F.col("p1").isNull() | F.col("p2").isNull() | (F.col("p1") == F.col("p2"))
     one_null = F.col("z1").isNull() | F.col("z2").isNull()
@@ -116,6 +124,8 @@ def match_records(left: DataFrame, left_id: str, right: DataFrame, right_id: str
     by_tag = F.when(F.col("p1").isNotNull() & F.col("p2").isNotNull(), F.col("p1") == F.col("p2"))
     # a pivot may lack its first part only if the gloss has a word for that part
     tail = (F.col("z1") == F.col("z2")) | ((F.size("toks1") > 1) & (F.col("z1").endswith(F.col("z2")) | F.col("z2").endswith(F.col("z1"))))
+    none = F.lit(None).cast("boolean")
+    hot = _crowded(classes, total)
     found: list[DataFrame] = []
     open_ = classes
 
@@ -126,43 +136,74 @@ def match_records(left: DataFrame, left_id: str, right: DataFrame, right_id: str
         got = cut(candidates.select("c1", "c2", F.coalesce(ok, F.lit(False)).alias("ok"), label.alias("label"), F.lit(number).alias("rule")).where("ok or label is not null").distinct())
         found.append(got)
         new = got.where("ok").select(F.explode(F.array("c1", "c2")).alias("c"))
-        open_ = cut(open_.join(new, "c", "left_anti"))
+        open_ = cut(open_.join(new.hint("merge"), "c", "left_anti"))
 
-    def both_ways(keys: Column) -> DataFrame:
+    def both_ways(*on: str, also: Column | None = None) -> DataFrame:
         """Open classes of either side against all classes of the other."""
-        a = side(open_, 0).join(side(classes, 1), keys)
-        return a if open_ is classes else a.unionByName(side(classes, 0).join(side(open_, 1), keys))
-
-    has = lambda *names: reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in names])
-    rule(1, both_ways((F.col("e1") == F.col("e2")) & (F.col("z1") == F.col("z2")) & (F.col("p1") == F.col("p2"))), F.lit(True), F.lit(True))
-    rule(2, both_ways((F.col("e1") == F.col("e2")) & (F.col("z1") == F.col("z2"))), tags, by_tag)
-    rule(3, both_ways(F.col("z1") == F.col("z2")), tags & (~has("e1", "e2") | near), F.when(near | ~has("e1", "e2"), by_tag))
+        has = reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in on])
+        every, still = classes.where(has), open_.where(has)
+        keys, crowd = [(f"{x}1", f"{x}2") for x in on], hot.get(on[0], []) if len(on) == 1 else []
+        a = split_join(side(still, 0), side(every, 1), keys, crowd, ("c1", "c2"), also)
+        return a if open_ is classes else a.unionByName(split_join(side(every, 0), side(still, 1), keys, crowd, ("c1", "c2"), also))
+
+    lacking = F.col("e1").isNull() | F.col("e2").isNull()
+    rule(1, both_ways("e", "z", "p"), F.lit(True), none)
+    rule(2, both_ways("e", "z"), tags, none)
+    rule(3, both_ways("z", also=near | lacking), tags, by_tag)
     senses = classes.where("z is not null and e is not null").groupBy("e").agg(F.count_distinct(F.right("z", F.lit(1))).alias("senses"))
-    by_gloss = both_ways(F.col("e1") == F.col("e2")).join(senses.withColumnRenamed("e", "e1"), "e1", "left")
-    one_sense = F.coalesce("senses", F.lit(0)) <= 1
-    rule(4, by_gloss, tags & ((one_null & one_sense) | tail), F.when(~one_null & one_sense, tail))
+    by_gloss = both_ways("e", also=one_null | tail).join(senses.withColumnRenamed("e", "e1").hint("merge"), "e1", "left")
+    rule(4, by_gloss, tags & ((one_null & (F.coalesce("senses", F.lit(0)) <= 1)) | tail), none)
     headless = classes.where(F.length("z") > 2).withColumn("t", F.expr("substring(z, 2)"))
     whole = open_.where("z is not null and e is not null")
-    tails = side(headless, 0).join(side(whole, 1), F.col("t1") == F.col("z2")).drop("t1").unionByName(side(whole, 0).join(side(headless, 1), F.col("z1") == F.col("t2")).drop("t2"))
     alike = same_count & (F.size("toks1") > 1) & (distance.between(0, 2) | (first_close & (F.size(other_words) <= 1)))
-    rule(5, tails, tags & alike, F.when(alike, by_tag))
-    _typos(classes, open_, side, rule, tags, one_null, tail)
+    longer, shorter = hot.get("t", []), [(k, m, n) for k, n, m in hot.get("t", [])]
+    tails = split_join(side(headless, 0), side(whole, 1), [("t1", "z2")], longer, ("c1", "c2"), alike).drop("t1")
+    tails = tails.unionByName(split_join(side(whole, 0), side(headless, 1), [("z1", "t2")], shorter, ("c1", "c2"), alike).drop("t2"))
+    rule(5, tails, tags, by_tag)
+    _typos(classes, open_, total, side, rule, tags, one_null, tail)
     every = reduce(DataFrame.unionByName, found)
     if labels is None:
-        # pairs of rule 1 also satisfy what rules 2 and 4 use, those of rule 2 what rule 4 uses
-        shared = F.when((F.col("rule") == 1) & F.col("ok"), F.array(F.lit(1), F.lit(2), F.lit(4))).when((F.col("rule") == 2) & F.col("ok"), F.array(F.lit(2), F.lit(4))).otherwise(F.array("rule"))
-        told = every.withColumn("label", F.when(F.col("rule") == 2, F.coalesce("label", "ok")).otherwise(F.col("label")))
-        judged = told.where("label is not null").select(F.explode(shared).alias("rule"), "label").groupBy("rule").agg(F.sum(F.col("label").cast("int")).alias("good"), F.count(F.lit(1)).alias("all"))
+        judged = _held_back(classes).unionByName(every.where("label is not null").groupBy("rule").agg(F.sum(F.col("label").cast("double")).alias("good"), F.count(F.lit(1)).cast("double").alias("all")))
     else:
         ids = labels.join(rows[0].select(F.col("id").alias(left_id), F.col("c").alias("c1")), left_id).join(rows[1].select(F.col("id").alias(right_id), F.col("c").alias("c2")), right_id)
-        judged = ids.join(every.where("ok").select("c1", "c2", "rule"), ["c1", "c2"]).groupBy("rule").agg(F.sum(F.col("same").cast("int")).alias("good"), F.count(F.lit(1)).alias("all"))
+        judged = ids.join(every.where("ok").select("c1", "c2", "rule").hint("merge"), ["c1", "c2"]).groupBy("rule").agg(F.sum(F.col("same").cast("double")).alias("good"), F.count(F.lit(1)).cast("double").alias("all"))
     judged = judged.select("rule", ((F.col("good") + 1) / (F.col("all") + 2)).alias("confidence"))  # six rules
     pairs = every.where("ok").groupBy("c1", "c2").agg(F.min("rule").alias("rule")).join(F.broadcast(judged), "rule", "left")
     named = pairs.withColumn("confidence", F.coalesce("confidence", F.lit(0.5))).withColumn("rule", F.element_at(F.array(*[F.lit(x) for x in RULES]), F.col("rule")))
-    return _members(named, classes, rows, left_id, right_id, left.count() + right.count())
-
-
-def _typos(classes: DataFrame, open_: DataFrame, side, rule, tags: Column, one_null: Column, tail: Column) -> None:
+    size = lambda k: classes.where(F.col("side") == k - 1).select(F.col("c").alias(f"c{k}"), F.col("n").alias(f"n{k}"), F.col("first").alias(f"first{k}")).hint("merge")
+    members = rows[0].unionByName(rows[1]).where("toks is not null or z is not null").select("side", "id", "c")
+    return named.join(size(1), "c1").join(size(2), "c2").select("c1", "c2", "n1", "n2", "first1", "first2", "rule", "confidence"), members
+
+
+def _crowded(classes: DataFrame, total: int) -> dict[str, list[tuple]]:
+    """Pivots (z), glosses (e) and pivots without their first part (t, against whole pivots) of very many classes."""
+    one = lambda c: F.struct(F.lit(c).alias("name"), F.xxhash64(c).alias("key"), F.when(F.col("side") == 0, 1).otherwise(0).alias("na"), F.when(F.col("side") == 1, 1).otherwise(0).alias("nb"))
+    part = lambda c, na, nb: F.struct(F.lit("t").alias("name"), F.xxhash64(c).alias("key"), F.lit(na).alias("na"), F.lit(nb).alias("nb"))
+    every = F.array(F.when(F.col("z").isNotNull(), one("z")), F.when(F.col("e").isNotNull(), one("e")), F.when(F.length("z") > 2, part(F.expr("substring(z, 2)"), 1, 0)), F.when(F.col("z").isNotNull(), part(F.col("z"), 0, 1)))
+    out: dict[str, list[tuple]] = {}
+    for name, *rest in hot_keys(classes.select(F.inline(F.array_compact(every))), ["name", "key"], total, CLASSES):
+        out.setdefault(name, []).append(tuple(rest))
+    return out
+
+
+def _held_back(classes: DataFrame) -> DataFrame:
+    """(rule, good, all) of rules 1, 2 and 4 by attributes held back, from counts of classes; no pair is made for it."""
+    zero, one = (F.sum(F.when(F.col("side") == k, 1.0).otherwise(0.0)) for k in (0, 1))
+    tagged = classes.where("p is not null")
+    share = tagged.groupBy("p").agg(zero.alias("a"), one.alias("b")).agg((F.sum(F.col("a") * F.col("b")) / (F.sum("a") * F.sum("b"))).alias("chance"))  # one row
+    per = tagged.where("e is not null and z is not null").groupBy("e", "z", "p").agg(zero.alias("a"), one.alias("b"))
+    both = per.groupBy("e", "z").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum(F.col("a") * F.col("b")).alias("s"))
+    pairs = both.agg(F.coalesce(F.sum("s"), F.lit(0.0)).alias("s"), F.coalesce(F.sum(F.col("a") * F.col("b")), F.lit(0.0)).alias("t")).crossJoin(share)  # one row each
+    # a chance of 1, where there is one tag only, tells nothing: no pair can disagree then
+    wrong = F.least(F.col("s"), (F.col("t") - F.col("s")) * F.coalesce(F.try_divide("chance", 1 - F.col("chance")), F.lit(0.0)))
+    by_tag = pairs.select(F.inline(F.array(F.struct(F.lit(1).alias("rule"), (F.col("s") - wrong).alias("good"), F.col("s").alias("all")), F.struct(F.lit(2).alias("rule"), F.col("s").alias("good"), F.col("t").alias("all")))))
+    heads = classes.where("e is not null and z is not null").groupBy("e", F.right("z", F.lit(1)).alias("h")).agg(zero.alias("a"), one.alias("b"))
+    glosses = heads.groupBy("e").agg(F.sum(F.when(F.col("a") > 0, 1).otherwise(0)).alias("senses"), F.sum(F.when(F.col("a") > 0, F.col("b")).otherwise(0.0)).alias("good"), F.sum("b").alias("all")).where("senses = 1")
+    by_pivot = glosses.agg(F.coalesce(F.sum("good"), F.lit(0.0)).alias("good"), F.coalesce(F.sum("all"), F.lit(0.0)).alias("all")).select(F.lit(4).alias("rule"), "good", "all")
+    return by_tag.unionByName(by_pivot).where(F.col("all") > 0)
+
+
+def _typos(classes: DataFrame, open_: DataFrame, total: int, side, rule, tags: Column, one_null: Column, tail: Column) -> None:
     """Rule 6: an exact join on what one edit or one swap leaves of a gloss: the gloss without one letter, or one of its halves.
     All glosses of the two sides are joined, so that each knows every gloss as close; then their classes, of which one must be open."""
     word = classes.where("toks is not null").select("e", F.explode("toks").alias("token")).distinct().groupBy("token").agg(F.count(F.lit(1)).alias("k"))
@@ -171,8 +212,12 @@ def _typos(classes: DataFrame, open_: DataFrame, side, rule, tags: Column, one_n
     less = "transform(sequence(1, length(e)), i -> xxhash64(concat(substring(e, 1, i - 1), substring(e, i + 1))))"
     halves = "flatten(transform(array(length(e) div 2 - 1, length(e) div 2), h -> array(xxhash64('p', left(e, h)), xxhash64('s', right(e, h)))))"
     keys = f"array_distinct(concat(array(xxhash64(e)), if(length(e) <= {SHORT} + 2, {less}, array()), if(length(e) >= {SHORT}, {halves}, array())))"
-    spread = lambda k: glosses.where(F.col("side") == k).select(*[F.col(x).alias(f"{x}{k + 1}") for x in ("e", "toks", "twin")], F.explode(F.expr(keys)).alias("key"))
-    near = spread(0).join(spread(1), "key").where(_close(F.col("e1"), F.col("e2")) & (F.col("e1") != F.col("e2"))).drop("key").distinct()
+    spread = lambda k: glosses.where(F.col("side") == k).select(*[F.col(x).alias(f"{x}{k + 1}") for x in ("e", "toks", "twin")], F.xxhash64("e", "toks").alias(f"c{k + 1}"), F.explode(F.expr(keys)).alias(f"key{k + 1}"))
+    # only halves can be those of many glosses: few have one form with a letter less
+    long = glosses.where(F.length("e") >= SHORT).select("side", F.explode(F.expr(f"array_distinct({halves})")).alias("key"))
+    own = lambda k: F.when(F.col("side") == k, 1).otherwise(0)
+    crowd = hot_keys(long.select(F.xxhash64("key").alias("key"), own(0).alias("na"), own(1).alias("nb")), ["key"], total, CLASSES)
+    near = split_join(spread(0), spread(1), [("key1", "key2")], crowd, ("c1", "c2"), _close(F.col("e1"), F.col("e2")) & (F.col("e1") != F.col("e2"))).drop("key1", "key2", "c1", "c2").distinct()
     # either of the two may be the mistyped one
     near = near.withColumn("own", F.explode(F.array(F.lit(1), F.lit(2))))
     one = lambda x, k: F.when(F.col("own") == k, F.col(f"{x}1")).otherwise(F.col(f"{x}2"))
@@ -180,20 +225,30 @@ def _typos(classes: DataFrame, open_: DataFrame, side, rule, tags: Column, one_n
     # the words in which the two differ: one each, or none where only the place of a gap differs
     mine, theirs = one("toks", 1), one("toks", 2)
     near = near.withColumn("odd", F.array_except(mine, theirs)[0]).withColumn("usual", F.array_except(theirs, mine)[0])
-    near = near.join(word.select(F.col("token").alias("odd"), F.col("k").alias("ko")), "odd", "left").join(word.select(F.col("token").alias("usual"), F.col("k").alias("ku")), "usual", "left")
-    near = near.where((F.coalesce("ko", F.lit(1)) <= 1) | (F.col("ku") >= RARE * F.col("ko")))
+    often = lambda token, k: word.select(F.col("token").alias(token), F.col("k").alias(k)).hint("merge")
+    near = near.join(often("odd", "ko"), "odd", "left").join(often("usual", "ku"), "usual", "left")
+    near = cut(near.where((F.coalesce("ko", F.lit(1)) <= 1) | (F.col("ku") >= RARE * F.col("ko"))).select("e1", "toks1", "e2", "toks2", "own", "gloss", one("twin", 1).alias("twin")))
     alone = near.groupBy("own", "gloss").agg(F.min(one("e", 2)).alias("least"), F.max(one("e", 2)).alias("most")).where("least = most").select("own", "gloss")
-    near = cut(near.join(alone, ["own", "gloss"]).select("e1", "toks1", "e2", "toks2", "own", one("twin", 1).alias("twin")))
-    marked = classes.join(open_.select("c", F.lit(True).alias("open")), "c", "left").withColumn("open", F.coalesce("open", F.lit(False)))
-    got = near.join(side(marked, 0), ["e1", "toks1"]).join(side(marked, 1), ["e2", "toks2"])
+    near = near.join(alone.hint("merge"), ["own", "gloss"])
+    marked = classes.join(open_.select("c", F.lit(True).alias("open")).hint("merge"), "c", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    got = near.join(side(marked, 0).hint("merge"), ["e1", "toks1"]).join(side(marked, 1).hint("merge"), ["e2", "toks2"])
     # a resolved class is mistyped only if its gloss stands in one list
     mistyped = tags & (one("open", 1) | ~F.col("twin"))
     rule(6, got, mistyped & one_null & (F.col("open1") | F.col("open2")), F.when(~one_null & mistyped, tail))
 
 
-def _members(pairs: DataFrame, classes: DataFrame, rows: list[DataFrame], left_id: str, right_id: str, total: int) -> DataFrame:
-    size = classes.select("c", "n")
-    a = pairs.join(size.select(F.col("c").alias("c1"), F.col("n").alias("n1")), "c1").join(size.select(F.col("c").alias("c2"), F.col("n").alias("n2")), "c2")
-    one = join_groups(rows[0].select(F.col("id").alias(left_id), F.col("c").alias("c1")), a, ["c1"], "n1", left_id, total, sizes=size.toDF("c1", "n1"))
-    two = join_groups(rows[1].select(F.col("id").alias(right_id), F.col("c").alias("c2")), one, ["c2"], "n2", right_id, total, sizes=size.toDF("c2", "n2"))
-    return two.select(left_id, right_id, "rule", "confidence")
+def match_records(left: DataFrame, left_id: str, right: DataFrame, right_id: str, labels: DataFrame | None = None) -> DataFrame:
+    """Pairs (left_id, right_id, rule, confidence) of records that mean the same: the pairs of match_classes with their members.
+
+    Classes meet while matching; members only at the end, a class of very many records in stretches on either side."""
+    pairs, members = match_classes(left, left_id, right, right_id, labels)
+    pairs = cut(pairs)
+    ids = lambda k, name: members.where(F.col("side") == k - 1).select(F.col("id").alias(name), F.col("c").alias(f"m{k}"))
+    total = pairs.agg(F.coalesce(F.sum(F.col("n1") + F.col("n2")), F.lit(0))).first()[0]
+    key = lambda c, name, na, nb: pairs.groupBy(F.xxhash64(c).alias("key")).agg(na.cast("bigint").alias("na"), nb.cast("bigint").alias("nb")).withColumn("name", F.lit(name))
+    # members of a class meet its pairs; members of the other side then meet what that gave. Both are counted from the pairs
+    n = F.count(F.lit(1))
+    crowd = hot_keys(key("c1", "one", F.max("n1"), n).unionByName(key("c2", "two", F.sum("n1"), F.max("n2"))), ["name", "key"], total, MEMBERS)
+    hot = lambda name: [tuple(r) for x, *r in crowd if x == name]
+    one = split_join(ids(1, left_id), pairs, [("m1", "c1")], hot("one"), (left_id, "c2"))
+    return split_join(one, ids(2, right_id), [("c2", "m2")], hot("two"), (left_id, right_id)).select(left_id, right_id, "rule", "confidence")

@@ -9,16 +9,17 @@ from gradelex.llm import bpe, copies, fill, langid, looks, matching, survivor
 from gradelex.session import table
 
 
-def _matches(spark: SparkSession, d: str) -> DataFrame:
-    return matching.match_records(table(spark, d, "swedish_list"), "sv_id", table(spark, d, "french_list"), "fr_id")
+def _lists(spark: SparkSession, d: str) -> tuple[DataFrame, str, DataFrame, str]:
+    return table(spark, d, "swedish_list"), "sv_id", table(spark, d, "french_list"), "fr_id"
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return _matches(spark, d).select("sv_id", "fr_id")
+    return matching.match_records(*_lists(spark, d)).select("sv_id", "fr_id")
 
 
 def p1_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return _matches(spark, d)
+    """Pairs of classes by their first records, with the number of records in each."""
+    return matching.match_classes(*_lists(spark, d))[0].select(F.col("first1").alias("sv_id"), F.col("first2").alias("fr_id"), "n1", "n2", "rule", "confidence")
 
 
 def _copies(spark: SparkSession, d: str) -> DataFrame:

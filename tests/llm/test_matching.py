@@ -80,11 +80,41 @@ def test_repeats_count_and_large_classes(spark, monkeypatch):
     fr = [("deep well", "深井", "NOUN")] * 30 + [("Deep wells", "深井", None)] * 2 + [(f"w{i} stone", f"石{chr(0x4E00 + i)}", "NOUN") for i in range(20)]
     want = sorted([(i, j) for i in range(40) for j in range(32)] + [(40 + i, 32 + i) for i in range(20)], key=repr)
     assert pairs(run(spark, sv, fr)) == want
-    small = matching.join_groups
-    monkeypatch.setattr(matching, "join_groups", lambda *a, **k: small(*a, **k, least=7))
+    monkeypatch.setattr(matching, "CLASSES", 5)
+    monkeypatch.setattr(matching, "MEMBERS", 7)
     assert pairs(run(spark, sv, fr)) == want
 
 
+def test_a_pivot_of_many_classes(spark, monkeypatch):
+    sv = [(f"w{chr(97 + i)}{chr(97 + i % 7)}", "井", "NOUN") for i in range(20)] + [("long " * 20 + f"stone{i}", None, "NOUN") for i in range(20)]
+    fr = [(f"v{chr(97 + i)}{chr(98 + i % 5)}", "井", "NOUN") for i in range(15)] + [("long " * 20 + f"stane{i}", None, "NOUN") for i in range(20)]
+    want = pairs(run(spark, sv, fr))
+    assert {(i, j) for i in range(20) for j in range(15)} <= set(want)
+    monkeypatch.setattr(matching, "CLASSES", 4)
+    assert pairs(run(spark, sv, fr)) == want
+
+
+def test_classes_and_members(spark):
+    sv = [("deep well", "深井", "NOUN")] * 3 + [("w stone", "石", "NOUN")]
+    fr = [("deep well", "深井", "NOUN")] * 2 + [("Deep wells", "深井", None)]
+    a = spark.createDataFrame([(i, "", *r, "x", "y", "z") for i, r in enumerate(sv)], SV)
+    b = spark.createDataFrame([(i, "", *r, "x", "y", "z") for i, r in enumerate(fr)], FR)
+    got, members = matching.match_classes(a, "sv_id", b, "fr_id")
+    assert rows_of(got, "first1", "n1", "first2", "n2") == [(0, 3, 0, 2), (0, 3, 2, 1)]
+    assert members.count() == 7 and members.select("c").distinct().count() == 4
+
+
+def test_confidence_of_rules_by_held_back_attributes(spark):
+    tags = ["NOUN", "VERB"]
+    sv = [(f"red w{i}", f"红{chr(0x5000 + i)}", tags[i % 2]) for i in range(40)]
+    fr = [(f"red w{i}", f"红{chr(0x5000 + i)}", tags[(i < 4) ^ (i % 2)]) for i in range(40)] + [("red w5", None, "VERB")]
+    by_rule = {r.rule: r.confidence for r in run(spark, sv, fr).collect()}
+    # 4 of 40 pairs differ in the tag, and two tags agree by chance in half of all cases: 4 of the 36 are expected to be wrong
+    chance = (20 * 20 + 20 * 20) / (40 * 40)
+    wrong = 4 * chance / (1 - chance)
+    assert abs(by_rule["gloss+pivot+pos"] - (36 - wrong + 1) / (36 + 2)) < 0.01
+
+
 def test_synonyms_are_learnt(spark):
     words = [f"{a}{b}{c}" for a in ("ka", "lu", "mi") for b in ("to", "ra") for c in ("zu", "fi")]
     sv = [(f"dry {w} blanket", f"干{chr(0x5000 + i)}毯", "NOUN") for i, w in enumerate(words)]
