@@ -104,8 +104,22 @@ b AS (
   FROM s GROUP BY ALL)
 SELECT first_id, kept_level, kept_english, CASE WHEN k > 1 THEN 'yes' ELSE 'no' END AS conflict FROM b WHERE n > 1
 """
+# layers: the longest chain of candidates of which each dominates the next
+_P7_ALL = _P7.split("SELECT first_id, kept_level")[0].replace("WITH s AS", "WITH RECURSIVE s0 AS", 1).replace("FROM s GROUP BY ALL", "FROM s0 GROUP BY ALL") + f""",
+s AS (SELECT *, {_USABLE.format("chinese_lemma", ", ".join(f"'{x}'" for x in survivor.STAND_INS))} AS z, coalesce(updated_at, TIMESTAMP '0001-01-01') AS moment FROM s0),
+m AS (SELECT lang, lemma, upos, t, g IS NOT NULL AS hg, z IS NOT NULL AS hz, max({{'moment': moment, 'id': -copy_id}}) AS r FROM s GROUP BY ALL),
+d AS (SELECT a AS a, b AS b FROM m a JOIN m b ON a.lang IS NOT DISTINCT FROM b.lang AND a.lemma IS NOT DISTINCT FROM b.lemma AND a.upos IS NOT DISTINCT FROM b.upos AND a <> b AND a.t >= b.t AND a.hg >= b.hg AND a.hz >= b.hz AND a.r >= b.r),
+chain(x, n) AS (SELECT m, 1 FROM m UNION SELECT d.b, n + 1 FROM chain JOIN d ON d.a = chain.x),
+layer AS (SELECT x, max(n) AS n FROM chain GROUP BY x),
+k AS (SELECT x.lang AS lang, x.lemma AS lemma, x.upos AS upos, count(*) FILTER (n = 1) AS skyline, max(n) AS layers FROM layer GROUP BY ALL),
+c AS (SELECT lang, lemma, upos, first(z ORDER BY z IS NULL, t DESC, updated_at DESC NULLS LAST, copy_id) AS kept_chinese_lemma FROM s GROUP BY ALL)
+SELECT b.lang, b.lemma, b.upos, first_id, b.n AS n_copies, kept_level, kept_english AS kept_english_lemma, kept_chinese_lemma, CAST(skyline AS INT) AS skyline, CAST(layers AS INT) AS layers, CASE WHEN b.k > 1 THEN 'yes' ELSE 'no' END AS conflict
+FROM b JOIN c ON b.lang IS NOT DISTINCT FROM c.lang AND b.lemma IS NOT DISTINCT FROM c.lemma AND b.upos IS NOT DISTINCT FROM c.upos
+JOIN k ON b.lang IS NOT DISTINCT FROM k.lang AND b.lemma IS NOT DISTINCT FROM k.lemma AND b.upos IS NOT DISTINCT FROM k.upos WHERE b.n > 1
+"""
 SQL = {
     "p4_found": _P4 + "SELECT first_id, pair_id FROM g WHERE pair_id <> first_id",
     "p4_collapsed": _P4 + "SELECT first_id, max(n_copies) AS n_copies FROM g GROUP BY first_id",
     "p7_found": _P7,
+    "p7_records": _P7_ALL,
 }

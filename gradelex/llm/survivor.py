@@ -24,9 +24,11 @@ def usable(gloss: Column) -> Column:
 
 
 def _dominates(a: Column, b: Column) -> Column:
-    """Whether candidate a is nowhere worse than b and somewhere better, where the null moment is the earliest."""
-    no_worse = (a["filled"] >= b["filled"]) & (a["at"] >= b["at"]) & (a["trust"] >= b["trust"])
-    better = (a["filled"] > b["filled"]) | (a["at"] > b["at"]) | (a["trust"] > b["trust"])
+    """Whether candidate a is nowhere worse than b and somewhere better. Completeness is the set of fields that are filled, so more complete
+    means to have all fields of the other and one more; recency is the moment, of equal moments the smaller id."""
+    recent = lambda x: F.struct(x["at"], x["neg"])
+    no_worse = (a["mask"].bitwiseAND(b["mask"]) == b["mask"]) & (a["trust"] >= b["trust"]) & (recent(a) >= recent(b))
+    better = (a["mask"] != b["mask"]) | (a["trust"] > b["trust"]) | (recent(a) > recent(b))
     return no_worse & better
 
 
@@ -42,13 +44,13 @@ def survivors(copies: DataFrame, origin_trust: DataFrame, fields: tuple[str, ...
     Candidates: copies are reduced before any shuffle to the best one of each cell of (which fields are usable,
     trust). Within a cell copies differ in recency only, so the latest dominates the rest, and a group has at most
     2^fields cells for each level of trust, however many copies it has.
-    Layers: candidates sorted by (trust, recency, completeness) follow all that dominate them, so one fold over at
-    most that many candidates gives each its layer, one more than the highest among its dominators.
-    Fields: the best candidate that has the field, by trust, recency, smallest id; the layers play no part in it. Of two
-    candidates equal in trust and recency the less complete one is dominated, yet it gives its value if its id is smaller,
-    and one without the field may dominate a candidate that has it. Only the columns skyline and layers read the fold.
+    Layers: candidates sorted by the policy (trust, recency, smallest id) follow all that dominate them, so one fold over at
+    most that many candidates gives each its layer, one more than the highest among its dominators; layer 1 is the skyline.
+    Survivor: the first candidate of the skyline by the policy; a field it lacks comes from the next of the skyline that has it,
+    then from the second layer, and so on. As a candidate is only dominated by those that have all its fields, no
+    better holder of a field hides in a later layer.
     """
-    trust = F.broadcast(origin_trust.groupBy("origin").agg(F.max("trust").alias("trust")))  # one row per origin, six of them
+    trust = origin_trust.groupBy("origin").agg(F.max("trust").alias("trust"))
     key = ["lang", "lemma", "upos"]
     level = F.upper(strip_ws(F.col("level")))
     at = F.coalesce(F.col("updated_at").cast("timestamp_ntz"), F.expr("timestamp_ntz'0001-01-01 00:00:00'"))
@@ -60,23 +62,27 @@ def survivors(copies: DataFrame, origin_trust: DataFrame, fields: tuple[str, ...
         slim.withColumn("mask", mask).withColumn("folded", F.lower(f"u_{fields[0]}")).groupBy(*key, "mask", "trust")
         .agg(best, F.count(F.lit(1)).alias("n"), F.min("copy_id").alias("first_id"), F.min("lv").alias("lv"), F.min("folded").alias("lo"), F.max("folded").alias("hi"))
     )
-    cand = F.struct("trust", F.col("x.at").alias("at"), F.bit_count("mask").alias("filled"), F.col("x.neg").alias("neg"), *[F.col(f"x.u_{f}").alias(f) for f in fields])
+    cand = F.struct("trust", F.col("x.at").alias("at"), F.col("x.neg").alias("neg"), F.bit_count("mask").alias("filled"), "mask", *[F.col(f"x.u_{f}").alias(f) for f in fields])
     groups = (
         per_cell.groupBy(*key)
         .agg(F.sum("n").alias("n_copies"), F.min("first_id").alias("first_id"), F.min("lv").alias("kept_level"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sort_array(F.collect_list(cand), asc=False).alias("c"))
         .where("n_copies > 1")
     )
-    none = F.expr("cast(array() as array<struct<trust:int,at:timestamp_ntz,filled:int,layer:int>>)")
+    names = ", ".join(f"`{f}`:string" for f in fields)
+    id_type = copies.schema["copy_id"].dataType.simpleString()
+    none = F.expr(f"cast(array() as array<struct<trust:int,at:timestamp_ntz,neg:{id_type},mask:int,layer:int,{names}>>)")
 
     def step(seen: Column, x: Column) -> Column:
         above = F.transform(F.filter(seen, lambda y: _dominates(y, x)), lambda y: y["layer"])
-        return F.concat(seen, F.array(F.struct(x["trust"].alias("trust"), x["at"].alias("at"), x["filled"].alias("filled"), (F.coalesce(F.array_max(above), F.lit(0)) + 1).alias("layer"))))
+        layer = (F.coalesce(F.array_max(above), F.lit(0)) + 1).alias("layer")
+        return F.concat(seen, F.array(F.struct(*[x[c].alias(c) for c in ("trust", "at", "neg", "mask")], layer, *[x[f].alias(f) for f in fields])))
 
-    groups = groups.withColumn("ranked", F.aggregate("c", none, step))
+    groups = groups.withColumn("ranked", F.aggregate("c", none, step)).drop("c")
     layers = F.transform("ranked", lambda y: y["layer"])
 
     def kept(field: str) -> Column:
-        having = F.filter("c", lambda x: x[field].isNotNull())
-        return F.array_max(F.transform(having, lambda x: F.struct(x["trust"], x["at"], x["neg"], x[field].alias("v"))))["v"].alias(f"kept_{field}")
+        """The field of the first candidate that has it, by layer and then by the policy, which is the order of the array."""
+        places = F.transform("ranked", lambda y, i: F.when(y[field].isNotNull(), F.struct(y["layer"].alias("layer"), i.alias("i"), y[field].alias("v"))))
+        return F.array_min(F.array_compact(places))["v"].alias(f"kept_{field}")
 
-    return groups.select(*key, "first_id", "n_copies", "kept_level", *[kept(f) for f in fields], F.size(F.filter(layers, lambda n: n == 1)).alias("skyline"), F.array_max(layers).alias("layers"), F.when(F.col("lo") != F.col("hi"), "yes").otherwise("no").alias("conflict"))
+    return groups.select(*key, "first_id", "n_copies", "kept_level", *[kept(f) for f in fields], F.size(F.filter(layers, lambda n: n == 1)).alias("skyline"), F.coalesce(F.array_max(layers), F.lit(0)).alias("layers"), F.when(F.col("lo") != F.col("hi"), "yes").otherwise("no").alias("conflict"))

@@ -32,10 +32,10 @@ def brute(rows):
 
 
 def layers(points):
-    """Dominance layers by peeling."""
+    """Dominance layers by peeling; a point has the set of its fields, trust and recency."""
     left, n = list(points), 0
     while left:
-        dom = lambda a, b: all(x >= y for x, y in zip(a, b, strict=True)) and a != b
+        dom = lambda a, b: a != b and a[0] >= b[0] and a[1] >= b[1] and a[2] >= b[2]
         front = [p for p in left if not any(dom(q, p) for q in left)]
         left = [p for p in left if p not in front]
         n += 1
@@ -64,25 +64,29 @@ def test_layers(spark):
     trust = spark.createDataFrame(list(TRUST.items()), "origin string, trust int")
     groups = {}
     for r in rows:
-        cell = (bool(usable(r[4])), bool(usable(r[5])), TRUST.get(r[7], -1))
+        cell = (frozenset(i for i in (4, 5) if usable(r[i])), TRUST.get(r[7], -1))
         g = groups.setdefault((r[1], r[3], r[6]), [0, {}])
         g[0] += 1
-        g[1][cell] = max(g[1].get(cell, datetime.min), r[8] or datetime.min)
+        g[1][cell] = max(g[1].get(cell, (datetime.min, -(10**9))), (r[8] or datetime.min, -r[0]))
     want = {}
     for key, (n, cells) in groups.items():
         if n > 1:
-            want[key] = layers({(a + b, t, at) for (a, b, t), at in cells.items()})
+            want[key] = layers({(*cell, at) for cell, at in cells.items()})
+    assert max(want.values()) > 2
     got = {(x.lang, x.lemma, x.upos): x.layers for x in survivors(spark.createDataFrame(rows, SCHEMA), trust).collect()}
     assert got == want
 
 
-def test_dominated_candidates_give_their_field(spark):
+def test_fields_come_from_the_skyline(spark):
     trust = spark.createDataFrame(list(TRUST.items()), "origin string, trust int")
     row = lambda i, lemma, english, chinese, origin, day: (i, "en", "A1", lemma, english, chinese, "X", origin, T0 + timedelta(days=day), "", "", "")
-    # u: 1 is as trusted and late as 2, which is more complete; w: 3 has no English and dominates 4, which is more trusted than 5 of the skyline
+    # u: 1 is as trusted and late as 2 and has the smaller id, 2 is more complete; w: 3 has no English; v: 7 is dominated by 6 and gives nothing
     rows = [row(1, "u", "house", None, "manual", 1), row(2, "u", "barn", "仓", "manual", 1), row(3, "w", None, "房", "manual", 2), row(4, "w", "house", None, "manual", 1), row(5, "w", "barn", "仓", "scrape", 0)]
+    rows += [row(6, "v", "house", "房", "manual", 2), row(7, "v", "barn", None, "scrape", 1), row(8, "v", None, None, "scrape", 0)]
     got = survivors(spark.createDataFrame(rows, SCHEMA), trust)
-    assert rows_of(got, "lemma", "kept_english_lemma", "kept_chinese_lemma", "skyline", "layers") == [("u", "house", "仓", 1, 2), ("w", "house", "房", 2, 2)]
+    assert rows_of(got, "lemma", "kept_english_lemma", "kept_chinese_lemma", "skyline", "layers") == [("u", "house", "仓", 2, 1), ("v", "house", "房", 1, 3), ("w", "house", "房", 3, 1)]
+    # the kept gloss hangs on the layers
+    assert "aggregate(" in got.select("kept_english_lemma")._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_empty_and_repeated(spark):
