@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradelex.functions.text import nfc_fold
-from gradelex.operators.spread import join_groups
+from gradelex.llm.groups import group_rows
 
 
 def _plain(c: Column) -> Column:
@@ -40,27 +40,16 @@ def hidden_copies(df: DataFrame, id_col: str, fields: list[str], any_column: boo
     Null equals empty, and all-empty rows are copies of one another. Repeated ids are one row of their own each.
     Further columns of df are ignored, whatever their names.
 
-    Rows are reduced to a 116-bit fingerprint, grouped with a map-side combine and joined back with salts for
-    large groups. Every row is then verified against the group's representative; rows that differ from it (a
-    collision of fingerprints) are grouped by their exact values instead.
+    Rows are reduced to a 116-bit fingerprint and grouped with a map-side combine. The spellings that occur under a fingerprint are then
+    verified to hold the same values, by counting and not by sorting; where they do not (a collision) each
+    spelling goes with the first one it equals. Rows meet their group with salts for large groups.
     """
     names = [None if any_column else F.lit(f) for f in fields]
-    slim = df.select(F.col(id_col).alias("id"), *[_plain(F.col(f)).alias(f"v{i}") for i, f in enumerate(fields)])
     v = [f"v{i}" for i in range(len(fields))]
+    slim = df.select(F.col(id_col).alias("id"), *[_plain(F.col(f)).alias(c) for f, c in zip(fields, v, strict=True)])
     prints = slim.withColumn("f1", _sum_hash(names, [F.col(c) for c in v], 1)).withColumn("f2", _sum_hash(names, [F.col(c) for c in v], 2))
-    groups = prints.groupBy("f1", "f2").agg(F.min(F.struct("id", *v)).alias("rep"), F.count(F.lit(1)).alias("n"))
-    joined = join_groups(prints, groups, ["f1", "f2"], "n", "id", df.count())
-    right = [F.col(f"rep.{c}") for c in v]
-    same = _same_multiset([F.col(c) for c in v], right) if any_column else F.forall(F.array(*[F.col(c) == r for c, r in zip(v, right, strict=True)]), lambda x: x)
-    joined = joined.withColumn("same", same)
-    good = joined.where("same")
-    # the representative's own count is right unless fingerprints collide; then the exact values decide
-    stray = joined.where("not same").withColumn("exact", F.array_sort(F.array(*v)) if any_column else F.array(*v))
-    exact = stray.groupBy("f1", "f2", "exact").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("m"))
-    lost = exact.groupBy("f1", "f2").agg(F.sum("m").alias("lost"))
-    main = good.join(lost, ["f1", "f2"], "left").select("id", F.col("rep.id").alias("first_id"), (F.col("n") - F.coalesce("lost", F.lit(0))).alias("n_copies"))
-    rest = stray.select("f1", "f2", "id", "exact").join(exact, ["f1", "f2", "exact"]).select("id", "first_id", F.col("m").alias("n_copies"))
-    return main.unionByName(rest).select(F.col("id").alias(id_col), "first_id", "n_copies")
+    alike = (lambda x, y: _same_multiset([x[c] for c in v], [y[c] for c in v])) if any_column else (lambda x, y: x == y)
+    return group_rows(prints, v, alike).select(F.col("id").alias(id_col), "first_id", F.col("n").alias("n_copies"))
 
 
 def collapsed(copies: DataFrame) -> DataFrame:

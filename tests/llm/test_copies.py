@@ -2,7 +2,7 @@ import random
 import re
 import unicodedata
 
-from gradelex.llm import copies
+from gradelex.llm import copies, groups
 from gradelex.llm.copies import collapsed, hidden_copies
 from tests.conftest import rows_of
 
@@ -33,8 +33,8 @@ def test_against_brute_force(spark, monkeypatch):
     df = spark.createDataFrame(data, SCHEMA).repartition(5)
     assert rows_of(hidden_copies(df, "pair_id", ["a", "b", "c"])) == brute(data)
     assert rows_of(hidden_copies(df, "pair_id", ["a", "b", "c"], any_column=False)) == brute(data, False)
-    small = copies.join_groups
-    monkeypatch.setattr(copies, "join_groups", lambda *a, **k: small(*a, **k, least=20))
+    small = groups.join_groups
+    monkeypatch.setattr(groups, "join_groups", lambda *a, **k: small(*a, **k, least=20))
     assert rows_of(hidden_copies(df, "pair_id", ["a", "b", "c"])) == brute(data)
     assert collapsed(hidden_copies(df, "pair_id", ["a", "b", "c"])).count() == len({x[1] for x in brute(data)})
 
