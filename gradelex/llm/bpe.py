@@ -6,17 +6,20 @@ import base64
 import os
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_DIR = "/opt/tokenizers"
 CHUNK = 1_000_000  # code points handled at once; a longer text is handled alone
 CACHE_ENTRIES, CACHED_BYTES = 200_000, 48
+_shipped: set[tuple[str, str]] = set()
 
 #: White_Space property of Unicode: fixed values
 SPACES = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -114,10 +117,14 @@ class Merger:
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.merge = tiktoken.Encoding("own", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+        # a pattern that takes the whole slice: what is left for the library is merging one slice, a run of whole characters
+        merge = tiktoken.Encoding("own", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.merge = lambda piece: merge(piece.decode("utf-8"))
         self.words = {i: w for w, i in ranks.items()}
         self.lengths = np.zeros(max(self.words) + 1, np.int64)
         self.lengths[list(self.words)] = [len(w) for w in self.words.values()]
+        self.start = np.cumsum(self.lengths) - self.lengths
+        self.octets = np.frombuffer(b"".join(self.words.get(i, b"") for i in range(len(self.lengths))), np.uint8)
         self.cache: dict[bytes, tuple[int, ...]] = {w: (i,) for w, i in ranks.items() if len(w) <= CACHED_BYTES}
         self.fixed = len(self.cache)
 
@@ -140,7 +147,7 @@ def merger(path: str) -> Merger:
 
 def _chunks(texts: pa.Array) -> Iterator[pa.Array]:
     """Slices of the array with about CHUNK bytes each."""
-    ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0)))
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)))
     at = 0
     while at < len(texts):
         before = ends[at - 1] if at else 0
@@ -185,6 +192,23 @@ def vocabulary(directory: str, name: str = "byte_bpe_50k") -> str:
     return os.path.join(directory, name + ".tiktoken")
 
 
+def shipped(spark: SparkSession, path: str) -> Callable[[], str]:
+    """Gives the executors the vocabulary file; what is returned tells its place there, or the path itself where it is the driver's disk."""
+    name = os.path.basename(path)
+    if not os.path.exists(path):  # only the executors have it
+        return lambda: path
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _shipped:
+        spark.sparkContext.addFile(path)
+        _shipped.add(key)
+
+    def place() -> str:
+        own = SparkFiles.get(name)
+        return own if os.path.exists(own) else path
+
+    return place
+
+
 def encode_texts(df: DataFrame, id_col: str, text_col: str, directory: str = DEFAULT_DIR, offsets: bool = False) -> DataFrame:
     """id_col and ids of every row, without special tokens; text that looks like one is plain text.
 
@@ -192,13 +216,13 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, directory: str = DEF
     form, so that decode_ids and any substring of ids can be traced back. Rows are encoded where they are read,
     without a shuffle; no text is cut or left out. Repeated rows and null ids are kept; further columns are ignored.
     """
-    path = vocabulary(directory)
+    path = shipped(df.sparkSession, vocabulary(directory))
     slim = df.select(id_col, text_col)
     kind = slim.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, counts, ends = encode(b.column(1), path)
+            ids, counts, ends = encode(b.column(1), path())
             at = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
             cols = [b.column(0), pa.ListArray.from_arrays(at, pa.array(ids, pa.int32()))]
             if offsets:
@@ -208,17 +232,40 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, directory: str = DEF
     return slim.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>" + (", ends array<bigint>" if offsets else ""))
 
 
+def decode(ids: pa.Array, path: str) -> pa.Array:
+    """The texts of lists of ids: the bytes of all ids gathered at once. Only lists whose bytes are no whole text are read one by one, each
+    byte that belongs to no character becoming U+FFFD."""
+    m = merger(path)
+    n = len(ids)
+    counts = np.asarray(pc.fill_null(pc.list_value_length(ids), 0))
+    flat = np.asarray(ids.flatten())
+    size = m.lengths[flat]
+    at = np.repeat(m.start[flat] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    raw = m.octets[at]
+    ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
+    valid = None if ids.null_count == 0 else pa.array(np.asarray(ids.is_valid())).buffers()[1]
+    body = raw.tobytes()
+    inside = np.concatenate([(raw & 0xC0) == 0x80, [False]])[ends[:-1]] & (ends[1:] > ends[:-1])
+    try:
+        body.decode("utf-8")
+        whole = not inside.any()
+    except UnicodeDecodeError:
+        whole = False
+    if whole:
+        return pa.Array.from_buffers(pa.large_string(), n, [valid, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(body)])
+    known = np.asarray(ids.is_valid())
+    return pa.array([body[a:b].decode("utf-8", "replace") if k else None for a, b, k in zip(ends[:-1].tolist(), ends[1:].tolist(), known.tolist(), strict=True)], pa.large_string())
+
+
 def decode_ids(df: DataFrame, id_col: str, ids_col: str = "ids", directory: str = DEFAULT_DIR) -> DataFrame:
     """id_col and text of every row of ids; null ids give a null text, the empty list the empty text."""
-    path = vocabulary(directory)
+    path = shipped(df.sparkSession, vocabulary(directory))
     slim = df.select(id_col, ids_col)
     kind = slim.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = merger(path).words
         for b in batches:
-            texts = [None if x is None else b"".join(words[i] for i in x).decode("utf-8", "replace") for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
+            yield pa.RecordBatch.from_arrays([b.column(0), decode(b.column(1), path()).cast(pa.string())], names=[id_col, "text"])
 
     return slim.mapInArrow(run, f"`{id_col}` {kind}, text string")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -17,6 +18,8 @@ BUCKETS = 1 << 17
 CHUNK = 400_000
 #: bound of the training sample: labelled documents of each language and their length
 SAMPLE_DOCS, SAMPLE_CHARS = 400, 2000
+#: languages a profile table may list
+MOST_LANGUAGES = 1000
 #: ISO 639-2 and 639-3 codes of the languages the profile table may name: fixed values
 ISO_CODES = {
     "eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "spa": "es", "nld": "nl", "dut": "nl", "swe": "sv", "ara": "ar", "zho": "zh", "chi": "zh", "cmn": "zh",
@@ -256,17 +259,30 @@ def read_label(label: str | None, names: dict[str, str]) -> str | None:
 
 def train(docs: DataFrame, profile: DataFrame) -> tuple[Model, dict[str, str]]:
     """Model fitted to at most SAMPLE_DOCS documents of each label, of at most SAMPLE_CHARS characters, those with the smallest hash of
-    doc_id and text. That sample and the language table (one row per language) are all that reaches the driver. The sample is a
-    windowed top-n, whose limit Spark applies before the shuffle too, so a frequent label moves no more rows than a rare one."""
-    rows = [r.asDict() for r in profile.select("code", "directory", "display_name", "endonym").where("code is not null").limit(1000).collect()]
+    doc_id and text. The sample is a windowed top-n, whose limit Spark applies before the shuffle too, so a frequent label moves no more
+    rows than a rare one; one task fits the model to it. Only the model (8 MB) and the language table (at most MOST_LANGUAGES rows, else
+    an error) reach the driver."""
+    rows = [r.asDict() for r in profile.select("code", "directory", "display_name", "endonym").where("code is not null").limit(MOST_LANGUAGES + 1).collect()]
+    if len(rows) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     names = label_codes(rows)
     spelled = F.trim(F.lower("lang"))
     code = F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), spelled)
     usable = docs.where(spelled.isin(*names) & (F.length("text") <= SAMPLE_CHARS) & (F.length("text") > 20)).select("text", "lang", code.alias("code"), F.xxhash64("doc_id", "text").alias("h"))
     place = F.row_number().over(Window.partitionBy("code").orderBy("h", "text", "lang"))
-    sample = usable.withColumn("k", place).where(F.col("k") <= SAMPLE_DOCS).orderBy("code", "k").collect()
+    sample = usable.withColumn("k", place).where(F.col("k") <= SAMPLE_DOCS).select("code", "k", "text", "lang")
     codes = [r["code"] for r in rows]
-    return fit([r["text"] for r in sample], [read_label(r["lang"], names) for r in sample], codes), names
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = sorted(tuple(r.values()) for b in batches for r in b.to_pylist())
+        if seen:
+            model = fit([t for _, _, t, _ in seen], [read_label(x, names) for *_, x in seen], codes)
+            yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]}, schema=pa.schema([("model", pa.binary())]))
+
+    got = sample.repartition(1).mapInArrow(learn, "model binary").first()
+    if got is None:
+        raise ValueError("no labelled text to learn languages from")
+    return pickle.loads(bytes(got[0])), names
 
 
 #: a second language is sure by a sentence of this many letters (an ideograph counts as three) and this confidence
@@ -275,16 +291,27 @@ LEAST_LETTERS, LEAST_CONFIDENCE = 8, 0.9
 UNSEEN = 0.02
 
 
-def identify(texts: list[str], m: Model) -> list[list[tuple[int, int, int, float, bool]]]:
-    """For each text its segments (start, end, language, confidence, whole): neighbouring sentences of one language.
+@dataclass
+class Segments:
+    """Neighbouring sentences of one language, in the order of the texts."""
+
+    doc: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    lang: np.ndarray
+    confidence: np.ndarray
+    whole: np.ndarray
+
+
+def segments(texts: list[str], m: Model) -> Segments:
+    """The segments of all texts, with the least confidence of a segment's whole sentences, or its first sentence's if none is whole.
 
     A sentence of low confidence or few letters is judged with the shares of the text's surely found languages as a prior, in
     which every other language has UNSEEN. Sentences that are not whole only count if no sentence of the text is; else they go with a language it has.
     """
-    out: list[list[tuple[int, int, int, float, bool]]] = [[] for _ in texts]
     s = sentences(texts)
     if not len(s.head):
-        return out
+        return Segments(*[np.zeros(0, np.int64)] * 4, np.zeros(0), np.zeros(0, bool))
     _, p = decode(_scores(s, m.weights, m.bias), m)
     k = len(m.codes)
     has_whole = np.zeros(len(texts), bool)
@@ -303,13 +330,18 @@ def identify(texts: list[str], m: Model) -> list[list[tuple[int, int, int, float
     few = ~use & (share[s.doc, lang] == 0)
     lang[few] = main[s.doc[few]]
     conf = p[np.arange(len(lang)), lang]
-    for d, a, b, y, c, w in zip(s.doc.tolist(), s.start.tolist(), s.end.tolist(), lang.tolist(), conf.tolist(), use.tolist(), strict=True):
-        got = out[d]
-        if got and got[-1][2] == y:
-            a0, _, _, c0, w0 = got[-1]
-            got[-1] = (a0, b, y, min(c0, c) if w and w0 else c if w else c0, w or w0)
-        else:
-            got.append((a, b, y, c, w))
+    heads = np.flatnonzero(np.concatenate([[True], (s.doc[1:] != s.doc[:-1]) | (lang[1:] != lang[:-1])]))
+    low = np.minimum.reduceat(np.where(use, conf, np.inf), heads)
+    tails = np.append(heads[1:], len(lang)) - 1
+    return Segments(s.doc[heads], s.start[heads], s.end[tails], lang[heads], np.where(np.isinf(low), conf[heads], low), ~np.isinf(low))
+
+
+def identify(texts: list[str], m: Model) -> list[list[tuple[int, int, int, float, bool]]]:
+    """segments() as (start, end, language, confidence, whole) for each text."""
+    out: list[list[tuple[int, int, int, float, bool]]] = [[] for _ in texts]
+    s = segments(texts, m)
+    for d, *rest in zip(s.doc.tolist(), s.start.tolist(), s.end.tolist(), s.lang.tolist(), s.confidence.tolist(), s.whole.tolist(), strict=True):
+        out[d].append(tuple(rest))
     return out
 
 
@@ -317,6 +349,29 @@ _SEGMENT = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.st
 _OUT = "`{0}` {1}, label string, lang string, confidence double, ambiguous boolean, langs array<string>, segments array<struct<start:bigint,end:bigint,lang:string,confidence:double>>"
 
 
+def _columns(s: Segments, n: int, codes: pa.Array) -> list[pa.Array]:
+    """lang, confidence, ambiguous, langs and segments of n texts. A text's languages are those of its whole sentences, the one with most
+    characters first, of equal ones the one seen first."""
+    w = np.flatnonzero(s.whole)
+    pair, first, at = np.unique(s.doc[w] * len(codes) + s.lang[w], return_index=True, return_inverse=True)
+    chars = np.bincount(at, weights=(s.end - s.start)[w], minlength=len(pair))
+    low = np.full(len(pair), np.inf)
+    np.minimum.at(low, at, s.confidence[w])
+    doc, lang = pair // len(codes), pair % len(codes)
+    order = np.lexsort((first, -chars, doc))
+    doc, lang, low = doc[order], lang[order], low[order]
+    top = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
+    main, conf, none = np.zeros(n, np.int64), np.zeros(n), np.ones(n, bool)
+    main[doc[top]], conf[doc[top]], none[doc[top]] = lang[top], low[top], False
+    ends = lambda d: pa.array(np.concatenate([[0], np.cumsum(np.bincount(d, minlength=n))]).astype(np.int32))
+    name = lambda x: codes.take(pa.array(x, pa.int64()))
+    parts = pa.StructArray.from_arrays([pa.array(s.start, pa.int64()), pa.array(s.end, pa.int64()), name(s.lang), pa.array(s.confidence, pa.float64())], fields=list(_SEGMENT))
+    return [
+        codes.take(pa.array(main, mask=none)), pa.array(conf, pa.float64(), mask=none), pa.array(conf < LEAST_CONFIDENCE, mask=none),
+        pa.ListArray.from_arrays(ends(doc), name(lang)), pa.ListArray.from_arrays(ends(s.doc), parts),
+    ]
+
+
 def detect_languages(docs: DataFrame, model: Model, names: dict[str, str], id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
     """For each row its id and: label, the code its label names (null if none); lang and confidence of the text
     (null without words); ambiguous, when the confidence is under LEAST_CONFIDENCE; langs, the languages of its whole
@@ -329,6 +384,7 @@ def detect_languages(docs: DataFrame, model: Model, names: dict[str, str], id_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        codes = pa.array(m.codes, pa.string())
         for b in batches:
             texts = [x or "" for x in b.column(1).to_pylist()]
             at, label = 0, [read_label(x, names) for x in b.column(2).to_pylist()]
@@ -337,21 +393,8 @@ def detect_languages(docs: DataFrame, model: Model, names: dict[str, str], id_co
                 while to < len(texts) and (to == at or room >= len(texts[to])):
                     room -= len(texts[to])
                     to += 1
-                lang, conf, langs, segs = [], [], [], []
-                for got in identify(texts[at:to], m):
-                    size: dict[int, int] = {}
-                    low: dict[int, float] = {}
-                    for a, z, y, c, w in got:
-                        if w:
-                            size[y] = size.get(y, 0) + z - a
-                            low[y] = min(low.get(y, 1.0), c)
-                    order = sorted(size, key=lambda y: -size[y])
-                    lang.append(m.codes[order[0]] if order else None)
-                    conf.append(low[order[0]] if order else None)
-                    langs.append([m.codes[y] for y in order])
-                    segs.append([{"start": a, "end": z, "lang": m.codes[y], "confidence": c} for a, z, y, c, _ in got])
-                cols = [b.column(0).slice(at, to - at), pa.array(label[at:to], pa.string()), pa.array(lang, pa.string()), pa.array(conf, pa.float64()), pa.array([None if c is None else c < LEAST_CONFIDENCE for c in conf], pa.bool_()), pa.array(langs, pa.list_(pa.string())), pa.array(segs, pa.list_(_SEGMENT))]
-                yield pa.RecordBatch.from_arrays(cols, names=[id_col, "label", "lang", "confidence", "ambiguous", "langs", "segments"])
+                cols = _columns(segments(texts[at:to], m), to - at, codes)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), pa.array(label[at:to], pa.string()), *cols], names=[id_col, "label", "lang", "confidence", "ambiguous", "langs", "segments"])
                 at = to
 
     return slim.mapInArrow(run, _OUT.format(id_col, kind))

@@ -1,6 +1,7 @@
 import os
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -79,3 +80,14 @@ def test_round_trip(spark):
     assert [r.ids for r in ids.where("doc_id in (2, 3)").collect()] == [[], [], []]
     assert rows_of(bpe.decode_ids(ids, "doc_id", "ids", DIR)) == sorted([(a, b or "") for a, b in texts], key=repr)
     assert bpe.encode_texts(df.limit(0), "doc_id", "text", DIR, offsets=True).count() == 0
+
+
+def test_decoding_of_whole_and_broken_texts():
+    texts = ["", "a", None, "été 中 🙂", "x" * 3000]
+    ids, counts, _ = bpe.encode(pa.array(texts, pa.string()), PATH)
+    at = np.concatenate([[0], np.cumsum(counts)]).tolist()
+    lists = [None if t is None else ids[a:b].tolist() for t, a, b in zip(texts, at, at[1:], strict=False)]
+    assert bpe.decode(pa.array(lists, pa.list_(pa.int32())), PATH).to_pylist() == texts
+    words = bpe.merger(PATH).words
+    broken = [next(i for i, w in words.items() if w == bytes([b])) for b in "é".encode()]
+    assert bpe.decode(pa.array([broken[:1], broken[1:], broken, None, []], pa.list_(pa.int32())), PATH).to_pylist() == ["\ufffd", "\ufffd", "é", None, ""]

@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gradelex.llm import bpe, fill
+from tests.conftest import rows_of
 
 
 @settings(max_examples=150, deadline=None)
@@ -32,6 +33,11 @@ def test_attention_cost_binds_below_the_square_of_the_capacity():
         assert fill.best_fit(s, 50, 9, 50**2, rule).max() + 1 == 2
 
 
+def test_an_item_over_the_attention_cost_stands_alone():
+    b = fill.best_fit(np.array([48, 47, 10, 3]), 50, 9, 50**2 * 0.8)
+    assert len({b[0], b[1], b[2]}) == 3 and b[2] == b[3]
+
+
 def test_close_to_the_least_number():
     r = np.random.default_rng(2)
     s = np.minimum(r.lognormal(5, 1, 8192).astype(np.int64) + 1, 2048)
@@ -41,7 +47,7 @@ def test_close_to_the_least_number():
 
 
 @pytest.mark.skipif(not os.path.exists(bpe.vocabulary(bpe.DEFAULT_DIR)), reason="no tokenizer files")
-def test_documents(spark):
+def test_documents(spark, monkeypatch):
     texts = [(i, "word " * (i % 40)) for i in range(200)] + [(1000, "long " * 3000), (1001, None), (1002, ""), (5, "word " * 5), (None, "x")]
     docs = spark.createDataFrame([(a, b, "c", 1) for a, b in texts], "doc_id bigint, text string, container string, piece int").repartition(3)
     budgets = spark.createDataFrame([("s", 64), ("m", 512)], "pack_name string, capacity_tokens int")
@@ -59,5 +65,10 @@ def test_documents(spark):
                 assert (p.first_token == p.n_tokens.cumsum() - p.n_tokens).all()
         assert len(own[own.doc_id == 5]) == 2 and own.doc_id.isna().sum() == 1
     assert fill.pack_documents(docs.limit(0), budgets).count() == 0
+    # the same containers however the input is split, and by several ways of unfolding equal rows
+    want = rows_of(fill.pack_documents(docs, budgets))
+    assert rows_of(fill.pack_documents(docs.repartition(1), budgets)) == want
+    monkeypatch.setattr(fill, "UNFOLD", 1)
+    assert rows_of(fill.pack_documents(docs, budgets)) == want
     report = {r.pack_name: r for r in fill.fill_report(fill.pack_documents(docs.coalesce(1), budgets), budgets).collect()}
     assert report["s"].fullest <= 64 and report["m"].fill > 0.9
