@@ -76,13 +76,13 @@ def _spread_out(sizes: DataFrame) -> DataFrame:
     return few.unionByName(many)
 
 
-def pack_documents(docs: DataFrame, budgets: DataFrame, id_col: str = "doc_id", text_col: str = "text", directory: str = DEFAULT_DIR, name: str = "byte_bpe_50k", docs_per_container: float = 1 / 16, attention_share: float = 1.0) -> DataFrame:
+def pack_documents(docs: DataFrame, budgets: DataFrame, id_col: str = "doc_id", text_col: str = "text", directory: str = DEFAULT_DIR, name: str = "byte_bpe_50k", docs_per_container: float = 1 / 16, attention_share: float = 0.9) -> DataFrame:
     """Containers for each capacity in budgets (pack_name, capacity_tokens; at most 100 rows, else an error).
 
     A row for each item: pack_name, container (string), id_col, piece, first_token, n_tokens. A document is one item;
     one of more tokens than the capacity is split into pieces of the full capacity and one rest, numbered from 0.
     Other capacities of a container: capacity * docs_per_container documents (one at least) and an attention cost, the sum of squared
-    sizes, of attention_share * capacity^2. An item that alone costs more has a container of its own, as no item is split for its cost.
+    sizes, of attention_share * capacity^2; at a share of 1 the latter could never bind, as the squares of sizes that fit sum to less. An item that alone costs more has a container of its own, as no item is split for its cost.
     Null and empty texts have no tokens and need no container: a row with a null container and 0 tokens. Repeated rows and null ids
     are items like any other; further columns are ignored.
 
