@@ -13,7 +13,8 @@ def snapshot_changes(rows: DataFrame, key: str, snapshot: str, delivered: str, v
 
     Within a snapshot the latest delivered row of a key counts; rows delivered at the same moment are told apart
     by their values' hash, so the choice does not depend on the order of rows, and a null moment is the earliest.
-    Snapshots are numbered; a key's absence is judged against number - 1, and the first number has no changes.
+    Snapshots that have rows are indexed by their numbers' order, which may have gaps; a key is compared with the index before, and
+    the first snapshot has no changes. The numbers are one short array, one value per snapshot delivered.
     Values compare exactly, null only equals null. A null key is a key of its own; rows of a null snapshot are ignored.
 
     One hash aggregate with a map-side combine leaves at most a row per key and snapshot, however often a
@@ -23,14 +24,13 @@ def snapshot_changes(rows: DataFrame, key: str, snapshot: str, delivered: str, v
     state = F.struct(F.col(delivered).isNotNull().alias("d"), F.col(delivered).alias("t"), key64(*cols, seed=1).alias("a"), key64(*cols, seed=2).alias("b"))
     slim = rows.where(F.col(snapshot).isNotNull()).select(F.col(snapshot).cast("int").alias("s"), F.col(key).alias("k"), state.alias("x"))
     kept = slim.groupBy("k", "s").agg(F.max("x").alias("x")).select("k", "s", F.struct("x.a", "x.b").alias("h"))
-    bounds = rows.agg(F.min(snapshot).cast("int").alias("first"), F.max(snapshot).cast("int").alias("last"))
+    every = kept.agg(F.sort_array(F.collect_set("s")).alias("every"))  # one row
     w = Window.partitionBy("k").orderBy("s")
-    seen = kept.select("k", "s", "h", F.lag("s").over(w).alias("ps"), F.lag("h").over(w).alias("ph"), F.lead("s").over(w).alias("ns")).crossJoin(F.broadcast(bounds))  # one row
-    here = (
-        F.when((F.col("s") > F.col("first")) & (F.col("ps").isNull() | (F.col("ps") < F.col("s") - 1)), "added")
-        .when((F.col("ps") == F.col("s") - 1) & (F.col("ph") != F.col("h")), "changed")
-    )
-    gone = F.when((F.col("s") < F.col("last")) & (F.col("ns").isNull() | (F.col("ns") > F.col("s") + 1)), "removed")
-    found = F.array(F.struct(F.col("s").alias("s"), here.alias("change")), F.struct((F.col("s") + 1).alias("s"), gone.alias("change")))
+    seen = kept.select("k", "s", "h", F.lag("s").over(w).alias("ps"), F.lag("h").over(w).alias("ph"), F.lead("s").over(w).alias("ns")).crossJoin(F.broadcast(every))
+    seen = seen.withColumn("i", F.array_position("every", F.col("s")).cast("int"))
+    before, after = F.try_element_at("every", F.nullif(F.col("i") - 1, F.lit(0))), F.try_element_at("every", F.col("i") + 1)
+    here = F.when(before.isNotNull() & ~F.col("ps").eqNullSafe(before), "added").when((F.col("ps") == before) & (F.col("ph") != F.col("h")), "changed")
+    gone = F.when(after.isNotNull() & ~F.col("ns").eqNullSafe(after), "removed")
+    found = F.array(F.struct(F.col("s").alias("s"), here.alias("change")), F.struct(after.alias("s"), gone.alias("change")))
     out = seen.select("k", F.explode(F.filter(found, lambda x: x["change"].isNotNull())).alias("x"))
     return out.select(F.col("x.s").alias(snapshot), F.col("k").alias(key), F.col("x.change").alias("change"))

@@ -22,11 +22,11 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, by
     limit = max(least, -(-total // MAX_HOT))
     salts = F.ceil(F.col(size) / F.lit(limit)).cast("int")
     if total <= limit:
-        return rows.join(groups, on)
+        return rows.join(groups.hint("merge"), on)
     hot = F.broadcast((groups if sizes is None else sizes).where(F.col(size) > limit).select(*on, salts.alias("_salts")).distinct())
     spread = rows.join(hot, on, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(by), F.col("_salts")).cast("int"), F.lit(0))).drop("_salts")
     copies = groups.withColumn("_salt", F.explode(F.when(F.col(size) > limit, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))))
-    return spread.join(copies, [*on, "_salt"]).drop("_salt")
+    return spread.join(copies.hint("merge"), [*on, "_salt"]).drop("_salt")
 
 
 def hot_keys(sizes: DataFrame, by: list[str], total: int, least: int) -> list[tuple]:

@@ -66,17 +66,26 @@ g AS (SELECT *, CASE WHEN NOT ok THEN 'quoting' WHEN len(x) <> need THEN 'column
 _P5 = """
 WITH r AS (SELECT snapshot_no, entry_key, german_lemma, english_lemma, pos FROM german_snapshot
   QUALIFY row_number() OVER (PARTITION BY snapshot_no, entry_key ORDER BY delivered_at DESC) = 1),
-l AS (SELECT min(snapshot_no) AS lo, max(snapshot_no) AS hi FROM german_snapshot)
-SELECT coalesce(a.snapshot_no, b.snapshot_no + 1) AS snapshot_no, coalesce(a.entry_key, b.entry_key) AS entry_key,
-  CASE WHEN b.entry_key IS NULL THEN 'added' WHEN a.entry_key IS NULL THEN 'removed' ELSE 'changed' END AS change
-FROM r a FULL JOIN r b ON a.entry_key = b.entry_key AND a.snapshot_no = b.snapshot_no + 1, l
-WHERE coalesce(a.snapshot_no, b.snapshot_no + 1) > lo AND coalesce(a.snapshot_no, b.snapshot_no + 1) <= hi
-  AND (a.entry_key IS NULL OR b.entry_key IS NULL OR a.german_lemma IS DISTINCT FROM b.german_lemma OR a.english_lemma IS DISTINCT FROM b.english_lemma OR a.pos IS DISTINCT FROM b.pos)
+n AS (SELECT snapshot_no, lag(snapshot_no) OVER (ORDER BY snapshot_no) AS last FROM (SELECT DISTINCT snapshot_no FROM r)),
+k AS (SELECT n.snapshot_no, last, entry_key FROM n JOIN r ON r.snapshot_no IN (n.snapshot_no, last) WHERE last IS NOT NULL GROUP BY ALL)
+SELECT k.snapshot_no, k.entry_key, CASE WHEN b.snapshot_no IS NULL THEN 'added' WHEN a.snapshot_no IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM k LEFT JOIN r a ON a.snapshot_no = k.snapshot_no AND a.entry_key IS NOT DISTINCT FROM k.entry_key LEFT JOIN r b ON b.snapshot_no = k.last AND b.entry_key IS NOT DISTINCT FROM k.entry_key
+WHERE a.snapshot_no IS NULL OR b.snapshot_no IS NULL OR a.german_lemma IS DISTINCT FROM b.german_lemma OR a.english_lemma IS DISTINCT FROM b.english_lemma OR a.pos IS DISTINCT FROM b.pos
 """
 SQL = {
     "p2_found": _P2 + "SELECT * FROM o",
     "p2_report": _P2 + "SELECT 'level_entry' AS parent_table, a.round, a.period, n_refs, coalesce(n_orphans, 0) AS n_orphans FROM (SELECT round, strftime(decided_at, '%Y-%m') AS period, count(*) AS n_refs FROM r GROUP BY ALL) a LEFT JOIN (SELECT round, period, count(*) AS n_orphans FROM o GROUP BY ALL) b ON a.round IS NOT DISTINCT FROM b.round AND a.period IS NOT DISTINCT FROM b.period",
     "p3_found": _P3 + "SELECT raw_id, reason FROM g WHERE reason IS NOT NULL",
     "p3_loaded": _P3 + "SELECT raw_id, file_name, line_no, lemma, gloss, pos, nullif(cefr, '') AS level FROM g WHERE reason IS NULL",
+    "p3_summary": _P3 + """SELECT reason, col_no, rule, count(*) AS n_cells FROM (
+  SELECT reason, u.c AS col_no, u.rule FROM g, unnest(list_filter([
+    CASE WHEN regexp_replace(lemma, '[\\p{Z}\\p{C}]', '', 'g') = '' OR regexp_matches(lemma, '[\\p{Cc}\\x{FFFD}]') THEN {'c': 0, 'rule': 'lemma'} END,
+    CASE WHEN regexp_matches(gloss, '[\\p{Cc}\\x{FFFD}]') THEN {'c': CASE WHEN kind = 'tsv' THEN 2 ELSE 1 END, 'rule': 'text'} END,
+    CASE WHEN pos NOT IN (@TAGS) THEN {'c': CASE WHEN kind = 'tsv' THEN 1 ELSE 3 END, 'rule': 'upos'} END,
+    CASE WHEN kind = 'tsv' AND trim(x[4], ' ') NOT IN (@TAGS) THEN {'c': 3, 'rule': 'upos'} END,
+    CASE WHEN kind = 'tsv' AND cefr NOT IN (@LEVELS) THEN {'c': 4, 'rule': 'level'} END,
+    CASE WHEN kind = 'tsv' AND NOT (trim(x[6]) = '' OR regexp_full_match(x[6], '[0-9]*[1-9][0-9]*')) THEN {'c': 5, 'rule': 'rank'} END,
+    CASE WHEN kind = 'expansion' AND cefr NOT IN ('', @LEVELS) THEN {'c': 4, 'rule': 'level_or_blank'} END], lambda y: y IS NOT NULL)) AS t(u) WHERE reason = 'value'
+  UNION ALL SELECT reason, NULL, NULL FROM g WHERE reason IN ('quoting', 'column_count')) GROUP BY ALL""".replace("@TAGS", _TAGS).replace("@LEVELS", _LEVELS),
     "p5_found": _P5,
 }

@@ -12,11 +12,11 @@ def brute(rows):
     for n, key, at, a, b, *_ in rows:
         if n is not None and ((n, key) not in latest or (at is not None, at or datetime.min) > (latest[n, key][0] is not None, latest[n, key][0] or datetime.min)):
             latest[n, key] = (at, (a, b))
-    numbers = [n for n, _ in latest]
+    numbers = sorted({n for n, _ in latest})
     out = []
-    for n in range(min(numbers) + 1, max(numbers) + 1):
-        for key in {k for m, k in latest if m in (n, n - 1)}:
-            now, before = latest.get((n, key)), latest.get((n - 1, key))
+    for last, n in zip(numbers, numbers[1:], strict=False):
+        for key in {k for m, k in latest if m in (last, n)}:
+            now, before = latest.get((n, key)), latest.get((last, key))
             change = "added" if before is None else "removed" if now is None else "changed" if now[1] != before[1] else None
             if change:
                 out.append((n, key, change))
@@ -42,3 +42,10 @@ def test_ties_nulls_and_empty(spark):
     make = lambda x: snapshot_changes(spark.createDataFrame(x, SCHEMA), "entry_key", "snapshot_no", "delivered_at", ["a", "b"])
     assert rows_of(make(rows)) == rows_of(make(rows[::-1])) == [(2, "n", "changed")]
     assert make([]).count() == 0
+
+
+def test_numbers_with_gaps(spark):
+    t = datetime(2025, 1, 1)
+    rows = [(n, "k", t, v, None, "", "", 1) for n, v in ((10, "a"), (20, "b"), (30, "b"))] + [(n, "gone", t, "x", None, "", "", 1) for n in (10, 30)]
+    got = snapshot_changes(spark.createDataFrame(rows, SCHEMA), "entry_key", "snapshot_no", "delivered_at", ["a", "b"])
+    assert rows_of(got) == [(20, "gone", "removed"), (20, "k", "changed"), (30, "gone", "added")]
