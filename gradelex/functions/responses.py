@@ -33,6 +33,17 @@ def items(payload: Column, schema: str) -> Column:
     return F.from_json(body, f"array<{schema}>")
 
 
+def flat_items(payload: Column) -> Column:
+    """array<struct<key, value>> of a payload that is one object of texts, such as {"3": "Hund"}; null for any other shape."""
+    return F.map_entries(F.from_json(F.when(F.ltrim(payload).startswith("{"), payload), "map<string,string>"))
+
+
+def same_json(a: Column, b: Column) -> Column:
+    """Whether two texts are the same JSON value, whatever the blanks and the order of keys; texts that are no JSON compare as they stand."""
+    form = lambda c: F.coalesce(F.to_json(F.try_parse_json(c)), c)
+    return form(a).eqNullSafe(form(b))
+
+
 def slot_round(id_: Column) -> Column:
     """struct(slot, round) numbers inside an id such as "novel:slot:3:round:2", null where absent."""
     part = lambda k: F.nullif(F.regexp_extract(id_, rf"{k}:(\d+)", 1), F.lit("")).cast("int")

@@ -17,6 +17,8 @@ HAN_WIDE = r"[㐀-䶿一-鿿豈-﫿]"
 JUNK_LEMMAS = ("词", "复合词", "名词", "动词", "形容词", "副词", "介词", "代词", "连词", "感叹词", "X")
 FUNCTION_PREFIXES = ("to ", "the ", "a ", "an ", "of ", "in ", "at ", "on ", "by ", "for ", "with ", "from ", "his ", "her ", "their ", "our ", "my ", "your ", "its ")
 PLACEHOLDERS = ("Word_", "svord_", "word_")
+#: of these, those that a delivery leaves out
+DELIVERY_PLACEHOLDERS = ("Word_", "svord_")
 SPECIAL = r"""[?!@#$%^&*()_=+\[\]{};:"\\|<>~`]"""
 DIGIT_LEMMA = r"(?i)\A([0-9]|[0-9]+e|[0-9]+de|[0-9]+ste|[0-9]+g|co2|3d|.*打印)\z"
 TARGETS = {"A1": 600, "A2": 600, "B1": 1000, "B2": 2000, "C1": 4000}
@@ -111,8 +113,8 @@ def strip_article(c: Column) -> Column:
     return F.when(c.startswith("ال") & (F.length(c) > 3), F.substring(c, F.lit(3), F.length(c))).otherwise(c)
 
 
-def placeholder(lemma: Column) -> Column:
-    return reduce(lambda a, b: a | b, [lemma.startswith(p) for p in PLACEHOLDERS])
+def placeholder(lemma: Column, marks: tuple[str, ...] = PLACEHOLDERS) -> Column:
+    return reduce(lambda a, b: a | b, [lemma.startswith(p) for p in marks])
 
 
 def latin_pivot(lang: Column, chinese: Column) -> Column:
@@ -136,13 +138,18 @@ def last_json(text: Column) -> Column:
 
 
 def strip_thoughts(text: Column) -> Column:
-    return strip_ws(F.regexp_replace(F.regexp_replace(text, r"(?is)<think>.*?</think>", ""), r"(?m)^```\w*\s*$", ""))
+    """Without thought blocks, and without a code fence around the whole."""
+    shown = strip_ws(F.regexp_replace(text, r"(?is)<think>.*?</think>", ""))
+    return F.regexp_replace(shown, r"(?s)\A```\w*\s*(.*?)\s*```\z", "$1")
 
 
 def redact(text: Column, secret: str, length: int = 4000) -> Column:
     return F.substring(F.replace(text, F.lit(secret), F.lit("[redacted]")), 1, length)
 
 
-def retry_delay(attempt: Column, retry_after: Column, most: float = 60.0) -> Column:
-    """Seconds to wait: the server's Retry-After in seconds if it is a number, else two to the attempt, at most `most`."""
-    return F.coalesce(retry_after.try_cast("double"), F.least(F.lit(most), F.pow(F.lit(2.0), attempt)))
+def retry_delay(attempt: Column, retry_after: Column, most: float = 60.0, now: Column | None = None, jitter: Column | None = None) -> Column:
+    """Seconds to wait: the server's Retry-After, a number of seconds or an HTTP date after now, else two to the attempt and some jitter
+    (none by default), at most `most`."""
+    date = F.try_to_timestamp(F.regexp_replace(retry_after, r"\A\w+, ", ""), F.lit("dd MMM yyyy HH:mm:ss zzz"))
+    told = F.coalesce(retry_after.try_cast("double"), F.greatest(F.lit(0.0), (F.unix_timestamp(date) - F.unix_timestamp(now if now is not None else F.current_timestamp())).cast("double")))
+    return F.coalesce(told, F.least(F.lit(most), F.pow(F.lit(2.0), attempt) + (F.lit(0.0) if jitter is None else jitter)))

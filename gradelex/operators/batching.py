@@ -56,14 +56,15 @@ def exclusion_prefix(rows: DataFrame, group: list[str], order: str, cost: str, c
 
 
 def halved(rows: DataFrame, batch: list[str], order: str, cost: str, cap: int) -> DataFrame:
-    """rows with part: a batch over the cap is halved again and again until each part fits or is one row. A batch is
-    cut by one window over its own rows in as many rounds as the largest batch can need, ten at least, so that parts keep their
-    numbers; the size of that batch is counted first."""
+    """rows with part, numbered from 0 in each batch: a batch over the cap is halved again and again until each part fits. Of an odd number of
+    rows the second half has one more. A single row over the cap is an error.
+
+    A batch is moved once and then cut by windows over its own rows, in as many rounds as the largest batch can need, whose size is counted first."""
     most = rows.groupBy(*batch).count().agg(F.max("count")).first()[0] or 1
-    out = rows.withColumn("part", F.lit(0).cast("bigint"))
-    for _ in range(max(10, (most - 1).bit_length())):
-        key = [*batch, "part"]
-        w = Window.partitionBy(*key)
+    own = rows.repartition(*batch).withColumn("part", F.lit("").cast("string"))
+    for _ in range((most - 1).bit_length()):
+        w = Window.partitionBy(*batch, "part")
         n, total, place = F.count(F.lit(1)).over(w), F.sum(cost).over(w), F.row_number().over(w.orderBy(order))
-        out = out.withColumn("part", F.col("part") * 2 + F.when((total > cap) & (n > 1) & (place > F.ceil(n / 2)), 1).otherwise(0))
-    return out
+        own = own.withColumn("part", F.concat("part", F.when((total <= cap) | (n < 2), "").when(place > F.floor(n / 2), "1").otherwise("0")))
+    checked = F.when(F.col(cost) > cap, F.raise_error(F.concat(F.lit(f"a row costs more than {cap}: "), F.col(order).cast("string")))).otherwise(F.col("part"))
+    return own.withColumn("part", (F.dense_rank().over(Window.partitionBy(*batch).orderBy(checked)) - 1).cast("bigint"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,6 +80,16 @@ def fuzzy_singletons(tagged: DataFrame) -> DataFrame:
     return near.select("lang", "ord", "lemma", "coarse").distinct()
 
 
+def without_inflected(rows: DataFrame, tag: Callable[[DataFrame], DataFrame], fuzzy: bool = True) -> DataFrame:
+    """rows without inflected duplicates, in the languages of INFLECTED: those of clear clusters and, fuzzy, single ones close to a citation
+    form. tag is a tagger: it gives rows the columns base and upos. Other languages stay as they are."""
+    tagged = tag(rows.where(F.col("lang").isin(*INFLECTED)))
+    gone = inflected_clusters(tagged).select("ord")
+    if fuzzy:
+        gone = gone.unionByName(fuzzy_singletons(tagged).select("ord"))
+    return rows.join(gone.distinct(), "ord", "left_anti").select(*rows.columns)
+
+
 def positions(rows: DataFrame) -> DataFrame:
     """rows with place, the 0-based position in their list by line."""
     part = F.coalesce(F.floor(F.col("line") / 500), F.lit(-1))

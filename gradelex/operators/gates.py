@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradelex.functions.rules import ARABIC, FORBIDDEN_UPOS, HAN, HAN_WIDE, SPECIAL, latin_pivot, strip_arabic_marks, strip_article, text_problem
-from gradelex.functions.text import UPOS, casefold, nfc, strip_ws
+from gradelex.functions.rules import ARABIC, FORBIDDEN_UPOS, HAN_WIDE, SPECIAL, latin_pivot, strip_arabic_marks, strip_article, text_problem
+from gradelex.functions.text import DIGITS, UPOS, casefold, nfc, strip_ws
 from gradelex.operators.keep import keep_first
 
 
@@ -62,59 +66,92 @@ def capitalise_nouns(gated: DataFrame) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class Lexicon:
-    """Word lists of the dialect rules; the lists are parameters."""
+class Rule:
+    """A row of a dialect rule table. All conditions that are given must hold; the first rule of a table that holds decides.
 
-    drop: tuple[str, ...]
-    keep: tuple[str, ...]
-    clitic_stems: tuple[str, ...] = ()
+    words: the lemma is one of them, in one of forms (whole: as it stands; bare: without vowel marks; stem: bare and without article;
+    tail: bare, without a one-letter clitic). shape: a pattern the bare lemma has. tags, not_tags: the tag is, or is not, one of them.
+    gloss: the gloss is one of them. gloss_has: it contains one of them; gloss_lacks: it contains none of them."""
+
+    action: str
+    reason: str
+    words: tuple[str, ...] = ()
+    forms: tuple[str, ...] = ("whole", "bare", "stem")
+    shape: str = ""
+    tags: tuple[str, ...] = ()
+    not_tags: tuple[str, ...] = ()
+    gloss: tuple[str, ...] = ()
+    gloss_has: tuple[str, ...] = ()
+    gloss_lacks: tuple[str, ...] = ()
 
 
 # fixed values of the dialect rules
-VERB_ONLY = "روح"
-LOAN_HINTS = ("profile", "garage", "police", "apartment", "shower", "rent", "captain", "coat", "car", "phone", "train", "passport")
-LOAN_ENDING = r"\A[؀-ۿ]{3,}(يل|اج|يش|يون)\z"
+CLITICS = ("ب", "ف", "ك")
+LOAN_WORDS = ("profile", "garage", "police", "apartment", "shower", "rent", "captain", "coat", "car", "phone", "train", "passport")
+LOAN_SHAPE = r"\A[؀-ۿ]{3,}(يل|اج|يش|يون)\z"
+DIALECT_NOTES = ("colloquial", "dialect", "عامي")
+BY_TAG = (
+    Rule("drop", "discourse particle", ("يعني",), ("whole",), tags=("PART",)),
+    Rule("drop", "dialect conditional", ("كون",), ("whole",), tags=("SCONJ", "CCONJ", "PART")),
+    Rule("drop", "dialect conditional", ("كون",), ("whole",), gloss=("if", "if only")),
+    Rule("drop", "dialect auxiliary", ("لازم",), ("whole",), tags=("AUX",)),
+    Rule("drop", "dialect imperative", ("روح",), not_tags=("NOUN", "")),
+)
+BY_SENSE = (
+    Rule("drop", "dialect sense", ("سحاب",), ("bare",), gloss_has=("zipper",)),
+    Rule("drop", "dialect sense", ("عمر",), ("bare",), gloss=("never", "not ever")),
+    Rule("drop", "dialect sense", ("معمر",), ("bare",), gloss=("full", "stuffed")),
+    Rule("drop", "dialect sense", ("ولا",), ("bare",), gloss=("or",)),
+    Rule("drop", "dialect sense", ("ولا",), ("bare",), tags=("CCONJ", "CONJ"), gloss_has=("or",), gloss_lacks=("not",)),
+)
+
+
+def rule_table(drop: Iterable[str], keep: Iterable[str] = (), stems: Iterable[str] = ()) -> tuple[Rule, ...]:
+    """The rules in their order, with a lexicon of words to drop, words to keep and stems that only take a clitic in dialect."""
+    own = tuple(drop)
+    return (
+        *BY_TAG, Rule("ok", "allowed", tuple(keep)), Rule("drop", "closed set", own), Rule("drop", "clitic and dialect stem", (*stems, *own), ("tail",)),
+        Rule("drop", "loan", shape=LOAN_SHAPE, gloss_has=LOAN_WORDS), Rule("policy", "gloss names dialect", gloss_has=DIALECT_NOTES), *BY_SENSE,
+    )
 
 
-def dialect_class(lemma: Column, upos: Column, english: Column, lex: Lexicon) -> Column:
-    """struct(action, reason) for an Arabic lemma (already NFC): drop, policy or ok, by the first rule that applies."""
+def lexicon_rows(rules: Iterable[Rule]) -> list[tuple[str, str, str, str]]:
+    """(lemma, tag, action, reason) of what the table drops by word alone or by word and tag, the closed lexicon without any list."""
+    words = [(w, t, r.action, r.reason) for r in rules if r.action == "drop" and "whole" in r.forms and not (r.gloss or r.gloss_has) for w in r.words for t in (r.tags or ("",))]
+    return sorted(set(words))
+
+
+def dialect_class(lemma: Column, upos: Column, english: Column, rules: Iterable[Rule]) -> Column:
+    """struct(action, reason) for an Arabic lemma (already NFC): that of the first rule that holds, else ok. An empty lemma is ok."""
     bare = strip_arabic_marks(lemma)
-    stem = strip_article(bare)
-    up, en = F.upper(F.trim(F.coalesce(upos, F.lit("")))), F.lower(F.trim(F.coalesce(english, F.lit(""))))
-    plain = lambda words: tuple(dict.fromkeys("".join(c for c in w if not ("ً" <= c <= "ٟ" or c == "ٰ")) for w in words))
-    among = lambda c, words: c.isin(*words) if words else F.lit(False)
-    kept = among(lemma, lex.keep) | among(bare, plain(lex.keep)) | among(stem, plain(lex.keep))
-    dropped = among(lemma, lex.drop) | among(bare, plain(lex.drop)) | among(stem, plain(lex.drop))
-    rest = strip_arabic_marks(F.substring(lemma, F.lit(2), F.length(lemma)))
-    clitic = (F.length(lemma) >= 3) & F.substring(lemma, 1, 1).isin("ب", "ف", "ك") & among(rest, plain(lex.clitic_stems + lex.drop))
-    hinted = F.lit(False)
-    for h in LOAN_HINTS:
-        hinted = hinted | en.contains(h)
-    plain_or = (en == "or") | (up.isin("CCONJ", "CONJ") & en.contains("or") & ~en.contains("not"))
+    tail = F.when((F.length(lemma) > 2) & F.substring(lemma, 1, 1).isin(*CLITICS), strip_arabic_marks(F.substring(lemma, F.lit(2), F.length(lemma))))
+    forms = {"whole": lemma, "bare": bare, "stem": strip_article(bare), "tail": tail}
+    tag, gloss = F.upper(F.trim(F.coalesce(upos, F.lit("")))), F.lower(F.trim(F.coalesce(english, F.lit(""))))
+    has = lambda notes: reduce(or_, [gloss.contains(x) for x in notes])
+
+    def holds(r: Rule) -> Column:
+        parts = []
+        if r.words:
+            plain = {"".join(c for c in w if not unicodedata.combining(c)) for w in r.words}
+            parts.append(reduce(or_, [forms[f].isin(*(r.words if f == "whole" else sorted(plain))) for f in r.forms]))
+        parts += [bare.rlike(r.shape)] if r.shape else []
+        parts += [tag.isin(*r.tags)] if r.tags else []
+        parts += [~tag.isin(*r.not_tags)] if r.not_tags else []
+        parts += [gloss.isin(*r.gloss)] if r.gloss else []
+        parts += [has(r.gloss_has)] if r.gloss_has else []
+        parts += [~has(r.gloss_lacks)] if r.gloss_lacks else []
+        return F.coalesce(reduce(and_, parts), F.lit(False))
+
     verdict = lambda action, reason: F.struct(F.lit(action).alias("action"), F.lit(reason).alias("reason"))
-    return (
-        F.when(lemma == "", verdict("ok", "empty"))
-        .when((lemma == "يعني") & (up == "PART"), verdict("drop", "discourse particle"))
-        .when((lemma == "كون") & (up.isin("SCONJ", "CCONJ", "PART") | en.isin("if", "if only")), verdict("drop", "dialect conditional"))
-        .when((lemma == "لازم") & (up == "AUX"), verdict("drop", "dialect auxiliary"))
-        .when(((lemma == VERB_ONLY) | (bare == VERB_ONLY) | (stem == VERB_ONLY)) & ~up.isin("NOUN", ""), verdict("drop", "dialect imperative"))
-        .when(kept, verdict("ok", "allowed"))
-        .when(dropped, verdict("drop", "closed set"))
-        .when(clitic, verdict("drop", "clitic and dialect stem"))
-        .when(bare.rlike(LOAN_ENDING) & hinted, verdict("drop", "loan"))
-        .when(en.contains("colloquial") | en.contains("dialect") | en.contains("عامي"), verdict("policy", "gloss names dialect"))
-        .when((bare == "سحاب") & en.contains("zipper"), verdict("drop", "dialect sense"))
-        .when((bare == "عمر") & en.isin("never", "not ever"), verdict("drop", "dialect sense"))
-        .when((bare == "معمر") & en.isin("full", "stuffed"), verdict("drop", "dialect sense"))
-        .when((bare == "ولا") & plain_or, verdict("drop", "dialect sense"))
-        .otherwise(verdict("ok", "unmarked"))
-    )
+    # a rule without words of its own, as of an empty lexicon, says nothing
+    told = [r for r in rules if r.words or r.shape or r.tags or r.gloss or r.gloss_has]
+    return reduce(lambda out, r: out.when(holds(r), verdict(r.action, r.reason)), told, F.when(lemma == "", verdict("ok", "empty"))).otherwise(verdict("ok", "unmarked"))
 
 
-def dialect_inventory(rows: DataFrame, lex: Lexicon) -> DataFrame:
+def dialect_inventory(rows: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """Arabic rows that a dialect rule drops or marks, the first of each (level, lemma, tag, action)."""
     c = rows.where(F.col("lang") == "ar").withColumn("lemma", nfc("lemma"))
-    c = c.withColumn("v", dialect_class(F.col("lemma"), F.col("pos"), F.col("english"), lex)).where("v.action <> 'ok'")
+    c = c.withColumn("v", dialect_class(F.col("lemma"), F.col("pos"), F.col("english"), rules)).where("v.action <> 'ok'")
     return keep_first(c.select("*", "v.action", "v.reason").drop("v"), ["level", "lemma", "pos", "action"], "ord")
 
 
@@ -126,23 +163,31 @@ def apply_inventory(rows: DataFrame, inventory: DataFrame) -> DataFrame:
     return r.withColumns({"english": mark("english", " (colloquial)"), "chinese": mark("chinese", "（口语）")}).select(*rows.columns)
 
 
-def sample_score(rows: DataFrame, lex: Lexicon, fixed_forms: DataFrame | None = None) -> DataFrame:
+def sample_score(rows: DataFrame, rules: Iterable[Rule], fixed_forms: DataFrame | None = None, dropped: DataFrame | None = None) -> DataFrame:
     """rows with verdict and note. fixed_forms (lang, lemma, pos, english_has, verdict, note; null matches anything) are the known bad
-    forms, a parameter; Arabic rows otherwise follow the dialect rules."""
-    r = rows.withColumn("v", dialect_class(nfc("lemma"), F.col("pos"), F.col("english"), lex))
+    forms, dropped an inventory (level, lemma, pos, action) of Arabic rows; both are parameters. In this order: empty fields, Latin letters in the
+    pivot, text that is not composed, symbols, known forms, the inventory, the dialect rules."""
+    r = rows.withColumns({"v": dialect_class(nfc("lemma"), F.col("pos"), F.col("english"), rules), "loose": (nfc("lemma") != F.col("lemma")) | (nfc("english") != F.col("english")) | (nfc("chinese") != F.col("chinese"))})
     if fixed_forms is not None:
-        f = fixed_forms.withColumnRenamed("pos", "fpos")
-        cond = (r.lang == f.lang) & (r.lemma == f.lemma) & (f.fpos.isNull() | (r.pos == f.fpos)) & (f.english_has.isNull() | F.lower(r.english).contains(f.english_has))
-        hit = r.join(f, cond).groupBy(r.ord).agg(F.min(F.struct(f.verdict, f.note)).alias("f"))
+        f = fixed_forms.select("lang", "lemma", F.col("pos").alias("fpos"), "english_has", F.struct("verdict", "note").alias("f"))
+        fits = (F.col("fpos").isNull() | (F.col("pos") == F.col("fpos"))) & (F.col("english_has").isNull() | F.lower("english").contains(F.col("english_has")))
+        hit = r.select("ord", "lang", "lemma", "pos", "english").join(f, ["lang", "lemma"]).where(fits).groupBy("ord").agg(F.min("f").alias("f"))
         r = r.join(hit, "ord", "left")
     else:
         r = r.withColumn("f", F.expr("cast(null as struct<verdict:string,note:string>)"))
+    if dropped is not None:
+        listed = dropped.where("action = 'drop'").select(F.lit("ar").alias("lang"), "level", "lemma", "pos").distinct().withColumn("listed", F.lit(True))
+        r = r.join(listed, ["lang", "level", "lemma", "pos"], "left")
+    else:
+        r = r.withColumn("listed", F.lit(None).cast("boolean"))
     verdict = lambda a, b: F.struct(F.lit(a).alias("verdict"), F.lit(b).alias("note"))
     score = (
         F.when((F.col("lemma") == "") | (F.col("english") == "") | (F.col("chinese") == ""), verdict("fix", "empty field"))
         .when(latin_pivot(F.col("lang"), F.col("chinese")), verdict("fix", "latin pivot"))
+        .when(F.col("loose"), verdict("fix", "not composed"))
         .when(F.col("lemma").isin("°", "º", "d'r"), verdict("drop", "junk symbol"))
         .when(F.col("f").isNotNull(), F.col("f"))
+        .when(F.col("listed"), verdict("drop", "inventory"))
         .when((F.col("lang") == "ar") & (F.col("v.action") == "drop"), F.struct(F.lit("drop").alias("verdict"), F.concat(F.lit("classifier:"), F.col("v.reason")).alias("note")))
         .when((F.col("lang") == "ar") & (F.col("v.action") == "policy"), verdict("keep", "policy"))
         .otherwise(verdict("keep", "clean"))
@@ -151,12 +196,13 @@ def sample_score(rows: DataFrame, lex: Lexicon, fixed_forms: DataFrame | None =
 
 
 def candidate_problems(rows: DataFrame) -> DataFrame:
-    """rows with problem, why a new candidate cannot be taken, or null: drop, tag, space, digit, special, initial (where column
-    initial asks for one), not NFC."""
+    """rows with problem, why a new candidate cannot be taken, or null: drop, tag, space, digit (of any script), special, initial (where
+    column initial asks for one, whatever the case), nfc (lemma, gloss or pivot not composed)."""
     w = F.col("lemma")
+    loose = reduce(or_, [nfc(c) != F.col(c) for c in ("lemma", "english", "chinese")])
     problem = (
         F.when(F.col("action") == "drop", "drop").when(~F.col("pos").isin(*UPOS) | F.col("pos").isin(*FORBIDDEN_UPOS), "tag").when(w.rlike(r"(?U)\s"), "space")
-        .when(w.rlike("[0-9]"), "digit").when(w.rlike(SPECIAL), "special").when(F.col("initial").isNotNull() & ~F.lower(w).startswith(F.lower("initial")), "initial").when(nfc("lemma") != w, "nfc")
+        .when(w.rlike(DIGITS), "digit").when(w.rlike(SPECIAL), "special").when(F.col("initial").isNotNull() & ~casefold("lemma").startswith(casefold("initial")), "initial").when(loose, "nfc")
     )
     return rows.withColumn("problem", problem)
 
@@ -170,28 +216,48 @@ def schema_problems(rows: DataFrame, fields: list[str]) -> DataFrame:
 
 def sentence_problems(sentences: DataFrame) -> DataFrame:
     """sentences (sent_id, lang, text, target_ids array, targets array<struct<id, lemma, pos>>, tokens array<struct<id int, form, lemma,
-    upos>>) with problems: ids not 1..n, tag X, punctuation or Chinese lemma unlike its form, no Arabic script, forms that
-    do not join to the text, target ids unlike the targets', a missing target, German case and infinitive."""
+    upos>>) with problems: token_ids not 1..n; nfc, some text not composed; tag_x; punct_lemma unlike its form; zh_lemma, of another token
+    than punctuation, unlike its form; ar_script, such a lemma without Arabic letters; text, forms do not join to it; target_ids unlike the
+    targets'; missing_target, no token with a form has its lemma and tag; de_noun, de_verb, German case and infinitive.
+
+    Texts are composed and case folded as one text each, parts set apart by a control character, since the functions that do so take columns."""
+    part = "\u001f"
     tok = F.col("tokens")
+    words = lambda field: F.array_join(F.transform(tok, lambda t: F.coalesce(t[field], F.lit(""))), part)
+    every = F.concat_ws(part, "sent_id", "text", F.array_join("target_ids", part), words("form"), words("lemma"))
+    s = sentences.withColumns({"_all": every, "_lemmas": words("lemma"), "_wanted": F.array_join(F.transform("targets", lambda g: F.coalesce(g["lemma"], F.lit(""))), part)})
+    s = s.withColumns({"_loose": nfc("_all") != F.col("_all"), "_low": F.split(casefold("_lemmas"), part, -1), "_want": F.split(casefold("_wanted"), part, -1)})
     any_ = lambda f: F.exists(tok, f)
+    is_a = lambda lang: F.col("lang") == lang
     joined = F.array_join(F.transform(tok, lambda t: t["form"]), "")
-    low = lambda c: F.lower(c)
-    covered = F.forall("targets", lambda g: F.exists(tok, lambda t: (low(t["lemma"]) == low(g["lemma"])) & (t["upos"] == g["pos"])))
+    here = F.arrays_zip(tok.alias("t"), F.col("_low").alias("low"))
+    wanted = F.filter(F.arrays_zip(F.col("targets").alias("g"), F.col("_want").alias("low")), lambda x: x["g"].isNotNull())
+    covered = F.forall(wanted, lambda g: F.exists(here, lambda t: (t["low"] == g["low"]) & (t["t"]["upos"] == g["g"]["pos"]) & (F.coalesce(t["t"]["form"], F.lit("")) != "")))
     head = lambda t: F.substring(t["lemma"], 1, 1)
     checks = {
         "token_ids": F.transform(tok, lambda t: t["id"]) != F.transform(tok, lambda t, i: i + 1),
+        "nfc": F.col("_loose"),
         "tag_x": any_(lambda t: t["upos"] == "X"),
         "punct_lemma": any_(lambda t: (t["upos"] == "PUNCT") & (t["lemma"] != t["form"])),
-        "zh_lemma": (F.col("lang") == "zh") & any_(lambda t: t["lemma"] != t["form"]),
-        "ar_script": (F.col("lang") == "ar") & ~F.col("text").rlike(ARABIC),
-        "zh_script": (F.col("lang") == "zh") & ~F.col("text").rlike(HAN),
-        "text": joined != F.regexp_replace("text", r"(?U)\s", ""),
+        "zh_lemma": is_a("zh") & any_(lambda t: (t["upos"] != "PUNCT") & (t["lemma"] != t["form"])),
+        "ar_script": is_a("ar") & any_(lambda t: (t["upos"] != "PUNCT") & ~t["lemma"].rlike(ARABIC)),
+        "text": joined != F.regexp_replace("text", r"(?U)[\s\x1C-\x1F]", ""),
         "target_ids": F.col("target_ids") != F.transform("targets", lambda g: g["id"]),
         "missing_target": ~covered,
-        "de_noun": (F.col("lang") == "de") & any_(lambda t: (t["upos"] == "NOUN") & (F.lower(head(t)) == head(t)) & (F.upper(head(t)) != head(t))),
-        "de_verb": (F.col("lang") == "de") & any_(lambda t: (t["upos"] == "VERB") & ~low(t["lemma"]).endswith("n")),
+        "de_noun": is_a("de") & any_(lambda t: (t["upos"] == "NOUN") & ~((F.upper(head(t)) == head(t)) & (F.lower(head(t)) != head(t)))),
+        "de_verb": is_a("de") & any_(lambda t: (t["upos"] == "VERB") & ~F.lower(t["lemma"]).endswith("n")),
     }
-    return sentences.withColumn("problems", F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in checks.items()])))
+    return s.withColumn("problems", F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in checks.items()]))).select(*sentences.columns, "problems")
+
+
+def batch_problems(sentences: DataFrame, assigned: DataFrame) -> DataFrame:
+    """(batch, problem) for batches of sentences (batch, place, sent_id, text): order, where the ids are not those assigned (batch, place,
+    sent_id) at their places; repeated_text, where two sentences have one text. Places are compared one by one and texts counted, so no batch
+    is gathered."""
+    j = sentences.alias("a").join(assigned.alias("b"), ["batch", "place"], "full").where(~F.col("a.sent_id").eqNullSafe(F.col("b.sent_id")))
+    order = j.select("batch").distinct().withColumn("problem", F.lit("order"))
+    again = sentences.groupBy("batch", "text").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("batch").distinct()
+    return order.unionByName(again.withColumn("problem", F.lit("repeated_text")))
 
 
 def repeated_ids(batches: DataFrame, array_col: str, id_field: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradelex.functions.text import level_index, strip_ws
+from gradelex.functions.text import casefold, level_index, strip_ws
 from gradelex.operators.keep import keep_first
 
 # rows: lang, level, ord (unique), line, lemma, english, chinese, pos; a term names a row when its lemma equals it, whatever the case
@@ -73,3 +73,14 @@ def update(rows: DataFrame, terms: DataFrame) -> DataFrame:
     return out.withColumns({c: F.coalesce(f"new_{c}", c) for c in ("lemma", "english", "chinese")}).select(*rows.columns)
 
 
+
+
+def language_codes(rows: DataFrame, column: str, profile: DataFrame, strict: bool = False) -> DataFrame:
+    """rows with code, that of the language a column names by its code, directory, display name or own name, whatever the case. Where it names none, code
+    is null, or strict, an error. profile has one row per language."""
+    names = F.array_distinct(F.array(*[casefold(strip_ws(F.col(c))) for c in ("code", "directory", "display_name", "endonym")]))
+    known = profile.select("code", F.explode(names).alias("_name")).dropDuplicates(["_name"])
+    out = rows.withColumn("_name", casefold(strip_ws(F.col(column)))).join(known, "_name", "left").drop("_name")
+    if strict:
+        return out.withColumn("code", F.coalesce("code", F.raise_error(F.concat(F.lit("no such language: "), F.coalesce(F.col(column), F.lit("null"))))))
+    return out

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gradelex.functions.rules import SPECIAL, TARGETS, digits_allowed
 from gradelex.functions.text import LEVELS, level_index, strip_ws
 from gradelex.operators.keep import repeats
+from gradelex.operators.spread import join_groups
 
 # rows: lang, level, ord (unique), line, lemma, english, chinese, pos
 
@@ -21,17 +22,21 @@ def quality_key(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"key_lemma": F.lower(strip_ws(F.col("lemma"))), "key_pos": pos})
 
 
-def row_issues(rows: DataFrame) -> DataFrame:
-    """(lang, level, ord, code, is_warning) for each defect of each row; an empty lemma hides the row's other defects."""
+def _codes() -> Column:
+    """The codes of a row's defects; an empty lemma hides the row's other defects."""
     w, t1, t2 = (strip_ws(F.col(c)) for c in ("lemma", "english", "chinese"))
     when = lambda cond, code: F.when(cond, F.lit(code))
-    codes = F.when(w == "", F.array(F.lit("empty_lemma"))).otherwise(
+    return F.when(w == "", F.array(F.lit("empty_lemma"))).otherwise(
         F.array_compact(F.array(
             when(w != F.col("lemma"), "lemma_edge_space"), when(w.contains(" "), "multi_word"), when(w.rlike("[0-9]") & ~digits_allowed(w), "digits"), when(w.rlike(SPECIAL), "special_chars"),
             when(t1 == "", "missing_t1"), when((t1 != "") & (t1 != F.col("english")), "t1_edge_space"), when(t2 == "", "missing_t2"), when((t2 != "") & (t2 != F.col("chinese")), "t2_edge_space"),
         ))
     )
-    out = rows.select("lang", "level", "ord", F.explode(codes).alias("code"))
+
+
+def row_issues(rows: DataFrame) -> DataFrame:
+    """(lang, level, ord, code, is_warning) for each defect of each row."""
+    out = rows.select("lang", "level", "ord", F.explode(_codes()).alias("code"))
     return out.withColumn("is_warning", F.col("code") == "missing_t2")
 
 
@@ -43,11 +48,12 @@ def level_duplicates(rows: DataFrame) -> DataFrame:
 
 def cross_level_duplicates(rows: DataFrame) -> DataFrame:
     """Rows whose (lemma, tag) already stands in a lower level; each row counts. The lowest level of a key comes from a
-    map-side combined minimum over at most five levels, so the join has one row per key."""
+    map-side combined minimum over at most five levels, so the join has one row per key, salted where a key has very many rows."""
     keyed = quality_key(rows).where("key_lemma <> ''").withColumn("li", level_index(F.col("level")))
     per_level = keyed.groupBy("lang", "key_lemma", "key_pos", "li").agg(F.count(F.lit(1)).alias("n"))
-    first = per_level.groupBy("lang", "key_lemma", "key_pos").agg(F.min("li").alias("first_li"), F.count(F.lit(1)).alias("levels")).where("levels > 1")
-    return keyed.join(first, ["lang", "key_lemma", "key_pos"]).where("li > first_li").select("lang", "level", "ord", "lemma", "key_pos", F.element_at(F.array(*[F.lit(x) for x in LEVELS]), F.col("first_li")).alias("first_level"))
+    first = per_level.groupBy("lang", "key_lemma", "key_pos").agg(F.min("li").alias("first_li"), F.count(F.lit(1)).alias("levels"), F.sum("n").alias("_n")).where("levels > 1").drop("levels")
+    met = join_groups(keyed, first, ["lang", "key_lemma", "key_pos"], "_n", "ord", rows.count())
+    return met.where("li > first_li").select("lang", "level", "ord", "lemma", "key_pos", F.element_at(F.array(*[F.lit(x) for x in LEVELS]), F.col("first_li")).alias("first_level"))
 
 
 def level_counts(rows: DataFrame, tolerance: float = 0.05) -> DataFrame:
@@ -65,9 +71,14 @@ def shared_translations(rows: DataFrame, names: Column | None = None) -> DataFra
 
 
 def issue_totals(rows: DataFrame) -> DataFrame:
-    """Issues of each language from all checks, and its exit code: 1 if there is any."""
-    from_rows = row_issues(rows).where("not is_warning").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    others = [f(rows).groupBy("lang").agg(F.count(F.lit(1)).alias("n")) for f in (level_duplicates, cross_level_duplicates)]
-    total = from_rows.unionByName(others[0]).unionByName(others[1]).groupBy("lang").agg(F.sum("n").alias("issues"))
-    langs = rows.select("lang").distinct()
-    return langs.join(total, "lang", "left").select("lang", F.coalesce("issues", F.lit(0)).cast("bigint").alias("issues"), F.when(F.coalesce("issues", F.lit(0)) > 0, 1).otherwise(0).alias("exit_code"))
+    """Issues of each language from all checks, and its exit code: 1 if there is any. One pass: rows and their defects are counted per key and
+    level, from which duplicates within and across levels follow without naming the rows."""
+    defects = F.size(F.filter(_codes(), lambda c: c != "missing_t2"))
+    keyed = quality_key(rows).withColumns({"li": level_index(F.col("level")), "d": defects})
+    per_level = keyed.groupBy("lang", "key_lemma", "key_pos", "level", "li").agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("d"))
+    levels = F.collect_list(F.struct("li", "n"))  # at most one entry per level
+    keys = per_level.groupBy("lang", "key_lemma", "key_pos").agg(F.sum("d").alias("d"), F.sum(F.col("n") - 1).alias("again"), F.min("li").alias("first"), levels.alias("levels"))
+    higher = F.aggregate(F.filter("levels", lambda x: x["li"] > F.col("first")), F.lit(0).cast("bigint"), lambda s, x: s + x["n"])
+    issues = F.col("d") + F.when(F.col("key_lemma") != "", F.col("again") + higher).otherwise(0)
+    total = keys.groupBy("lang").agg(F.sum(issues).cast("bigint").alias("issues"))
+    return total.select("lang", "issues", F.when(F.col("issues") > 0, 1).otherwise(0).alias("exit_code"))

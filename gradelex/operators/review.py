@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradelex.functions.rules import norm_gloss, norm_pivot
-from gradelex.functions.text import LEVELS, level_index, strip_ws
+from gradelex.functions.text import LEVELS, casefold, level_index, nfc, strip_ws, word_key
 from gradelex.operators.keep import keep_first
 
 FIELDS = ("lemma", "english", "chinese", "pos")
@@ -42,11 +44,20 @@ def align_reviews(expected: DataFrame, reviewed: DataFrame) -> DataFrame:
     return a.join(b, "id", "full").select("id", F.when(F.col("nb").isNull(), "missing").when(F.col("na").isNull(), "unknown").when(F.col("nb") > 1, "repeated").otherwise("ok").alias("status"))
 
 
+def in_order(expected: DataFrame, reviewed_rows: DataFrame) -> DataFrame:
+    """reviewed_rows (id, …) in the order of expected (id, place): each with its place. An id that is missing, unknown or repeated is an error."""
+    n = reviewed_rows.groupBy("id").agg(F.count(F.lit(1)).alias("_n"))
+    state = expected.select("id", "place").join(n, "id", "full")
+    bad = F.when(F.col("place").isNull(), "unknown").when(F.col("_n").isNull(), "missing").when(F.col("_n") > 1, "repeated")
+    checked = state.withColumn("place", F.when(bad.isNotNull(), F.raise_error(F.concat_ws(" ", bad, F.lit("id"), F.col("id").cast("string")))).otherwise(F.col("place")))
+    return checked.drop("_n").join(reviewed_rows, "id", "left")
+
+
 def compare_reviews(one: DataFrame, two: DataFrame) -> DataFrame:
-    """(batch, n, agreed, all_agree): how far two reviews of (batch, id, lemma, english, chinese, pos, action) agree after white space runs
-    are one blank and the gloss is in one case; one null-safe comparison per id, one boolean aggregate per batch."""
-    form = lambda c, low: F.lower(F.regexp_replace(strip_ws(F.col(c)), r"(?U)\s+", " ")) if low else F.regexp_replace(strip_ws(F.col(c)), r"(?U)\s+", " ")
-    shape = lambda df: df.select("batch", "id", F.struct(form("lemma", False).alias("a"), form("english", True).alias("b"), form("chinese", False).alias("c"), F.col("pos").alias("d"), F.col("action").alias("e")).alias("v"))
+    """(batch, n, agreed, all_agree): how far two reviews of (batch, id, lemma, english, chinese, pos, action) agree once texts are composed, white
+    space runs are one blank and the gloss is case folded; one null-safe comparison per id, one boolean aggregate per batch."""
+    form = lambda c: strip_ws(F.regexp_replace(nfc(c), r"(?U)\s+", " "))
+    shape = lambda df: df.select("batch", "id", F.struct(form("lemma").alias("a"), casefold(form("english")).alias("b"), form("chinese").alias("c"), F.col("pos").alias("d"), F.col("action").alias("e")).alias("v"))
     j = shape(one).join(shape(two).select("id", F.col("v").alias("w")), "id", "left").withColumn("same", F.col("v").eqNullSafe(F.col("w")))
     return j.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("same").cast("bigint")).alias("agreed"), F.bool_and("same").alias("all_agree"))
 
@@ -59,33 +70,85 @@ def batch_identity(expected: DataFrame, returned: DataFrame) -> DataFrame:
 
 
 def collision_keys(rows: DataFrame) -> DataFrame:
-    """(lang, level, key, pos) of rows whose key (lower-case lemma and tag) also stands on another level of the language."""
-    k = rows.select("lang", "level", F.lower(strip_ws(F.col("lemma"))).alias("key"), "pos").where("key <> ''").distinct()
+    """(lang, level, key, pos) of rows whose key (composed and case-folded lemma, and tag) also stands on another level of the language."""
+    k = rows.select("lang", "level", word_key("lemma").alias("key"), "pos").where("key <> ''").distinct()
     many = k.groupBy("lang", "key", "pos").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("lang", "key", "pos")
     return k.join(many, ["lang", "key", "pos"], "left_semi")
 
 
 def review_dedupe(rows: DataFrame, taken: DataFrame) -> DataFrame:
-    """Rows not dropped, whose key (lower lemma, tag) is not taken (lang, key, pos), the first of each key."""
-    k = rows.where("action <> 'drop'").withColumn("key", F.lower(strip_ws(F.col("lemma"))))
+    """Rows not dropped, whose key (word_key of the lemma, tag) is not taken (lang, key, pos), the first of each key."""
+    k = rows.where("action <> 'drop'").withColumn("key", word_key("lemma"))
     return keep_first(k.join(taken, ["lang", "key", "pos"], "left_anti"), ["lang", "key", "pos"], "ord")
 
 
+def repeated_keys(rows: DataFrame, taken: DataFrame) -> DataFrame:
+    """(lang, key, pos, n, collides) of final rows that a review may not leave: a key that stands n times, or is taken (lang, key, pos) on another
+    level. Empty for a review that may be written."""
+    n = rows.select("lang", word_key("lemma").alias("key"), "pos").groupBy("lang", "key", "pos").agg(F.count(F.lit(1)).alias("n"))
+    j = n.join(taken.select("lang", "key", "pos").distinct().withColumn("hit", F.lit(True)), ["lang", "key", "pos"], "left")
+    return j.where("n > 1 or hit").select("lang", "key", "pos", "n", F.coalesce("hit", F.lit(False)).alias("collides"))
+
+
+def kept_rows(rows: DataFrame) -> DataFrame:
+    """rows as reviews that keep them; a row without a pivot gloss is an error."""
+    checked = F.when(F.coalesce("chinese", F.lit("")) == "", F.raise_error(F.concat(F.lit("no pivot gloss in row "), F.col("ord").cast("string")))).otherwise(F.col("chinese"))
+    return rows.withColumns({"chinese": checked, "action": F.lit("keep")})
+
+
+def appended(committed: DataFrame, more: DataFrame) -> DataFrame:
+    """committed rows of a list and further ones after them: the lines of the latter go on from the list's last. Both: list_id, line, ord."""
+    last = committed.groupBy("list_id").agg(F.max("line").alias("_last"))
+    first = more.groupBy("list_id").agg(F.min("line").alias("_first"))
+    shift = first.join(last, "list_id", "left").select("list_id", F.greatest(F.coalesce("_last", F.lit(1)) + 1 - F.col("_first"), F.lit(0)).alias("_by"))
+    moved = more.join(shift, "list_id").withColumn("line", (F.col("line") + F.col("_by")).cast("int")).drop("_by")
+    return committed.unionByName(moved.select(*committed.columns))
+
+
+def beyond(rows: DataFrame, accepted: DataFrame) -> DataFrame:
+    """rows that are not among the accepted ones (ord): what a refill added, or what of it still waits."""
+    return rows.join(accepted.select("ord"), "ord", "left_anti")
+
+
+def same_ids(one: DataFrame, two: DataFrame) -> DataFrame:
+    """(batch, equal): whether both sides (batch, id) have the same set of ids."""
+    side = lambda df, k: df.groupBy("batch", "id").agg(F.lit(k).alias("k"))
+    n = side(one, 1).unionByName(side(two, 1)).groupBy("batch", "id").agg(F.sum("k").alias("n"))
+    return n.groupBy("batch").agg(F.bool_and(F.col("n") == 2).alias("equal"))
+
+
+def reviewed(rows: DataFrame, decisions: DataFrame, taken: DataFrame, issues: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """A whole review: (rows to write, problems). Decisions are applied, dropped rows leave, and the rest goes through the gates.
+
+    problems (list_id, ord, problem): a decision that does not fit its row, a gate code, a key that stands twice in its list's language or is taken
+    (lang, key, pos). Nothing of a list with problems may be written, so such lists are not among the rows. issues gives rows an array `issues`."""
+    done = apply_decisions(rows, decisions)
+    live = issues(done.where("outcome <> 'dropped'").withColumn("action", F.when(F.col("outcome") == "fixed", "fix").otherwise("keep"))).withColumn("key", word_key("lemma"))
+    bad = repeated_keys(live, taken).select("lang", "key", "pos", F.when(F.col("collides"), "collision").otherwise("repeated").alias("problem"))
+    found = live.where("outcome = 'mismatch'").select("list_id", "ord", F.lit("mismatch").alias("problem"))
+    found = found.unionByName(live.select("list_id", "ord", F.explode("issues").alias("problem"))).unionByName(live.join(bad, ["lang", "key", "pos"]).select("list_id", "ord", "problem"))
+    return live.drop("issues", "key", "outcome").join(found.select("list_id").distinct(), "list_id", "left_anti"), found
+
+
 def frozen_split(rows: DataFrame, validated: DataFrame) -> DataFrame:
     """rows with frozen: whether their fingerprint was validated before."""
     return rows.join(validated.select("fingerprint").distinct().withColumn("hit", F.lit(True)), "fingerprint", "left").withColumn("frozen", F.coalesce("hit", F.lit(False))).drop("hit")
 
 
-def represented_split(concepts: DataFrame, rows: DataFrame) -> DataFrame:
-    """concepts (gloss, pos) with represented: whether a row of the language has the concept's normalised gloss and tag."""
-    have = rows.select(norm_gloss(F.col("english")).alias("g"), "pos").distinct().withColumn("hit", F.lit(True))
-    return concepts.withColumn("g", norm_gloss(F.col("gloss"))).join(have, ["g", "pos"], "left").select("gloss", "pos", F.coalesce("hit", F.lit(False)).alias("represented"))
+def represented_split(concepts: DataFrame, rows: DataFrame, skipped: DataFrame | None = None) -> DataFrame:
+    """concepts (gloss, pos) with represented: whether a row of the language has the concept's gloss and tag, by word_key, or they are
+    skipped (key, pos)."""
+    have = rows.select(word_key("english").alias("k"), "pos")
+    if skipped is not None:
+        have = have.unionByName(skipped.select(F.col("key").alias("k"), "pos"))
+    have = have.distinct().withColumn("hit", F.lit(True))
+    return concepts.withColumn("k", word_key("gloss")).join(have, ["k", "pos"], "left").select("gloss", "pos", F.coalesce("hit", F.lit(False)).alias("represented"))
 
 
 def rejected_keys(decisions: DataFrame) -> DataFrame:
-    """Distinct lower-case lemmas and glosses that decisions dropped, with what they are."""
-    d = decisions.where("action = 'drop'")
-    part = lambda c, kind: d.select(F.lower(strip_ws(F.col(c))).alias("key"), F.lit(kind).alias("kind")).where("key <> ''")
+    """Distinct (key, pos, kind) of what decisions were about: the word_key of the expected lemma, or gloss, with the expected tag. Any decision
+    counts, as a line that was decided on is not to be proposed again."""
+    part = lambda c, kind: decisions.select(word_key(c).alias("key"), F.col("expected.upos").alias("pos"), F.lit(kind).alias("kind")).where("key is not null")
     return part("expected.lemma", "lemma").unionByName(part("expected.english_lemma", "english")).distinct()
 
 
@@ -115,10 +178,11 @@ def concept_level(concepts: DataFrame, rows: DataFrame, default: str = "B1") ->
 
 
 def apply_verdicts(items: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """items (id, lemma, …) with what their verdict (id, verdict, new_lemma) makes of them; without one, or with drop, they leave."""
-    one = verdicts.groupBy("id").agg(F.max(F.struct("verdict", "new_lemma")).alias("v"))
-    j = items.join(one, "id").where("v.verdict in ('keep', 'fix')")
-    return j.withColumn("lemma", F.when(F.col("v.verdict") == "fix", F.coalesce("v.new_lemma", "lemma")).otherwise(F.col("lemma"))).drop("v")
+    """items (id, lemma, …) with what their last verdict (id, ord, verdict, new_lemma) makes of them: keep leaves them, fix gives the new lemma,
+    trimmed. Without a verdict, with drop or with a fix to nothing they leave."""
+    one = verdicts.groupBy("id").agg(F.max(F.struct("ord", "verdict", "new_lemma")).alias("v"))
+    j = items.join(one, "id").withColumn("_new", F.when(F.col("v.verdict") == "fix", strip_ws(F.coalesce("v.new_lemma", F.lit("")))))
+    return j.where("v.verdict = 'keep' or _new <> ''").withColumn("lemma", F.coalesce("_new", "lemma")).drop("v", "_new")
 
 
 def blank_glosses(rows: DataFrame) -> DataFrame:

@@ -2,30 +2,30 @@
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradelex.functions.text import strip_ws
+from gradelex.functions.text import casefold, strip_ws
 from gradelex.operators.keep import numbered
 
 STRATA = ("edited", "pos_or_key_changed", "new_or_renamed", "unchanged")
 
 
 def classify_changes(proposed: DataFrame, committed: DataFrame) -> DataFrame:
-    """proposed rows with change: unchanged or edited where the committed list has the lemma and tag, pos_or_key_changed where it
-    has the lemma only, else new_or_renamed. The first committed row of each key counts. Case is ignored in keys."""
-    key = lambda df: df.withColumns({"kl": F.lower(strip_ws(F.col("lemma"))), "kp": F.lower(strip_ws(F.col("pos")))})
-    c = key(committed)
-    full = c.groupBy("list_key", "kl", "kp").agg(F.min(F.struct("ord", "lemma", "english", "chinese", "pos")).alias("f"))
-    lemma = c.groupBy("list_key", "kl").agg(F.min("ord").alias("l"))
-    j = key(proposed).join(full, ["list_key", "kl", "kp"], "left").join(lemma, ["list_key", "kl"], "left")
-    same = F.lit(True)
-    for x in ("lemma", "english", "chinese", "pos"):
-        same = same & (F.col(x) == F.col(f"f.{x}"))
-    change = F.when(F.col("f").isNotNull() & same, "unchanged").when(F.col("f").isNotNull(), "edited").when(F.col("l").isNotNull(), "pos_or_key_changed").otherwise("new_or_renamed")
-    return j.withColumn("change", change).drop("kl", "kp", "f", "l")
+    """proposed rows with change: unchanged or edited where the committed list (list_key) has the lemma and tag, as both glosses are the same or
+    not; pos_or_key_changed where it has the lemma only; else new_or_renamed. A list without committed rows counts as unchanged. The first
+    committed row of each key counts. Keys are trimmed and case folded, so another case of the lemma or tag is no change."""
+    key = lambda df: df.withColumns({"kl": casefold(strip_ws(F.col("lemma"))), "kp": casefold(strip_ws(F.col("pos"))), "g1": strip_ws(F.col("english")), "g2": strip_ws(F.col("chinese"))})
+    c = key(committed).select("list_key", "kl", "kp", "ord", "g1", "g2")
+    full = c.groupBy("list_key", "kl", "kp").agg(F.min(F.struct("ord", "g1", "g2")).alias("f"))
+    lemma = full.groupBy("list_key", "kl").agg(F.lit(True).alias("l"))
+    lists = full.groupBy("list_key").agg(F.lit(True).alias("any"))
+    j = key(proposed).join(full, ["list_key", "kl", "kp"], "left").join(lemma, ["list_key", "kl"], "left").join(lists, "list_key", "left")
+    same = (F.col("g1") == F.col("f.g1")) & (F.col("g2") == F.col("f.g2"))
+    change = F.when(F.col("any").isNull() | same, "unchanged").when(F.col("f").isNotNull(), "edited").when(F.col("l"), "pos_or_key_changed").otherwise("new_or_renamed")
+    return j.withColumn("change", change).drop("kl", "kp", "g1", "g2", "f", "l", "any")
 
 
 def sample_size(n: Column, margin: float = 0.20, z: float = 1.96, p: float = 0.5) -> Column:
@@ -35,39 +35,42 @@ def sample_size(n: Column, margin: float = 0.20, z: float = 1.96, p: float = 0.5
     return F.when(n <= 0, F.lit(0)).otherwise(F.greatest(F.lit(1), F.least(n, size))).cast("bigint")
 
 
-def allocate(sizes: list[int], total: int) -> list[int]:
-    """Shares of a sample of `total` among strata: proportional, at least one of each non-empty stratum where the total allows,
-    rounded half to even, what is left over or too much going in the order of the strata."""
-    n = sum(sizes)
-    total = min(total, n)
-    if not n or not total:
-        return [0] * len(sizes)
-    take = [min(s, max(1, round(total * s / n))) if s else 0 for s in sizes]
-    while sum(take) > total:
-        i = max((k for k in range(len(take)) if take[k] > 0), key=lambda k: (take[k], -k))
-        take[i] -= 1
-    while sum(take) < total:
-        for i, s in enumerate(sizes):
-            if take[i] < s and sum(take) < total:
-                take[i] += 1
-    return take
+def allocate(sizes: list[Column], total: Column) -> list[Column]:
+    """Shares of a sample of `total` among strata of these sizes, as columns. In order, each stratum that has rows takes its proportional share,
+    rounded half to even, at least one row, and leaves one for each later stratum that has rows; the last takes the rest. What is left then goes
+    to the first strata with rows to spare."""
+    zero = F.lit(0).cast("bigint")
+    n = reduce(lambda a, b: a + b, sizes, zero)
+    left, take = F.least(total, n), []
+    for i, s in enumerate(sizes):
+        later = reduce(lambda a, b: a + b, [(x > 0).cast("bigint") for x in sizes[i + 1 :]], zero)
+        share = F.greatest(F.lit(1), F.bround(total * s / F.greatest(n, F.lit(1)))).cast("bigint")
+        own = F.when(later == 0, F.least(s, left)).otherwise(F.greatest(zero, F.least(s, share, left - later)))
+        take.append(F.when((s > 0) & (left > 0), own).otherwise(zero))
+        left = left - take[-1]
+    out = []
+    for s, t in zip(sizes, take, strict=True):
+        more = F.least(s - t, left)
+        out.append((t + more).cast("bigint"))
+        left = left - more
+    return out
+
+
+def sample_quotas(changed: DataFrame, by: list[str]) -> DataFrame:
+    """(by…, change, quota): rows to sample of each stratum of each group, from its counts alone."""
+    counts = changed.groupBy(*by).pivot("change", list(STRATA)).count().fillna(0, list(STRATA))
+    sizes = [F.col(s) for s in STRATA]
+    sized = counts.withColumn("total", sample_size(reduce(lambda a, b: a + b, sizes)))
+    strata = F.array(*[F.struct(F.lit(s).alias("change"), q.alias("quota")) for s, q in zip(STRATA, allocate(sizes, F.col("total")), strict=True)])
+    return sized.select(*by, F.inline(strata)).where("quota > 0")
 
 
 def stratified_sample(changed: DataFrame, by: list[str], seed: int = 7) -> DataFrame:
     """A sample of each group `by` of rows with change (and ord): sample_size rows, allocated over the strata, those with the smallest
-    seeded hash. Only the counts of groups and strata are gathered per group; rows are taken by a windowed top-n, whose
-    limit Spark pushes below the shuffle."""
-    counts = changed.groupBy(*by).pivot("change", list(STRATA)).count().fillna(0)
-    sized = counts.withColumn("total", sample_size(sum((F.col(s) for s in STRATA), F.lit(0))))
-
-    @F.udf("array<int>")
-    def share(a, b, c, d, total):
-        return allocate([a, b, c, d], total)
-
-    quota = sized.withColumn("q", share(*STRATA, "total")).select(*by, F.posexplode("q").alias("i", "quota"))
-    quota = quota.withColumn("change", F.element_at(F.array(*[F.lit(s) for s in STRATA]), F.col("i") + 1)).where("quota > 0").drop("i")
-    most = math.ceil(1.96**2 * 0.25 / 0.04)
-    w = Window.partitionBy(*by, "change").orderBy(F.xxhash64(F.lit(seed), "ord"), "ord")
+    seeded hash. Groups and strata are counted first; the largest quota then bounds a windowed top-n, whose limit Spark pushes below the shuffle."""
+    quota = sample_quotas(changed, by)
+    most = quota.agg(F.coalesce(F.max("quota"), F.lit(0))).first()[0]
+    w = Window.partitionBy(*by, "change").orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col("ord"))), "ord")
     ranked = changed.withColumn("sample_index", F.row_number().over(w)).where(F.col("sample_index") <= most)
     return ranked.join(quota, [*by, "change"]).where("sample_index <= quota").drop("quota")
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gradelex.functions.responses import same_json
 from gradelex.functions.rules import duration
+from gradelex.session import cut
 
 
 def insert_if_absent(state: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -96,18 +100,44 @@ def progress(log: DataFrame, totals: DataFrame, concurrency: int, window: int =
     return j.select("run", "done", "total", F.try_divide(F.col("done") * 100.0, F.col("total")).alias("pct"), left.alias("remaining"), waves.cast("bigint").alias("waves"), "elapsed", eta_s.alias("eta_s"), duration(eta_s).alias("eta"))
 
 
-def checkpointed(requests: DataFrame, ledger: DataFrame, call: Callable, schema: str) -> tuple[DataFrame, DataFrame]:
+def checkpointed(requests: DataFrame, ledger: DataFrame, call: Callable, schema: str, valid: Callable[[Column], Column] | None = None, repair: Callable[[Column, Column], Column] | None = None, attempts: int = 3) -> tuple[DataFrame, DataFrame]:
     """(all answers, the new ones to append to the ledger). requests: key, prompt; ledger: key, answer; call maps batches of
     pending requests to (key, answer) rows with schema, in mapInPandas. Requests with one key are asked once; a null answer is a
-    failure and is not kept, so it stays pending."""
+    failure and is not kept, so it stays pending.
+
+    valid tells from an answer whether it can be used. What the ledger holds is judged again: answers that are stale under it count as missing. A new answer
+    that is not valid is asked for again, in at most `attempts` attempts, with the prompt that repair makes of the prompt and the bad answer.
+    Each attempt is written once, so that no request is sent twice."""
+    good = lambda c: F.coalesce(valid(c), F.lit(False)) if valid else c.isNotNull()
     asked = requests.groupBy("key").agg(F.min("prompt").alias("prompt"))
-    new = asked.join(ledger.select("key"), "key", "left_anti").mapInPandas(call, schema).where("answer is not null")
-    return ledger.select("key", "answer").join(asked.select("key"), "key", "left_semi").unionByName(new.select("key", "answer")), new
+    held = ledger.select("key", "answer").where(good(F.col("answer")))
+    pending = asked.join(held.select("key"), "key", "left_anti")
+    if valid is None:
+        new = pending.mapInPandas(call, schema).where("answer is not null").select("key", "answer")
+    else:
+        got = []
+        for left in range(attempts, 0, -1):
+            tried = cut(pending.mapInPandas(call, schema).select("key", "answer"))
+            got.append(tried.where(good(F.col("answer"))))
+            if left > 1:
+                again = tried.where(F.col("answer").isNotNull() & ~good(F.col("answer")))
+                pending = pending.join(again, "key").select("key", (repair(F.col("prompt"), F.col("answer")) if repair else F.col("prompt")).alias("prompt"))
+        new = reduce(DataFrame.unionByName, got)
+    return held.join(asked.select("key"), "key", "left_semi").unionByName(new), new
 
 
 def adjudicated(one: DataFrame, two: DataFrame, judge: Callable, schema: str) -> DataFrame:
-    """(key, answer): what two reviewers (key, answer) agree on, and the judge's answer where they differ; judge maps batches of (key,
+    """(key, answer): what two reviewers (key, answer) agree on as JSON values, and the judge's answer where they differ; judge maps batches of (key,
     answer, other)."""
-    j = one.join(two.select("key", F.col("answer").alias("other")), "key", "left")
-    same = j.where(F.col("answer").eqNullSafe(F.col("other"))).select("key", "answer")
-    return same.unionByName(j.where(~F.col("answer").eqNullSafe(F.col("other"))).mapInPandas(judge, schema).select("key", "answer"))
+    j = one.join(two.select("key", F.col("answer").alias("other")), "key", "left").withColumn("same", same_json(F.col("answer"), F.col("other")))
+    return j.where("same").select("key", "answer").unionByName(j.where("not same").drop("same").mapInPandas(judge, schema).select("key", "answer"))
+
+
+def runnable(tasks: DataFrame, phases: list[str], retry_failed: bool = False) -> DataFrame:
+    """tasks (task_key, phase, lang, level, status) that a run would take now, with step, the place of their phase: pending ones, and failed ones if they
+    are to be tried again, of the first phase in order that the list (lang, level) has not finished. Succeeded ones are never run again."""
+    steps = F.array(*[F.lit(p) for p in phases])
+    t = tasks.withColumn("step", F.array_position(steps, F.col("phase")).cast("int")).where("step > 0")
+    wanted = F.col("status").isin("pending", *(["failed"] if retry_failed else []))
+    first = t.where("status <> 'succeeded'").groupBy("lang", "level").agg(F.min("step").alias("first"))
+    return t.where(wanted).join(first, ["lang", "level"]).where("step = first").drop("first")

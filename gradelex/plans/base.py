@@ -28,6 +28,11 @@ def norm(c: str) -> str:
     return f"trim(regexp_replace(lower({c}), '^to ', ''), ' ')"
 
 
+def fold(c: str) -> str:
+    """word_key in SQL: trimmed, composed, case folded."""
+    return f"lower(replace(nfc_normalize(trim({c})), 'ß', 'ss'))"
+
+
 def level_no(c: str) -> str:
     return f"list_position([{LEVEL_LIST}], {c})"
 

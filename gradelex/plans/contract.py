@@ -6,22 +6,22 @@ from pyspark.sql import functions as F
 
 from gradelex.functions import rules
 from gradelex.functions.text import strip_ws
-from gradelex.operators import align, contract, quality
+from gradelex.operators import align, contract, quality, reports
 from gradelex.plans.base import LEVEL_LIST, Registry, entries, level_no, norm, with_entry
-from gradelex.session import cut, table
+from gradelex.session import table
 
 R = Registry()
 QUERIES, SQL = R.queries, R.sql
 
-#: cognates of the test vocabulary, a parameter of the script check
-COGNATES = (("de", "warm"), ("de", "hand"), ("nl", "warm"), ("nl", "water"), ("sv", "ring"), ("sv", "hand"), ("fr", "table"), ("es", "animal"))
 _JUNK = ", ".join(f"'{x}'" for x in rules.JUNK_LEMMAS)
 _PREFIX = " OR ".join(f"starts_with(lower(trim(lemma)), '{p}')" for p in rules.FUNCTION_PREFIXES)
-_COGNATES = ", ".join(f"('{a}', '{b}')" for a, b in COGNATES)
+# short words of the independent Swedish and French lists stand for cognates, a parameter of the script check
+_COGNATES = "SELECT 'sv', lower(trim(swedish_lemma)) FROM swedish_list WHERE length(trim(swedish_lemma)) < 5 UNION SELECT 'fr', lower(trim(french_lemma)) FROM french_list WHERE length(trim(french_lemma)) < 5"
 
 
-def _cognates(spark):
-    return spark.createDataFrame(COGNATES, "lang string, word string")
+def _cognates(spark, d):
+    short = lambda name, lang, c: table(spark, d, name).where(F.length(F.trim(c)) < 5).select(F.lit(lang).alias("lang"), F.lower(F.trim(c)).alias("word"))
+    return short("swedish_list", "sv", "swedish_lemma").unionByName(short("french_list", "fr", "french_lemma")).distinct()
 
 
 @R.add("norm_gloss", with_entry(f"SELECT ord, {norm('english')} AS gloss_norm, CAST(len(list_filter(string_split_regex(english, '\\s+'), lambda w: w <> '')) AS BIGINT) AS words, regexp_matches(english, '^[A-Za-z ''.-]+$') AS is_ascii FROM entry"))
@@ -76,20 +76,18 @@ def dup_keys(spark, d):
     return contract.duplicate_keys(entries(spark, d))
 
 
-# rank of an entry in its group by lemma, ties at one place, so that groups with several firsts exist
-_RANKED = f"ranked AS (SELECT *, rank() OVER (PARTITION BY lang, {norm('english')}, pos ORDER BY lemma) AS rank FROM entry)"
+# the line within ten stands for a rank, so that groups with several firsts and with none exist
+_RANKED = "ranked AS (SELECT *, line % 10 AS rank FROM entry)"
 _GAPS = f"SELECT lang, {norm('english')} AS gloss_norm, pos, CAST(sum(CASE WHEN rank = 1 THEN 1 ELSE 0 END) AS BIGINT) AS firsts FROM ranked GROUP BY ALL HAVING sum(CASE WHEN rank = 1 THEN 1 ELSE 0 END) <> 1"
 
 
-def _ranked(spark, d):
-    e = entries(spark, d).withColumn("g", rules.norm_gloss(F.col("english")))
-    low = e.groupBy("lang", "g", "pos").agg(F.min("lemma").alias("low"))
-    return e.join(low, ["lang", "g", "pos"]).withColumn("rank", F.when(F.col("lemma") == F.col("low"), 1).otherwise(2)).drop("g", "low")
+def _ranked(df):
+    return df.withColumn("rank", F.col("line") % 10)
 
 
 @R.add("rank_gaps", with_entry(_GAPS, _RANKED))
 def rank_gaps(spark, d):
-    return contract.rank_gaps(_ranked(spark, d))
+    return contract.rank_gaps(_ranked(entries(spark, d)))
 
 
 # a delivery whose glosses lose all but their first word
@@ -115,13 +113,13 @@ _SCRIPT = f"""SELECT lang, lemma, english, code FROM (SELECT *, CASE WHEN trim(l
   WHEN lang = 'ar' THEN CASE WHEN regexp_matches(lemma, '\\p{{L}}') AND NOT regexp_matches(lemma, '[\\x{{0600}}-\\x{{06FF}}\\x{{0750}}-\\x{{077F}}\\x{{08A0}}-\\x{{08FF}}]') THEN 'non_arabic_script' END
   WHEN lang = 'zh' THEN CASE WHEN regexp_matches(lemma, '\\p{{L}}') AND NOT regexp_matches(lemma, '[\\x{{4E00}}-\\x{{9FFF}}\\x{{3400}}-\\x{{4DBF}}]') THEN 'non_chinese_script' END
   WHEN lang = 'en' THEN NULL
-  WHEN ({norm('trim(lemma)')} = {norm('english')} OR lower(trim(lemma)) = lower(english)) AND (lang, lower(trim(lemma))) NOT IN (VALUES {_COGNATES}) AND (lang, {norm('trim(lemma)')}) NOT IN (VALUES {_COGNATES}) THEN 'ungrounded_gloss_copy'
+  WHEN ({norm('trim(lemma)')} = {norm('english')} OR lower(trim(lemma)) = lower(english)) AND (lang, lower(trim(lemma))) NOT IN (SELECT (a, b) FROM ({_COGNATES}) t(a, b)) AND (lang, {norm('trim(lemma)')}) NOT IN (SELECT (a, b) FROM ({_COGNATES}) t(a, b)) THEN 'ungrounded_gloss_copy'
   WHEN {_PREFIX} THEN 'english_function_prefix_copy' END AS code FROM entry) WHERE code IS NOT NULL"""
 
 
 @R.add("script_substance", with_entry(_SCRIPT))
 def script_substance(spark, d):
-    return contract.script_and_substance(entries(spark, d), _cognates(spark))
+    return contract.script_and_substance(entries(spark, d), _cognates(spark, d))
 
 
 _COUNT = lambda name, body: f"SELECT '{name}' AS criterion, count(*) AS violations FROM ({body})"
@@ -140,11 +138,23 @@ _COUNT = lambda name, body: f"SELECT '{name}' AS criterion, count(*) AS violatio
     ),
 )
 def contract_report(spark, d):
-    """Source: the entries; delivery: the same with one-word glosses, ranked by lemma."""
-    e = _short(spark, d).withColumn("g", rules.norm_gloss(F.col("english")))
-    low = e.groupBy("lang", "g", "pos").agg(F.min("lemma").alias("low"))
-    rows = cut(e.join(low, ["lang", "g", "pos"]).withColumn("rank", F.when(F.col("lemma") == F.col("low"), 1).otherwise(2)).drop("g", "low"))
-    return contract.contract_report(rows, entries(spark, d), _cognates(spark))
+    """Source: the entries; delivery: the same with one-word glosses."""
+    return contract.contract_report(_ranked(_short(spark, d)), entries(spark, d), _cognates(spark, d))
+
+
+_ASCII_BAD = "SELECT lang, lemma, english FROM entry WHERE NOT regexp_matches(english, '^[A-Za-z ''.-]+$')"
+
+
+@R.add("baseline_report", with_entry(f"SELECT '2_duplicates' AS criterion, 'all' AS subject, count(*) AS value, 0::BIGINT AS base FROM ({_DUP}) UNION ALL SELECT '4_coverage', source || '->' || target, uniq, uniq + ambiguous + none FROM c UNION ALL SELECT '5_ascii', 'all', count(*), 0 FROM ({_ASCII_BAD})", *_COVER))
+def baseline_report(spark, d):
+    return contract.baseline_report(entries(spark, d))
+
+
+@R.add("first_violations", with_entry(f"(SELECT '1_shrunken' AS criterion, lang, lemma, english FROM ({_SHRUNK}) ORDER BY lang, lemma, english LIMIT 20) UNION ALL (SELECT '5_ascii', * FROM ({_ASCII_BAD}) ORDER BY lang, lemma, english LIMIT 20)", _SHORT))
+def first_violations(spark, d):
+    """The first twenty of a criterion, as a report shows them."""
+    parts = {"1_shrunken": contract.shrunken_glosses(_short(spark, d), entries(spark, d)), "5_ascii": contract.non_ascii_glosses(entries(spark, d))}
+    return reports.first_of(parts, ["lang", "lemma", "english"], 20)
 
 
 _ALIGN = (
@@ -236,7 +246,7 @@ def shared_translations(spark, d):
 
 @R.add("issue_totals", with_entry(f"SELECT lang, CAST(sum(n) AS BIGINT) AS issues, CASE WHEN sum(n) > 0 THEN 1 ELSE 0 END AS exit_code FROM (SELECT lang, count(*) AS n FROM iss WHERE code <> 'missing_t2' GROUP BY ALL UNION ALL SELECT lang, count(*) FROM ({_INTRA}) GROUP BY ALL UNION ALL SELECT lang, count(*) FROM ({_CROSS}) GROUP BY ALL UNION ALL SELECT DISTINCT lang, 0 FROM entry) GROUP BY ALL", _ISSUES, _QK))
 def issue_totals(spark, d):
-    return quality.issue_totals(cut(entries(spark, d)))
+    return quality.issue_totals(entries(spark, d))
 
 
 @R.add("pos_rules", with_entry("SELECT ord, CASE WHEN pos IN ('VERB', 'AUX') THEN 'V' WHEN pos IN ('NOUN', 'PROPN') THEN 'N' ELSE pos END AS coarse, CASE WHEN starts_with(lower(trim(english)), 'to ') THEN 'VERB' WHEN regexp_matches(lower(trim(english)), '-(ed|ing|ous|ish)$') THEN 'ADJ' ELSE '' END AS by_gloss, regexp_matches(lemma, '^(Word_|svord_|word_)') AS placeholder, lang <> 'zh' AND regexp_matches(chinese, '[A-Za-z]') AND NOT regexp_matches(chinese, '[\\x{4e00}-\\x{9fff}]') AS latin FROM entry"))

@@ -34,28 +34,36 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary folder where it is unset (local mode)."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a temporary folder serves a session that runs in this process
+    only; on a cluster that is an error, as every executor would write to a disk of its own."""
     conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf = "file://" + os.path.join(tempfile.gettempdir(), f"gradelex-{os.getpid()}")
-        spark.conf.set("spark.checkpoint.dir", conf)
     return conf.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted with what cut() has written."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(drop_cuts)
+    _written.append((spark, path))
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes df once to the shared folder and reads it back, so that later stages neither
     recompute it nor depend on an executor that may be lost. Unlike checkpoint() it evaluates the plan once."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    path = scratch(spark, "cut")
     df.write.parquet(path)
-    if not _written:
-        atexit.register(drop_cuts)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_cuts() -> None:
-    """Deletes what cut() has written; frames that read it are then of no use."""
+    """Deletes what cut() and scratch() have written, at exit or when a caller is done; frames that read it are then of no use."""
     while _written:
         spark, path = _written.pop()
         try:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradelex.functions.rules import clean_gloss, clean_lemma, placeholder, unquote
+from gradelex.functions.rules import DELIVERY_PLACEHOLDERS, clean_gloss, clean_lemma, placeholder, unquote
 from gradelex.functions.text import LEVELS, strip_ws
 
 CODES = {"english": "en", "german": "de", "french": "fr", "spanish": "es", "dutch": "nl", "swedish": "sv", "arabic": "ar", "chinese": "zh"}
@@ -45,9 +45,9 @@ def bad_headers(spark: SparkSession, root: str) -> DataFrame:
 
 
 def cleaned_records(rows: DataFrame) -> DataFrame:
-    """Rows with cleaned lemma and gloss, without blank and placeholder lemmas."""
+    """Rows with cleaned lemma and gloss, without blank lemmas and those that stand for one in deliveries."""
     c = rows.withColumns({"lemma": clean_lemma(unquote(F.col("lemma"))), "english": clean_gloss(unquote(F.col("english")))})
-    return c.where((F.col("lemma") != "") & ~placeholder(F.col("lemma")))
+    return c.where((F.col("lemma") != "") & ~placeholder(F.col("lemma"), DELIVERY_PLACEHOLDERS))
 
 
 def read_expansion(spark: SparkSession, root: str) -> DataFrame:
