@@ -151,5 +151,6 @@ def retry_delay(attempt: Column, retry_after: Column, most: float = 60.0, now: C
     """Seconds to wait: the server's Retry-After, a number of seconds or an HTTP date after now, else two to the attempt and some jitter
     (none by default), at most `most`."""
     date = F.try_to_timestamp(F.regexp_replace(retry_after, r"\A\w+, ", ""), F.lit("dd MMM yyyy HH:mm:ss zzz"))
-    told = F.coalesce(retry_after.try_cast("double"), F.greatest(F.lit(0.0), (F.unix_timestamp(date) - F.unix_timestamp(now if now is not None else F.current_timestamp())).cast("double")))
+    ahead = (F.unix_timestamp(date) - F.unix_timestamp(now if now is not None else F.current_timestamp())).cast("double")
+    told = F.coalesce(retry_after.try_cast("double"), F.when(ahead < 0, 0.0).otherwise(ahead))
     return F.coalesce(told, F.least(F.lit(most), F.pow(F.lit(2.0), attempt) + (F.lit(0.0) if jitter is None else jitter)))

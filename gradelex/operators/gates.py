@@ -117,7 +117,7 @@ def rule_table(drop: Iterable[str], keep: Iterable[str] = (), stems: Iterable[st
 
 def lexicon_rows(rules: Iterable[Rule]) -> list[tuple[str, str, str, str]]:
     """(lemma, tag, action, reason) of what the table drops by word alone or by word and tag, the closed lexicon without any list."""
-    words = [(w, t, r.action, r.reason) for r in rules if r.action == "drop" and "whole" in r.forms and not (r.gloss or r.gloss_has) for w in r.words for t in (r.tags or ("",))]
+    words = [(w, t, r.action, r.reason) for r in rules if r.action == "drop" and "whole" in r.forms and not (r.not_tags or r.gloss or r.gloss_has) for w in r.words for t in (r.tags or ("",))]
     return sorted(set(words))
 
 

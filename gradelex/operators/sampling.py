@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,34 +35,37 @@ def sample_size(n: Column, margin: float = 0.20, z: float = 1.96, p: float = 0.5
     return F.when(n <= 0, F.lit(0)).otherwise(F.greatest(F.lit(1), F.least(n, size))).cast("bigint")
 
 
-def allocate(sizes: list[Column], total: Column) -> list[Column]:
-    """Shares of a sample of `total` among strata of these sizes, as columns. In order, each stratum that has rows takes its proportional share,
-    rounded half to even, at least one row, and leaves one for each later stratum that has rows; the last takes the rest. What is left then goes
-    to the first strata with rows to spare."""
+def allocate(sizes: Column, total: Column) -> Column:
+    """Shares of a sample of `total` among strata, an array beside the array of their sizes. In order, each stratum that has rows takes its
+    proportional share, rounded half to even, at least one row, and leaves one for each later stratum that has rows; the last takes the rest.
+    What is left then goes to the first strata with rows to spare."""
     zero = F.lit(0).cast("bigint")
-    n = reduce(lambda a, b: a + b, sizes, zero)
-    left, take = F.least(total, n), []
-    for i, s in enumerate(sizes):
-        later = reduce(lambda a, b: a + b, [(x > 0).cast("bigint") for x in sizes[i + 1 :]], zero)
-        share = F.greatest(F.lit(1), F.bround(total * s / F.greatest(n, F.lit(1)))).cast("bigint")
-        own = F.when(later == 0, F.least(s, left)).otherwise(F.greatest(zero, F.least(s, share, left - later)))
-        take.append(F.when((s > 0) & (left > 0), own).otherwise(zero))
-        left = left - take[-1]
-    out = []
-    for s, t in zip(sizes, take, strict=True):
-        more = F.least(s - t, left)
-        out.append((t + more).cast("bigint"))
-        left = left - more
-    return out
+    n = F.aggregate(sizes, zero, lambda a, x: a + x)
+    total = F.least(total, n)
+    # of each stratum its size and how many later ones have rows
+    later = F.transform(sizes, lambda x, i: F.struct(x.alias("s"), F.size(F.filter(sizes, lambda y, j: (j > i) & (y > 0))).cast("bigint").alias("later")))
+
+    def share(left: Column, x: Column) -> Column:
+        part = F.greatest(F.lit(1).cast("bigint"), F.bround(total * x["s"] / n).cast("bigint"))
+        own = F.when(x["later"] == 0, F.least(x["s"], left)).otherwise(F.greatest(zero, F.least(x["s"], part, left - x["later"])))
+        return F.when((x["s"] > 0) & (left > 0), own).otherwise(zero)
+
+    def step(amount: Callable[[Column, Column], Column]) -> Callable[[Column, Column], Column]:
+        return lambda acc, x: F.struct((acc["left"] - amount(acc["left"], x)).alias("left"), F.concat(acc["take"], F.array(amount(acc["left"], x))).alias("take"))
+
+    start = lambda left: F.struct(left.alias("left"), F.expr("cast(array() as array<bigint>)").alias("take"))
+    first = F.aggregate(later, start(total), step(share))
+    over = F.zip_with(sizes, first["take"], lambda s, t: F.struct((s - t).alias("s")))
+    more = F.aggregate(over, start(first["left"]), step(lambda left, x: F.least(x["s"], left)))["take"]
+    return F.zip_with(first["take"], more, lambda a, b: a + b)
 
 
 def sample_quotas(changed: DataFrame, by: list[str]) -> DataFrame:
     """(by…, change, quota): rows to sample of each stratum of each group, from its counts alone."""
     counts = changed.groupBy(*by).pivot("change", list(STRATA)).count().fillna(0, list(STRATA))
-    sizes = [F.col(s) for s in STRATA]
-    sized = counts.withColumn("total", sample_size(reduce(lambda a, b: a + b, sizes)))
-    strata = F.array(*[F.struct(F.lit(s).alias("change"), q.alias("quota")) for s, q in zip(STRATA, allocate(sizes, F.col("total")), strict=True)])
-    return sized.select(*by, F.inline(strata)).where("quota > 0")
+    sized = counts.select(*by, F.array(*STRATA).alias("sizes")).withColumn("total", sample_size(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x)))
+    shares = F.zip_with(F.array(*[F.lit(s) for s in STRATA]), allocate(F.col("sizes"), F.col("total")), lambda s, q: F.struct(s.alias("change"), q.alias("quota")))
+    return sized.select(*by, F.inline(shares)).where("quota > 0")
 
 
 def stratified_sample(changed: DataFrame, by: list[str], seed: int = 7) -> DataFrame:

@@ -35,8 +35,8 @@ def norm_pivot(spark, d):
     return entries(spark, d).select("ord", rules.norm_pivot(F.col("chinese")).alias("pivot"), rules.concept_key(F.col("english"), F.col("pos")).alias("concept_key"))
 
 
-# White_Space of Unicode, which RE2's \\s does not cover
-_SPACE = "[\\t-\\r \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
+# White_Space of Unicode, which RE2's \\s does not cover, and the separator controls
+_SPACE = "[\\t-\\r\\x{1C}-\\x{1F} \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 _STRIP = lambda c: f"regexp_replace({c}, '^{_SPACE}+|{_SPACE}+$', '', 'g')"
 
 

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradelex.functions import rules
-from gradelex.functions.text import nfc
-from gradelex.operators import align, batching, review, sampling, state
+from gradelex.functions.text import nfc, word_key
+from gradelex.operators import align, batching, gates, manage, refill, reports, review, sampling, state
 from gradelex.operators.keep import keep_latest
-from gradelex.plans.base import LEVEL_LIST, Registry, entries, level_no, norm, with_entry
+from gradelex.plans.base import LEVEL_LIST, Registry, entries, fold, level_no, norm, with_entry
 from gradelex.plans.contract import _DELIVERY
-from gradelex.session import shared_dir, table
+from gradelex.plans.lists import _GATES
+from gradelex.session import scratch, table
 from gradelex.sources import lists as readers
 from gradelex.sources import writers
 from gradelex.streaming import eventlog
@@ -41,7 +40,10 @@ def review_counts(spark, d):
 
 
 # two rounds of review as two reviewers of the same lines
-_TWO = "one AS (SELECT list_id || ':' || line AS id, list_id AS batch, first(r ORDER BY decision_id) AS v FROM (SELECT *, {'a': trim(regexp_replace(coalesce(expected.lemma, ''), '\\s+', ' ', 'g')), 'b': lower(trim(regexp_replace(coalesce(expected.english_lemma, ''), '\\s+', ' ', 'g'))), 'c': trim(regexp_replace(coalesce(expected.chinese_lemma, ''), '\\s+', ' ', 'g')), 'd': coalesce(expected.upos, ''), 'e': action} AS r FROM review_decision WHERE list_id IS NOT NULL AND line IS NOT NULL AND round IN ('round1', 'round2', 'round3', 'round4', 'round5')) GROUP BY ALL), two AS (SELECT list_id || ':' || line AS id, first(r ORDER BY decision_id) AS v FROM (SELECT *, {'a': trim(regexp_replace(coalesce(expected.lemma, ''), '\\s+', ' ', 'g')), 'b': lower(trim(regexp_replace(coalesce(expected.english_lemma, ''), '\\s+', ' ', 'g'))), 'c': trim(regexp_replace(coalesce(expected.chinese_lemma, ''), '\\s+', ' ', 'g')), 'd': coalesce(expected.upos, ''), 'e': action} AS r FROM review_decision WHERE list_id IS NOT NULL AND line IS NOT NULL AND round NOT IN ('round1', 'round2', 'round3', 'round4', 'round5')) GROUP BY ALL)"
+_ONE = "trim(regexp_replace(nfc_normalize(coalesce(expected.{0}, '')), '\\s+', ' ', 'g'))"
+_FORM = f"{{'a': {_ONE.format('lemma')}, 'b': lower(replace({_ONE.format('english_lemma')}, 'ß', 'ss')), 'c': {_ONE.format('chinese_lemma')}, 'd': coalesce(expected.upos, ''), 'e': action}}"
+_SIDE = f"SELECT list_id || ':' || line AS id, list_id AS batch, first(r ORDER BY decision_id) AS v FROM (SELECT *, {_FORM} AS r FROM review_decision WHERE list_id IS NOT NULL AND line IS NOT NULL AND round @ IN ('round1', 'round2', 'round3', 'round4', 'round5')) GROUP BY ALL"
+_TWO = f"one AS ({_SIDE.replace('@', '')}), two AS ({_SIDE.replace('@', 'NOT')})"
 
 
 def _reviewer(spark, d, first: bool) -> DataFrame:
@@ -53,7 +55,7 @@ def _reviewer(spark, d, first: bool) -> DataFrame:
     return g.select("id", "batch", t("lemma").alias("lemma"), t("english_lemma").alias("english"), t("chinese_lemma").alias("chinese"), t("upos").alias("pos"), F.col("x.action").alias("action"))
 
 
-@R.add("compare_reviews", f"WITH {_TWO} SELECT batch, count(*) AS n, count(*) FILTER (one.v IS NOT DISTINCT FROM two.v) AS agreed, bool_and(one.v IS NOT DISTINCT FROM two.v) AS all_agree FROM one LEFT JOIN two USING (id) GROUP BY ALL")
+@R.add("compare_reviews", f"WITH {_TWO} SELECT one.batch, count(*) AS n, count(*) FILTER (one.v IS NOT DISTINCT FROM two.v) AS agreed, bool_and(one.v IS NOT DISTINCT FROM two.v) AS all_agree FROM one LEFT JOIN two USING (id) GROUP BY ALL")
 def compare_reviews(spark, d):
     return review.compare_reviews(_reviewer(spark, d, True), _reviewer(spark, d, False))
 
@@ -77,7 +79,7 @@ def batch_identity(spark, d):
     return review.batch_identity(a, b)
 
 
-_CK = "ck AS (SELECT DISTINCT lang, level, lower(trim(lemma)) AS key, pos FROM entry WHERE trim(lemma) <> '')"
+_CK = f"ck AS (SELECT DISTINCT lang, level, {fold('lemma')} AS key, pos FROM entry WHERE trim(lemma) <> '')"
 
 
 @R.add("collision_keys", with_entry("SELECT * FROM ck WHERE (lang, key, pos) IN (SELECT (lang, key, pos) FROM ck GROUP BY lang, key, pos HAVING count(*) > 1)", _CK))
@@ -88,23 +90,34 @@ def collision_keys(spark, d):
 _REV = "rv AS (SELECT decision_id AS ord, left(list_id, 2) AS lang, coalesce(expected.lemma, '') AS lemma, coalesce(expected.upos, '') AS pos, action FROM review_decision WHERE list_id IS NOT NULL)"
 
 
-@R.add("review_dedupe", with_entry("SELECT ord, lang, lemma, pos FROM rv WHERE action <> 'drop' AND (lang, lower(trim(lemma)), pos) NOT IN (SELECT (lang, key, pos) FROM ck WHERE level = 'A1') QUALIFY row_number() OVER (PARTITION BY lang, lower(trim(lemma)), pos ORDER BY ord) = 1", _CK, _REV))
+@R.add("review_dedupe", with_entry(f"SELECT ord, lang, lemma, pos FROM rv WHERE action <> 'drop' AND (lang, {fold('lemma')}, pos) NOT IN (SELECT (lang, key, pos) FROM ck WHERE level = 'A1') QUALIFY row_number() OVER (PARTITION BY lang, {fold('lemma')}, pos ORDER BY ord) = 1", _CK, _REV))
 def review_dedupe(spark, d):
     r = table(spark, d, "review_decision").where("list_id is not null").select(F.col("decision_id").alias("ord"), F.left("list_id", F.lit(2)).alias("lang"), F.coalesce("expected.lemma", F.lit("")).alias("lemma"), F.coalesce("expected.upos", F.lit("")).alias("pos"), "action")
-    taken = entries(spark, d).where("level = 'A1'").select("lang", F.lower(F.trim("lemma")).alias("key"), "pos").distinct()
+    taken = entries(spark, d).where("level = 'A1'").select("lang", word_key("lemma").alias("key"), "pos").where("key <> ''").distinct()
     return review.review_dedupe(r, taken).select("ord", "lang", "lemma", "pos")
 
 
-_FP = "fp AS (SELECT ord, nfc_normalize(lang) || chr(31) || nfc_normalize(lemma) || chr(31) || nfc_normalize(english) || chr(31) || nfc_normalize(pos) AS fingerprint FROM entry), ok AS (SELECT DISTINCT left(list_id, 2) || chr(31) || nfc_normalize(coalesce(expected.lemma, '')) || chr(31) || nfc_normalize(coalesce(expected.english_lemma, '')) || chr(31) || coalesce(expected.upos, '') AS fingerprint FROM review_decision WHERE list_id IS NOT NULL AND action = 'keep')"
+_PARTS = lambda *c: " || chr(31) || ".join(f"nfc_normalize(coalesce({x}, ''))" for x in c)
+_FP = f"fp AS (SELECT ord, lang, level, {_PARTS('lang', 'level', 'lemma', 'english', 'chinese', 'pos')} AS fingerprint FROM entry), ok AS (SELECT DISTINCT {_PARTS('left(list_id, 2)', 'substr(list_id, 4, 2)', 'expected.lemma', 'expected.english_lemma', 'expected.chinese_lemma', 'expected.upos')} AS fingerprint FROM review_decision WHERE list_id IS NOT NULL AND action = 'keep')"
 
 
-@R.add("frozen_split", with_entry("SELECT ord, fingerprint IN (SELECT fingerprint FROM ok) AS frozen FROM fp", _FP))
-def frozen_split(spark, d):
+def _frozen(spark, d):
     parts = lambda *c: rules.fingerprint(*[nfc(x) for x in c])
-    e = entries(spark, d).select("ord", parts("lang", "lemma", "english", "pos").alias("fingerprint"))
+    e = entries(spark, d).withColumn("fingerprint", parts("lang", "level", "lemma", "english", "chinese", "pos"))
     blank = lambda c: F.coalesce(c, F.lit(""))
-    ok = table(spark, d, "review_decision").where("list_id is not null and action = 'keep'").select(parts(F.left("list_id", F.lit(2)), blank("expected.lemma"), blank("expected.english_lemma"), blank("expected.upos")).alias("fingerprint"))
-    return review.frozen_split(e, ok).select("ord", "frozen")
+    kept = table(spark, d, "review_decision").where("list_id is not null and action = 'keep'")
+    ok = kept.select(parts(F.left("list_id", F.lit(2)), F.substring("list_id", 4, 2), *[blank(f"expected.{c}") for c in ("lemma", "english_lemma", "chinese_lemma", "upos")]).alias("fingerprint"))
+    return review.frozen_split(e, ok)
+
+
+@R.add("frozen_split", with_entry("SELECT ord, fingerprint IN (SELECT fingerprint FROM ok) AS frozen FROM fp", _FP))
+def frozen_split(spark, d):
+    return _frozen(spark, d).select("ord", "frozen")
+
+
+@R.add("validated_counts", with_entry("SELECT lang, level, count(*) AS n FROM fp WHERE fingerprint IN (SELECT fingerprint FROM ok) GROUP BY ALL", _FP))
+def validated_counts(spark, d):
+    return reports.histogram(_frozen(spark, d).where("frozen"), "lang", "level")
 
 
 _UNI = f"u AS (SELECT {norm('english')} AS g, pos, first(english ORDER BY length(english) DESC, ord) AS gloss FROM entry WHERE {norm('english')} <> '' GROUP BY ALL)"
@@ -132,22 +145,85 @@ def concept_level(spark, d):
     return review.concept_level(_concepts(spark, d), entries(spark, d))
 
 
-@R.add("represented_split", with_entry(f"SELECT gloss, pos, ({norm('gloss')}, pos) IN (SELECT ({norm('english')}, pos) FROM entry) AS represented FROM fc", _FRC))
+_REJ = f"rj AS (SELECT DISTINCT {fold('expected.lemma')} AS key, expected.upos AS pos, 'lemma' AS kind FROM review_decision WHERE expected.lemma IS NOT NULL UNION SELECT DISTINCT {fold('expected.english_lemma')}, expected.upos, 'english' FROM review_decision WHERE expected.english_lemma IS NOT NULL)"
+
+
+@R.add("represented_split", with_entry(f"SELECT gloss, pos, ({fold('gloss')}, pos) IN (SELECT ({fold('english')}, pos) FROM entry UNION ALL SELECT (key, pos) FROM rj WHERE kind = 'english' AND pos IS NOT NULL) AS represented FROM fc", _FRC, _REJ))
 def represented_split(spark, d):
-    return review.represented_split(_concepts(spark, d), entries(spark, d))
+    """Concepts that a list has, or that a decision was taken on before."""
+    skipped = review.rejected_keys(table(spark, d, "review_decision")).where("kind = 'english'").select("key", "pos")
+    return review.represented_split(_concepts(spark, d), entries(spark, d), skipped)
 
 
-@R.add("rejected_keys", "SELECT DISTINCT lower(trim(expected.lemma)) AS key, 'lemma' AS kind FROM review_decision WHERE action = 'drop' AND trim(expected.lemma) <> '' UNION SELECT DISTINCT lower(trim(expected.english_lemma)), 'english' FROM review_decision WHERE action = 'drop' AND trim(expected.english_lemma) <> ''")
+@R.add("rejected_keys", f"WITH {_REJ} SELECT * FROM rj")
 def rejected_keys(spark, d):
     return review.rejected_keys(table(spark, d, "review_decision"))
 
 
-_VD = "vd AS (SELECT list_id || ':' || line AS id, max({'verdict': action, 'new_lemma': replacement.lemma}) AS v FROM review_decision WHERE list_id IS NOT NULL AND line IS NOT NULL GROUP BY ALL)"
+@R.add("repeated_keys", with_entry(f"SELECT lang, key, pos, n, hit IS NOT NULL AS collides FROM (SELECT lang, {fold('lemma')} AS key, pos, count(*) AS n FROM entry WHERE level = 'B1' GROUP BY ALL) LEFT JOIN (SELECT DISTINCT lang, {fold('lemma')} AS key, pos, 1 AS hit FROM entry WHERE level <> 'B1') USING (lang, key, pos) WHERE n > 1 OR hit = 1"))
+def repeated_keys(spark, d):
+    e = entries(spark, d)
+    return review.repeated_keys(e.where("level = 'B1'"), e.where("level <> 'B1'").select("lang", word_key("lemma").alias("key"), "pos"))
+
+
+@R.add("gap_merge", with_entry("SELECT list_id, ord, line FROM entry WHERE level <> 'A1' UNION ALL SELECT g.list_id, g.ord, CAST(line + greatest(0, coalesce(last, 1) + 1 - low) AS INT) FROM (SELECT *, min(line) OVER (PARTITION BY list_id) AS low FROM (SELECT 'fr-' || level || '-00000044' AS list_id, fr_id AS ord, CAST(fr_id % 1000 AS INT) AS line FROM french_list WHERE level IS NOT NULL)) g LEFT JOIN (SELECT list_id, max(line) AS last FROM entry WHERE level <> 'A1' GROUP BY ALL) USING (list_id)"))
+def gap_merge(spark, d):
+    more = table(spark, d, "french_list").where("level is not null").select(F.concat(F.lit("fr-"), "level", F.lit("-00000044")).alias("list_id"), F.col("fr_id").alias("ord"), (F.col("fr_id") % 1000).cast("int").alias("line"))
+    return review.appended(entries(spark, d).where("level <> 'A1'").select("list_id", "ord", "line"), more)
+
+
+@R.add("same_ids", "SELECT batch, bool_and(n = 2) AS equal FROM (SELECT batch, id, count(DISTINCT k) AS n FROM (SELECT list_id AS batch, csv_line AS id, 1 AS k FROM level_entry UNION ALL SELECT list_id, line, 2 FROM review_decision WHERE list_id IS NOT NULL AND line IS NOT NULL) GROUP BY ALL) GROUP BY ALL")
+def same_ids(spark, d):
+    a = table(spark, d, "level_entry").select(F.col("list_id").alias("batch"), F.col("csv_line").alias("id"))
+    return review.same_ids(a, table(spark, d, "review_decision").where("list_id is not null and line is not null").select(F.col("list_id").alias("batch"), F.col("line").alias("id")))
+
+
+@R.add("kept_rows", with_entry("SELECT ord, lemma, chinese, 'keep' AS action FROM entry WHERE chinese <> ''"))
+def kept_rows(spark, d):
+    return review.kept_rows(entries(spark, d).where("chinese <> ''")).select("ord", "lemma", "chinese", "action")
+
+
+@R.add("level_union", with_entry(f"SELECT lang, {norm('english')} AS gloss_norm, pos, count(*) AS n FROM (SELECT lang, english, pos FROM entry UNION ALL SELECT 'fr', coalesce(english_lemma, ''), coalesce(pos, '') FROM french_list UNION ALL SELECT 'sv', coalesce(english_lemma, ''), coalesce(pos, '') FROM swedish_list) GROUP BY ALL"))
+def level_union(spark, d):
+    """Level lists and expansions as one relation, by concept."""
+    more = [table(spark, d, name).select(F.lit(lang).alias("lang"), F.coalesce("english_lemma", F.lit("")).alias("english"), F.coalesce("pos", F.lit("")).alias("pos")) for name, lang in (("french_list", "fr"), ("swedish_list", "sv"))]
+    every = entries(spark, d).select("lang", "english", "pos").unionByName(more[0]).unionByName(more[1])
+    return every.groupBy("lang", rules.norm_gloss(F.col("english")).alias("gloss_norm"), "pos").agg(F.count(F.lit(1)).alias("n"))
+
 
+# a whole review: decisions applied, gates and uniqueness checked; only lists without problems come out
+_RUN = (
+    f"rl AS (SELECT ord, lang, level, list_id, CASE WHEN outcome = 'fixed' THEN 'fix' ELSE 'keep' END AS action, outcome, CASE WHEN outcome = 'fixed' THEN coalesce(replacement.lemma, '') ELSE lemma END AS lemma, CASE WHEN outcome = 'fixed' THEN coalesce(replacement.english_lemma, '') ELSE english END AS english, CASE WHEN outcome = 'fixed' THEN coalesce(replacement.upos, '') ELSE pos END AS pos FROM ap WHERE outcome <> 'dropped' AND level = 'C1')",
+    f"rk AS (SELECT lang, {fold('lemma')} AS key, pos, CASE WHEN max(hit) = 1 THEN 'collision' ELSE 'repeated' END AS problem FROM rl LEFT JOIN (SELECT DISTINCT lang AS tl, {fold('lemma')} AS tk, pos AS tp, 1 AS hit FROM entry WHERE level = 'A1') ON tl = lang AND tk = {fold('lemma')} AND tp = pos GROUP BY ALL HAVING count(*) > 1 OR max(hit) = 1)",
+    f"rp AS (SELECT list_id, ord, 'mismatch' AS problem FROM rl WHERE outcome = 'mismatch' UNION ALL SELECT list_id, ord, x FROM (SELECT * FROM gt), unnest(issues) AS u(x) UNION ALL SELECT list_id, ord, problem FROM rl JOIN rk ON rl.lang = rk.lang AND rk.key = {fold('rl.lemma')} AND rl.pos = rk.pos)",
+)
 
-@R.add("verdict_apply", with_entry("SELECT ord, CASE WHEN v.verdict = 'fix' THEN coalesce(v.new_lemma, lemma) ELSE lemma END AS lemma FROM entry JOIN vd ON vd.id = list_id || ':' || entry.line WHERE v.verdict IN ('keep', 'fix')", _VD.replace("max({", "first({").replace("replacement.lemma})", "replacement.lemma} ORDER BY action DESC, replacement.lemma DESC NULLS LAST)")))
+
+def _run(spark, d):
+    e = entries(spark, d)
+    taken = e.where("level = 'A1'").select("lang", word_key("lemma").alias("key"), "pos")
+    return review.reviewed(e.where("level = 'C1'"), table(spark, d, "review_decision"), taken, gates.gate_issues)
+
+
+_GT = _GATES.replace("FROM act)", "FROM rl)")
+
+
+@R.add("review_problems", with_entry("SELECT * FROM rp", _APPLIED, _RUN[0], _GT, *_RUN[1:]))
+def review_problems(spark, d):
+    return _run(spark, d)[1]
+
+
+@R.add("review_result", with_entry("SELECT list_id, ord, lemma, pos, action FROM rl WHERE list_id NOT IN (SELECT list_id FROM rp)", _APPLIED, _RUN[0], _GT, *_RUN[1:]))
+def review_result(spark, d):
+    return _run(spark, d)[0].select("list_id", "ord", "lemma", "pos", "action")
+
+
+_VD = "vd AS (SELECT list_id || ':' || line AS id, arg_max(action, decision_id) AS verdict, arg_max({'x': replacement.lemma}, decision_id).x AS new_lemma FROM review_decision WHERE list_id IS NOT NULL AND line IS NOT NULL GROUP BY ALL)"
+
+
+@R.add("verdict_apply", with_entry("SELECT ord, CASE WHEN verdict = 'fix' THEN trim(new_lemma) ELSE lemma END AS lemma FROM entry JOIN vd ON vd.id = list_id || ':' || entry.line WHERE verdict = 'keep' OR (verdict = 'fix' AND trim(coalesce(new_lemma, '')) <> '')", _VD))
 def verdict_apply(spark, d):
-    v = table(spark, d, "review_decision").where("list_id is not null and line is not null").select(F.concat_ws(":", "list_id", "line").alias("id"), F.col("action").alias("verdict"), F.col("replacement.lemma").alias("new_lemma"))
+    v = table(spark, d, "review_decision").where("list_id is not null and line is not null").select(F.concat_ws(":", "list_id", "line").alias("id"), F.col("decision_id").alias("ord"), F.col("action").alias("verdict"), F.col("replacement.lemma").alias("new_lemma"))
     return review.apply_verdicts(entries(spark, d).withColumn("id", F.concat_ws(":", "list_id", "line")), v).select("ord", "lemma")
 
 
@@ -252,11 +328,12 @@ def progress(spark, d):
 
 # sampling and batching
 
-_CH = f"cm AS (SELECT lang AS lk, lower(trim(lemma)) AS kl, lower(trim(pos)) AS kp, first({{'a': lemma, 'b': english}} ORDER BY ord) AS f FROM entry WHERE level = 'A1' GROUP BY ALL), cl AS (SELECT DISTINCT lk, kl FROM cm), ch AS (SELECT p.*, CASE WHEN cm.f IS NOT NULL AND cm.f.a = p.lemma AND cm.f.b = p.english THEN 'unchanged' WHEN cm.f IS NOT NULL THEN 'edited' WHEN cl.kl IS NOT NULL THEN 'pos_or_key_changed' ELSE 'new_or_renamed' END AS change FROM (SELECT * FROM entry WHERE level <> 'A1') p LEFT JOIN cm ON cm.lk = p.lang AND cm.kl = lower(trim(p.lemma)) AND cm.kp = lower(trim(p.pos)) LEFT JOIN cl ON cl.lk = p.lang AND cl.kl = lower(trim(p.lemma)))"
+_LOW = lambda c: f"lower(replace(trim({c}), 'ß', 'ss'))"
+_CH = f"cm AS (SELECT lang AS lk, {_LOW('lemma')} AS kl, {_LOW('pos')} AS kp, first({{'a': trim(english), 'b': trim(chinese)}} ORDER BY ord) AS f FROM entry WHERE level = 'A1' GROUP BY ALL), cl AS (SELECT DISTINCT lk, kl FROM cm), ca AS (SELECT DISTINCT lk FROM cm), ch AS (SELECT p.*, CASE WHEN ca.lk IS NULL OR (cm.f.a = trim(p.english) AND cm.f.b = trim(p.chinese)) THEN 'unchanged' WHEN cm.f IS NOT NULL THEN 'edited' WHEN cl.kl IS NOT NULL THEN 'pos_or_key_changed' ELSE 'new_or_renamed' END AS change FROM (SELECT * FROM entry WHERE level <> 'A1') p LEFT JOIN ca ON ca.lk = p.lang LEFT JOIN cm ON cm.lk = p.lang AND cm.kl = {_LOW('p.lemma')} AND cm.kp = {_LOW('p.pos')} LEFT JOIN cl ON cl.lk = p.lang AND cl.kl = {_LOW('p.lemma')})"
 
 
 def _changes(spark, d):
-    e = entries(spark, d).withColumns({"list_key": F.col("lang"), "chinese": F.lit("")})
+    e = entries(spark, d).withColumn("list_key", F.col("lang"))
     return sampling.classify_changes(e.where("level <> 'A1'"), e.where("level = 'A1'"))
 
 
@@ -275,7 +352,24 @@ def fpc_size(spark, d):
     return entries(spark, d).groupBy("list_id").agg(F.count(F.lit(1)).alias("n")).withColumn("size", sampling.sample_size(F.col("n")))
 
 
-@R.add("stratified_sample")
+def _shares() -> str:
+    """The quotas of four strata in SQL: proportional shares in order, one row left for each later stratum, the rest to the last, then the spare."""
+    steps = [f"q0 AS (SELECT *, CASE WHEN n <= 0 THEN 0 ELSE greatest(1, least(n, CAST(ceil(24.009999999999994 / (1 + 23.009999999999994 / n)) AS BIGINT))) END AS r1 FROM (SELECT lang, level, count(*) AS n, {', '.join(f"count(*) FILTER (change = '{x}') AS s{i}" for i, x in enumerate(sampling.STRATA, 1))} FROM ch GROUP BY ALL))"]
+    for i in range(1, 5):
+        later = " + ".join(["0", *(f"(s{j} > 0)::INT" for j in range(i + 1, 5))])
+        steps.append(f"q{i} AS (SELECT *, r{i} - t{i} AS r{i + 1} FROM (SELECT *, CASE WHEN s{i} = 0 OR r{i} <= 0 THEN 0 WHEN {later} = 0 THEN least(s{i}, r{i}) ELSE greatest(0, least(s{i}, greatest(1, CAST(round_even(r1 * s{i} / n, 0) AS BIGINT)), r{i} - ({later}))) END AS t{i} FROM q{i - 1}))")
+    for i in range(1, 5):
+        steps.append(f"q{i + 4} AS (SELECT *, t{i} + least(s{i} - t{i}, r{i + 4}) AS u{i}, r{i + 4} - least(s{i} - t{i}, r{i + 4}) AS r{i + 5} FROM q{i + 3})")
+    rows = " UNION ALL ".join(f"SELECT lang, level, '{x}' AS change, CAST(u{i} AS BIGINT) AS quota FROM q8 WHERE u{i} > 0" for i, x in enumerate(sampling.STRATA, 1))
+    return ", ".join([*steps, f"qu AS ({rows})"])
+
+
+@R.add("sample_quotas", with_entry("SELECT * FROM qu", _CH, _shares()))
+def sample_quotas(spark, d):
+    return sampling.sample_quotas(_changes(spark, d), ["lang", "level"])
+
+
+@R.add("stratified_sample", with_entry("SELECT lang, level, sample_index, change, ord FROM (SELECT *, CAST(row_number() OVER (PARTITION BY lang, level, change ORDER BY md5('7:' || ord), ord) AS INT) AS sample_index FROM ch) JOIN qu USING (lang, level, change) WHERE sample_index <= quota", _CH, _shares()))
 def stratified_sample(spark, d):
     return sampling.stratified_sample(_changes(spark, d), ["lang", "level"]).select("lang", "level", "sample_index", "change", "ord")
 
@@ -292,8 +386,10 @@ def ntile_targets(spark, d):
 
 @R.add("task_grid", f"SELECT phase || ':' || code || ':' || level AS task_key FROM (VALUES ('cefr'), ('handcraft')) p(phase), language_profile, (SELECT unnest([{LEVEL_LIST}]) AS level)")
 def task_grid(spark, d):
-    codes = sorted(r[0] for r in table(spark, d, "language_profile").select("code").limit(100).collect())
-    return sampling.task_grid(["cefr", "handcraft"], codes, ["A1", "A2", "B1", "B2", "C1"], spark).select("task_key")
+    codes = [r[0] for r in table(spark, d, "language_profile").select("code").limit(101).collect()]
+    if len(codes) > 100:
+        raise ValueError("more than 100 languages")
+    return sampling.task_grid(["cefr", "handcraft"], sorted(codes), ["A1", "A2", "B1", "B2", "C1"], spark).select("task_key")
 
 
 def _costed(spark, d):
@@ -308,7 +404,7 @@ def token_estimate(spark, d):
     return _costed(spark, d).select("ord", "cost")
 
 
-@R.add("greedy_pack")
+@R.add("greedy_pack", with_entry("SELECT list_id, ord, cost, CAST(batch AS BIGINT) AS batch FROM g", _COST, "r AS (SELECT list_id, ord, cost, row_number() OVER (PARTITION BY list_id ORDER BY ord) AS i FROM co)", "g AS (SELECT list_id, i, ord, cost, cost AS total, 1 AS n, 0 AS batch FROM r WHERE i = 1 UNION ALL SELECT r.list_id, r.i, r.ord, r.cost, CASE WHEN total + r.cost > 100 OR n >= 36 THEN r.cost ELSE total + r.cost END, CASE WHEN total + r.cost > 100 OR n >= 36 THEN 1 ELSE n + 1 END, CASE WHEN total + r.cost > 100 OR n >= 36 THEN batch + 1 ELSE batch END FROM g JOIN r ON r.list_id = g.list_id AND r.i = g.i + 1)").replace("WITH ", "WITH RECURSIVE ", 1))
 def greedy_pack(spark, d):
     return batching.greedy_batches(_costed(spark, d).select("list_id", "ord", "cost"), ["list_id"], "ord", "cost", 100, 36)
 
@@ -323,7 +419,15 @@ def exclusion_prefix(spark, d):
     return batching.exclusion_prefix(_costed(spark, d), ["list_id"], "ord", "cost", 100).select("ord")
 
 
-@R.add("halved_batches")
+_HALVED = (
+    "fb AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY list_id ORDER BY ord) - 1) / 60) AS BIGINT) AS batch FROM co)",
+    "pl AS (SELECT list_id, batch, ord, cost, row_number() OVER w AS i, sum(cost) OVER (w ROWS UNBOUNDED PRECEDING) AS run FROM fb WINDOW w AS (PARTITION BY list_id, batch ORDER BY ord))",
+    "h AS (SELECT list_id, batch, 1::BIGINT AS lo, count(*) AS hi FROM pl GROUP BY list_id, batch UNION ALL SELECT h.list_id, h.batch, unnest([lo, lo + (hi - lo + 1) // 2]), unnest([lo + (hi - lo + 1) // 2 - 1, hi]) FROM h JOIN pl a ON a.list_id = h.list_id AND a.batch = h.batch AND a.i = lo JOIN pl b ON b.list_id = h.list_id AND b.batch = h.batch AND b.i = hi WHERE hi > lo AND b.run - a.run + a.cost > 120)",
+    "pt AS (SELECT h.list_id, h.batch, lo, hi, row_number() OVER (PARTITION BY h.list_id, h.batch ORDER BY lo) - 1 AS part FROM h JOIN pl a ON a.list_id = h.list_id AND a.batch = h.batch AND a.i = lo JOIN pl b ON b.list_id = h.list_id AND b.batch = h.batch AND b.i = hi WHERE hi = lo OR b.run - a.run + a.cost <= 120)",
+)
+
+
+@R.add("halved_batches", with_entry("SELECT ord, pl.batch, CAST(part AS BIGINT) AS part FROM pl JOIN pt ON pl.list_id = pt.list_id AND pl.batch = pt.batch AND i BETWEEN lo AND hi", _COST, *_HALVED).replace("WITH ", "WITH RECURSIVE ", 1))
 def halved_batches(spark, d):
     b = batching.fixed_batches(_costed(spark, d), ["list_id"], "ord", 60)
     return batching.halved(b, ["list_id", "batch"], "ord", "cost", 120).select("ord", "batch", "part")
@@ -347,11 +451,9 @@ def json_fields(spark, d):
     return _events(spark, d).select("event_id", F.get_json_object("props", "$.k").alias("k"), F.length("props").cast("bigint").alias("n"))
 
 
-@R.add("language_lookup", "SELECT doc_id, code FROM documents JOIN language_profile ON lower(trim(lang)) IN (lower(code), lower(directory), lower(display_name))")
+@R.add("language_lookup", "SELECT doc_id, code FROM documents LEFT JOIN (SELECT DISTINCT code, lower(unnest([code, directory, display_name, endonym])) AS name FROM language_profile) ON lower(trim(lang)) = name")
 def language_lookup(spark, d):
-    p = table(spark, d, "language_profile")  # one row per language
-    names = p.select("code", F.explode(F.array_distinct(F.array(F.lower("code"), F.lower("directory"), F.lower("display_name")))).alias("name"))
-    return table(spark, d, "documents").select("doc_id", F.lower(F.trim("lang")).alias("name")).join(F.broadcast(names), "name").select("doc_id", "code")
+    return manage.language_codes(table(spark, d, "documents").select("doc_id", "lang"), "lang", table(spark, d, "language_profile")).select("doc_id", "code")
 
 
 # files: what is written must read back as it was
@@ -359,21 +461,21 @@ def language_lookup(spark, d):
 
 @R.add("roundtrip_delivery", with_entry("SELECT lang, lemma, english_gloss, cefr, rank, concept_key FROM dr WHERE trim(lemma) <> ''", *_DELIVERY))
 def roundtrip_delivery(spark, d):
-    at = f"{shared_dir(spark)}/delivery-{uuid.uuid4().hex[:8]}"
+    at = scratch(spark, "delivery")
     writers.write_delivery(align.delivery_rows(entries(spark, d)), at)
     return readers.read_delivery(spark, f"{at}/*/*.csv").select("lang", "lemma", "english_gloss", "cefr", F.col("rank").cast("bigint").alias("rank"), "concept_key")
 
 
 @R.add("roundtrip_log", "SELECT event_id, event_type FROM events")
 def roundtrip_log(spark, d):
-    at = f"{shared_dir(spark)}/log-{uuid.uuid4().hex[:8]}"
+    at = scratch(spark, "log")
     writers.append_log(_events(spark, d).select("event_id", "event_type"), at)
     return readers.read_log(spark, at, "event_id bigint, event_type string").select("event_id", "event_type")
 
 
 @R.add("roundtrip_decisions", "SELECT expected.lemma AS lemma, line, action FROM review_decision WHERE line IS NOT NULL AND action IS NOT NULL AND expected IS NOT NULL")
 def roundtrip_decisions(spark, d):
-    at = f"{shared_dir(spark)}/decisions-{uuid.uuid4().hex[:8]}"
+    at = scratch(spark, "decisions")
     r = table(spark, d, "review_decision").where("line is not null and action is not null and expected is not null")
     writers.append_log(r.select("line", "expected", "action", "replacement", "reason", "reviewer"), at)
     return readers.read_decisions(spark, at).select("expected.lemma", "line", "action")
@@ -381,14 +483,55 @@ def roundtrip_decisions(spark, d):
 
 @R.add("event_windows", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
 def event_windows(spark, d):
-    """The streaming aggregate, run over the table as one stream of files until it is used up."""
-    name = f"w{uuid.uuid4().hex[:8]}"
+    """The streaming aggregate, run over the table as one stream of files until it is used up; each batch writes the windows so far."""
     src = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    at = f"{shared_dir(spark)}/events-{uuid.uuid4().hex[:8]}"
+    at, out, state_at = (scratch(spark, x) for x in ("events", "windows", "stream"))
     src.write.parquet(at)
     stream = eventlog.read_events(spark, at, src.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
-    q = eventlog.windowed_counts(stream, "ts", "event_type").writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", f"{at}-state").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name).select(F.col("window.start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
-
-
+    counted = eventlog.windowed_counts(stream, "ts", "event_type").select(F.col("window.start").alias("start"), "event_type", "n", "total")
+    write = lambda batch, epoch: batch.write.mode("overwrite").parquet(f"{out}/v{epoch:09d}")
+    counted.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", state_at).trigger(availableNow=True).start().awaitTermination()
+    last = spark.read.option("recursiveFileLookup", True).schema(counted.schema).parquet(out).withColumn("_v", F.input_file_name())
+    newest = last.agg(F.max(F.regexp_extract("_v", r"/(v\d{9})/", 1))).first()[0]
+    return spark.read.schema(counted.schema).parquet(f"{out}/{newest}").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+# completing lists: the words that other lists have for a gloss stand for a model's answers
+
+_REFILL = (
+    f"rr AS (SELECT lang, level, ord AS place, lemma, english, chinese, pos, {fold('lemma')} AS key FROM entry WHERE level = 'B1')",
+    f"tk AS (SELECT DISTINCT lang, {fold('lemma')} AS key, pos FROM entry WHERE level = 'A1')",
+    "kp AS (SELECT * FROM rr WHERE (lang, key, pos) NOT IN (SELECT (lang, key, pos) FROM tk) QUALIFY row_number() OVER (PARTITION BY lang, key, pos ORDER BY place, lemma, english, chinese) = 1)",
+    f"cc AS (SELECT english AS gloss, chinese AS zh, pos, min(ord) AS place FROM entry WHERE lang = 'en' AND level = 'B2' AND trim(replace(chinese, ' ', '')) <> '' GROUP BY ALL)",
+    f"an AS (SELECT l.lang, 'B1' AS level, place, CASE WHEN l.lang = 'en' THEN gloss ELSE a.lemma END AS lemma, gloss AS english, CASE WHEN l.lang = 'en' THEN zh ELSE a.chinese END AS chinese, cc.pos, 'keep' AS action, (l.lang, {fold('gloss')}, cc.pos) IN (SELECT (lang, {fold('english')}, pos) FROM kp) AS hit FROM cc, (SELECT DISTINCT lang FROM rr) l LEFT JOIN (SELECT lang, english AS e, min(lemma) AS lemma, min(chinese) AS chinese FROM entry WHERE level = 'C1' GROUP BY ALL) a ON a.lang = l.lang AND a.e = gloss WHERE l.lang = 'en' OR a.lemma IS NOT NULL)",
+    "gd AS (SELECT * FROM gt WHERE len(issues) = 0)",
+    f"ok AS (SELECT *, {fold('lemma')} AS key FROM gd WHERE pos NOT IN ('PROPN', 'PUNCT', 'SYM', 'X') AND lemma <> '' AND NOT regexp_matches(lemma, '[\\s\\p{{Z}}]') AND chinese <> '' AND nfc_normalize(lemma) = lemma)",
+    "rm AS (SELECT lang, 150 - count(*) AS room FROM kp GROUP BY ALL)",
+    "p1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY place, lemma) AS k FROM (SELECT * FROM ok WHERE NOT hit AND (lang, key, pos) NOT IN (SELECT (lang, key, pos) FROM kp UNION ALL SELECT (lang, key, pos) FROM tk) QUALIFY row_number() OVER (PARTITION BY lang, key, pos ORDER BY place, lemma, english, chinese) = 1)) JOIN rm USING (lang) WHERE k <= room)",
+    "p2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY place, lemma) AS k2 FROM (SELECT * FROM ok WHERE hit AND lang IN (SELECT lang FROM p1) AND (lang, key, pos) NOT IN (SELECT (lang, key, pos) FROM kp UNION ALL SELECT (lang, key, pos) FROM tk UNION ALL SELECT (lang, key, pos) FROM p1) QUALIFY row_number() OVER (PARTITION BY lang, key, pos ORDER BY place, lemma, english, chinese) = 1)) JOIN (SELECT lang, room - (SELECT count(*) FROM p1 WHERE p1.lang = rm.lang) AS room2 FROM rm) USING (lang) WHERE k2 <= room2)",
+)
+
+
+@R.add("completed_lists", with_entry("SELECT lang, place, lemma, pos, 'kept' AS source FROM kp UNION ALL SELECT lang, place, lemma, pos, 'concept' FROM p1 UNION ALL SELECT lang, place, lemma, pos, 'retry' FROM p2", *_REFILL[:5], _GATES.replace("FROM act)", "FROM an)"), *_REFILL[5:]))
+def completed_lists(spark, d):
+    """B1 lists completed to 150 rows by the concepts of the English B2 list; a language's C1 list answers with its word for a gloss."""
+    e = entries(spark, d)
+    own = e.where("level = 'B1'")
+    rows = own.select("lang", "level", F.col("ord").alias("place"), "lemma", "english", "chinese", "pos", F.lit("keep").alias("action"))
+    taken = e.where("level = 'A1'").select("lang", F.lit("B1").alias("level"), word_key("lemma").alias("key"), "pos").distinct()
+    pivots = e.where((F.col("lang") == "en") & (F.col("level") == "B2") & (rules.norm_pivot(F.col("chinese")) != "")).groupBy("english", "chinese", "pos").agg(F.min("ord").alias("place"))
+    concepts = F.broadcast(own.select("lang", "level").distinct()).join(pivots)  # at most one row per language
+    words = e.where("level = 'C1'").groupBy("lang", "english").agg(F.min("lemma").alias("lemma"), F.min("chinese").alias("_z"))
+    answer = lambda c: c.join(words, ["lang", "english"]).withColumns({"chinese": F.col("_z"), "action": F.lit("keep")})
+    targets = spark.createDataFrame([("B1", 150)], "level string, target int")
+    return refill.completed(rows, concepts, taken, targets, answer, gates.gate_issues).select("lang", "place", "lemma", "pos", "source")
+
+
+@R.add("refill_rest", with_entry("SELECT ord, lemma FROM entry WHERE level = 'B1' AND ord NOT IN (SELECT place FROM kp)", *_REFILL[:3]))
+def refill_rest(spark, d):
+    """Rows of the B1 lists that the first step of completing them does not keep."""
+    e = entries(spark, d)
+    rows = e.where("level = 'B1'").select("lang", "level", "ord", "lemma", "english", "chinese", "pos", F.lit("keep").alias("action"))
+    taken = e.where("level = 'A1'").select("lang", word_key("lemma").alias("key"), "pos").distinct()
+    first = rows.withColumn("key", word_key("lemma")).join(taken, ["lang", "key", "pos"], "left_anti").groupBy("lang", "key", "pos").agg(F.min("ord").alias("ord"))
+    return review.beyond(rows, first).select("ord", "lemma")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gradelex.functions import responses
 from gradelex.functions.rules import TARGETS
-from gradelex.operators import gates, reports
+from gradelex.operators import gates, reports, state
 from gradelex.plans.base import Registry, entries, with_entry
 from gradelex.session import table
 
@@ -63,9 +63,56 @@ def task_config(spark, d):
     return entries(spark, d).select("lang", "level").distinct().select(responses.canonical_json({"level": F.col("level"), "target": target, "lang": F.col("lang")}).alias("config"))
 
 
-@R.add("retriable_reasons", "SELECT decision_id, coalesce(regexp_matches(lower(reason), 'timeout|timed out|rate limit|429|500|502|503|504|overloaded|connection'), false) AS again FROM review_decision")
+@R.add("retriable_reasons", "SELECT o_orderkey, coalesce(regexp_matches(lower(e), 'timeout|timed out|rate limit|429|500|502|503|504|overloaded|connection'), false) AS again FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 'Connection reset' WHEN o_orderkey % 9 = 1 THEN 'Read TIMEOUT' WHEN o_orderkey % 9 = 2 THEN NULL ELSE 'HTTP ' || (400 + o_orderkey % 106) END AS e FROM orders)")
 def retriable_reasons(spark, d):
-    return table(spark, d, "review_decision").select("decision_id", responses.retriable(F.col("reason")).alias("again"))
+    """Order keys as the error messages of a server."""
+    k = F.col("o_orderkey")
+    error = F.when(k % 9 == 0, "Connection reset").when(k % 9 == 1, "Read TIMEOUT").when(k % 9 > 2, F.concat(F.lit("HTTP "), 400 + k % 106))
+    return table(spark, d, "orders").select("o_orderkey", responses.retriable(error).alias("again"))
+
+
+@R.add("action_sample", "SELECT decision_id, action, reason FROM review_decision ORDER BY decision_id LIMIT 12")
+def action_sample(spark, d):
+    return table(spark, d, "review_decision").select("decision_id", "action", "reason").orderBy("decision_id").limit(12)
+
+
+@R.add("flat_items", "SELECT decision_id, expected.upos AS key, expected.lemma AS value FROM review_decision WHERE expected.lemma IS NOT NULL AND expected.upos IS NOT NULL")
+def flat_items(spark, d):
+    r = table(spark, d, "review_decision").where("expected.lemma is not null and expected.upos is not null").withColumn("p", F.to_json(F.create_map("expected.upos", "expected.lemma")))
+    return r.select("decision_id", F.explode(responses.flat_items(F.col("p"))).alias("x")).select("decision_id", "x.key", "x.value")
+
+
+_TASKS = "tk AS (SELECT o_orderkey, 'task-' || o_orderkey AS task_key, CASE o_orderkey % 3 WHEN 0 THEN 'cefr' ELSE 'handcraft' END AS phase, (['ar', 'de', 'en', 'fr'])[CAST(o_orderkey % 4 AS INT) + 1] AS lang, (['A1', 'A2', 'B1', 'B2', 'C1'])[CAST(o_orderkey % 5 AS INT) + 1] AS level, CASE o_orderstatus WHEN 'O' THEN 'succeeded' WHEN 'F' THEN 'failed' ELSE 'pending' END AS status, CASE WHEN o_orderkey % 2 = 0 THEN 'out/' || o_orderkey ELSE '' END AS output, o_orderdate AS updated_at FROM orders)"
+
+
+def _tasks(spark, d):
+    """Orders as the tasks of a run."""
+    k = F.col("o_orderkey")
+    pick = lambda values, n: F.element_at(F.array(*[F.lit(v) for v in values]), (k % n + 1).cast("int"))
+    status = F.when(F.col("o_orderstatus") == "O", "succeeded").when(F.col("o_orderstatus") == "F", "failed").otherwise("pending")
+    return table(spark, d, "orders").select(F.concat(F.lit("task-"), k).alias("task_key"), F.when(k % 3 == 0, "cefr").otherwise("handcraft").alias("phase"), pick(["ar", "de", "en", "fr"], 4).alias("lang"), pick(["A1", "A2", "B1", "B2", "C1"], 5).alias("level"), status.alias("status"), F.when(k % 2 == 0, F.concat(F.lit("out/"), k)).otherwise("").alias("output"), F.col("o_orderdate").alias("updated_at"))
+
+
+@R.add("succeeded_tasks", f"WITH {_TASKS} SELECT lang, level, coalesce(nullif(output, ''), lang || '/' || level || '.proposed.csv') AS output FROM tk WHERE phase = 'cefr' AND status = 'succeeded' AND lang IN ('de', 'fr')")
+def succeeded_tasks(spark, d):
+    return reports.succeeded_tasks(_tasks(spark, d), "cefr", ["de", "fr"])
+
+
+@R.add("failed_tasks", f"WITH {_TASKS} SELECT task_key, phase, updated_at FROM tk WHERE status = 'failed'")
+def failed_tasks(spark, d):
+    return reports.tasks_by_status(_tasks(spark, d), "failed").select("task_key", "phase", "updated_at")
+
+
+@R.add("runnable_tasks", f"WITH {_TASKS}, f AS (SELECT lang, level, min(CASE phase WHEN 'cefr' THEN 1 ELSE 2 END) AS step FROM tk WHERE status <> 'succeeded' GROUP BY ALL) SELECT task_key, CAST(step AS INT) AS step FROM tk JOIN f USING (lang, level) WHERE status IN ('pending', 'failed') AND step = CASE phase WHEN 'cefr' THEN 1 ELSE 2 END")
+def runnable_tasks(spark, d):
+    return state.runnable(_tasks(spark, d), ["cefr", "handcraft"], retry_failed=True).select("task_key", "step")
+
+
+@R.add("log_lines", "SELECT event_id AS ord, strftime(ts, '%Y-%m-%d %H:%M:%S') || ' ' || CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO ' END || ' ' || event_type || ' user=' || user_id || ' value=' || CASE WHEN value < 10 THEN 'low' ELSE 'high' END AS line FROM events WHERE value IS NOT NULL")
+def log_lines(spark, d):
+    e = table(spark, d, "events").where("value is not null")
+    fields = F.create_map(F.lit("value"), F.when(F.col("value") < 10, "low").otherwise("high"), F.lit("user"), F.col("user_id").cast("string"))
+    return reports.log_line(e.select(F.col("event_id").alias("ord"), F.col("ts").alias("at"), F.when(F.col("event_type") == "error", "error").otherwise("info").alias("level"), F.col("event_type").alias("name"), fields.alias("fields")))
 
 
 @R.add("readiness", with_entry("SELECT lang, level, n_rows, required, least(coalesce(k, 0), 20) AS n_issues, n_rows >= required AND coalesce(k, 0) = 0 AS ready FROM (SELECT lang, level, count(*) AS n_rows FROM entry GROUP BY ALL) JOIN (VALUES ('A1', 600::BIGINT), ('A2', 600), ('B1', 1000), ('B2', 2000), ('C1', 4000)) t(level, required) USING (level) LEFT JOIN (SELECT lang, level, count(*) AS k FROM entry WHERE trim(english) = '' GROUP BY ALL) USING (lang, level)"))

@@ -6,7 +6,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from gradelex.operators import batching, review, sampling, state
+from gradelex.functions import responses, rules
+from gradelex.operators import batching, gates, refill, review, sampling, state
 from gradelex.sources import lists as readers
 from gradelex.sources import writers
 from gradelex.streaming import eventlog
@@ -45,8 +46,67 @@ def test_concepts(spark, entry):
     c = spark.createDataFrame([("Go", "VERB"), ("tree", "NOUN")], "gloss string, pos string")
     assert rows_of(review.concept_level(c, rows)) == [("Go", "VERB", "A2"), ("tree", "NOUN", "B1")]
     assert rows_of(review.represented_split(c, rows)) == [("Go", "VERB", True), ("tree", "NOUN", False)]
-    v = spark.createDataFrame([(1, "fix", "laufen"), (3, "drop", None)], "id bigint, verdict string, new_lemma string")
+    # the last verdict counts; a fix to nothing and a row without a verdict leave
+    v = spark.createDataFrame([(1, 1, "drop", None), (1, 2, "fix", " laufen "), (2, 2, "drop", None), (2, 1, "keep", None), (3, 1, "fix", " ")], "id bigint, ord int, verdict string, new_lemma string")
     assert rows_of(review.apply_verdicts(rows.withColumn("id", F.col("ord")), v), "ord", "lemma") == [(1, "laufen")]
+    skip = spark.createDataFrame([("tree", "NOUN")], "key string, pos string")
+    assert rows_of(review.represented_split(c, rows, skip)) == [("Go", "VERB", True), ("tree", "NOUN", True)]
+
+
+def test_keys_fold_case_and_composition(spark, entry):
+    rows = entry(("de", "A1", "Straße", "street", "", "NOUN"), ("de", "B1", "STRASSE", "road", "", "NOUN"), ("fr", "A1", "été", "summer", "", "NOUN"), ("fr", "A2", " e\u0301te\u0301", "summer", "", "NOUN"), ("fr", "A2", "eau", "", "", "NOUN"))
+    assert {r.key for r in review.collision_keys(rows).collect()} == {"strasse", "été"}
+    acted = rows.withColumn("action", F.when(F.col("ord") == 5, "drop").otherwise("keep"))
+    none = review.collision_keys(rows.limit(0)).select("lang", "key", "pos")
+    assert rows_of(review.review_dedupe(acted, none), "ord") == [(1,), (3,)]
+    assert rows_of(review.repeated_keys(rows, none), "key", "n", "collides") == [("strasse", 2, False), ("été", 2, False)]
+    d = spark.createDataFrame([(("Haus", "House", "", "NOUN"), "keep"), (("haus", "house", "", "NOUN"), "drop"), (("Kind", None, "", None), "fix")], f"expected {WORD}, action string")
+    assert rows_of(review.rejected_keys(d)) == sorted([("haus", "NOUN", "lemma"), ("house", "NOUN", "english"), ("kind", None, "lemma")], key=repr)
+    key = lambda df: df.withColumn("list_key", F.col("lang"))
+    old = entry(("de", "A1", "Haus", "house", "房", "NOUN"), ("de", "A1", "gehen", "to go", "去", "VERB"))
+    new = entry(("de", "B1", "haus", "house", "房", "noun"), ("de", "B1", "Haus", "building", "房", "NOUN"), ("de", "B1", "Gehen", "going", "", "NOUN"), ("de", "B1", "neu", "new", "", "ADJ"), ("sv", "B1", "ny", "new", "", "ADJ"))
+    assert rows_of(sampling.classify_changes(key(new), key(old)), "ord", "change") == [(1, "unchanged"), (2, "edited"), (3, "pos_or_key_changed"), (4, "new_or_renamed"), (5, "unchanged")]
+
+
+def test_review_run(spark, entry):
+    rows = entry(("de", "A1", "Hund", "dog", "狗", "NOUN"), ("de", "A1", "katze", "cat", "猫", "NOUN"), ("fr", "A1", "chat", "cat", "猫", "NOUN"), ("fr", "A1", "chien", "dog", "狗", "NOUN"), ("sv", "A1", "hus", "house", "房", "NOUN"), ("sv", "A1", "Hus", "house", "房", "NOUN"))
+    t = datetime(2025, 1, 1)
+    dec = [(1, "de-A1", 3, ("katze", "cat", "猫", "NOUN"), "fix", ("Katze", "cat", "猫", "NOUN"), t), (2, "fr-A1", 5, ("chien", "dog", "狗", "NOUN"), "drop", None, t)]
+    d = spark.createDataFrame(dec, f"decision_id int, list_id string, line int, expected {WORD}, action string, replacement {WORD}, decided_at timestamp_ntz")
+    taken = spark.createDataFrame([("fr", "chat", "NOUN")], "lang string, key string, pos string")
+    ok, bad = review.reviewed(rows, d, taken, gates.gate_issues)
+    assert rows_of(ok, "ord", "lemma", "action") == [(1, "Hund", "keep"), (2, "Katze", "fix")]
+    assert rows_of(bad, "ord", "problem") == [(3, "collision"), (5, "repeated"), (6, "repeated")]
+    more = entry(("de", "A1", "Maus", "mouse", "鼠", "NOUN"), ("es", "A1", "sol", "sun", "日", "NOUN"))
+    assert rows_of(review.appended(rows, more).where("lemma in ('Maus', 'sol')"), "lemma", "line") == [("Maus", 4), ("sol", 3)]
+    with pytest.raises(Exception, match="no pivot gloss"):
+        review.kept_rows(entry(("de", "A1", "a", "b", "", "X"))).collect()
+    order = spark.createDataFrame([(9, 1), (8, 2)], "id int, place int")
+    said = lambda *ids: spark.createDataFrame([(i, "x") for i in ids], "id int, v string")
+    assert rows_of(review.in_order(order, said(8, 9)), "place", "id") == [(1, 9), (2, 8)]
+    for ids, why in (((8,), "missing"), ((8, 9, 9), "repeated"), ((7, 8, 9), "unknown")):
+        with pytest.raises(Exception, match=why):
+            review.in_order(order, said(*ids)).collect()
+    assert rows_of(review.same_ids(*(spark.createDataFrame(x, "batch string, id int") for x in ([("a", 1), ("a", 1), ("b", 1)], [("a", 1), ("b", 2)])))) == [("a", True), ("b", False)]
+
+
+def test_completing_lists(spark):
+    schema = "lang string, level string, place int, lemma string, english string, chinese string, pos string, action string"
+    rows = spark.createDataFrame([("de", "A1", 1, "Hund", "dog", "狗", "NOUN", "keep"), ("de", "A1", 2, "hund", "dog", "狗", "NOUN", "keep"), ("de", "A1", 3, "Baum", "tree", "树", "NOUN", "keep"), ("en", "A1", 1, "dog", "dog", "狗", "NOUN", "keep"), ("fr", "A1", 1, "eau", "water", "水", "NOUN", "drop"), ("fr", "A1", 2, "lait", "milk", "奶", "NOUN", "keep")], schema)
+    taken = spark.createDataFrame([("de", "A1", "baum", "NOUN")], "lang string, level string, key string, pos string")
+    concepts = spark.createDataFrame([(x, "A1", i, e, z, "NOUN") for x in ("de", "en", "fr") for i, (e, z) in enumerate([("dog", "狗"), ("house", "房"), ("name", "名"), ("cat", "猫")])], "lang string, level string, place int, english string, chinese string, pos string")
+    words = spark.createDataFrame([("de", "house", "Haus"), ("de", "cat", "katze"), ("de", "name", "Vor name"), ("de", "dog", "Köter"), ("fr", "zebra", "zèbre")], "lang string, english string, lemma string")
+    answer = lambda c: c.join(words, ["lang", "english"]).withColumn("action", F.lit("keep"))
+    novel = lambda slots: slots.select("lang", "level", (1000 * (F.col("round") + 1) + F.col("slot")).cast("int").alias("place"), F.concat(F.lit("mot"), F.when(F.col("slot") == 1, "9").otherwise(F.translate(F.col("slot").cast("string"), "23", "bc"))).alias("lemma"), F.lit("word").alias("english"), F.lit("词").alias("chinese"), F.lit("NOUN").alias("pos"), F.lit("keep").alias("action"))
+    targets = spark.createDataFrame([("A1", 3)], "level string, target int")
+    got = refill.completed(rows, concepts, taken, targets, answer, gates.gate_issues, novel=novel)
+    # katze fails its gate and "Vor name" has a blank; the German list got a concept, so the represented one is tried again; the French got none
+    assert rows_of(got, "lang", "lemma", "source") == sorted([("de", "Hund", "kept"), ("de", "Haus", "concept"), ("de", "Köter", "retry"), ("en", "dog", "kept"), ("en", "house", "concept"), ("en", "name", "concept"), ("fr", "lait", "kept"), ("fr", "motb", "novel")], key=repr)
+    assert refill.unclean(got, gates.gate_issues).count() == 0
+    odd = rows.withColumn("lemma", F.lower("lemma"))
+    assert refill.unclean(odd, gates.gate_issues).count() == 4  # three German nouns and the dropped row
+    assert refill.unclean(odd, gates.gate_issues, taken.select("lang", "key", "pos")).count() == 3
+    assert refill.completed(rows.limit(0), concepts, taken, targets, answer, gates.gate_issues).count() == 0
 
 
 def test_state(spark):
@@ -78,16 +138,27 @@ def test_model_calls_are_kept_and_not_repeated(spark, tmp_path):
     got, new = state.checkpointed(req, spark.createDataFrame([("a", "old")], "key string, answer string"), call, "key string, answer string")
     assert rows_of(got) == [("a", "old"), ("b", "B")]
     assert sorted({p.name.split("-")[0] for p in seen.iterdir()}) == ["b", "bad"]
-    one, two = (spark.createDataFrame(list(x.items()), "key string, answer string") for x in ({"a": "1", "b": "2", "c": None}, {"a": "1", "b": "3"}))
+    # stale answers are asked for again, bad ones with another prompt, at most twice
+    def second(parts):
+        for pdf in parts:
+            yield pd.DataFrame({"key": pdf["key"], "answer": ["good" if p.endswith("again") and k == "b" else f"bad {k}" for k, p in zip(pdf["key"], pdf["prompt"], strict=True)]})
+
+    held = spark.createDataFrame([("a", "good"), ("c", "stale")], "key string, answer string")
+    wanted = spark.createDataFrame([("a", "p"), ("b", "p"), ("c", "p")], "key string, prompt string")
+    got, new = state.checkpointed(wanted, held, second, "key string, answer string", valid=lambda c: c == "good", repair=lambda p, a: F.concat(p, F.lit(" again")), attempts=2)
+    assert rows_of(got) == [("a", "good"), ("b", "good")] and rows_of(new) == [("b", "good")]
+    one, two = (spark.createDataFrame(list(x.items()), "key string, answer string") for x in ({"a": '{"x": 1, "y": [2]}', "b": "2", "c": None}, {"a": '{"y":[2],"x":1}', "b": "3"}))
     judge = lambda parts: (pd.DataFrame({"key": p["key"], "answer": p["answer"] + "/" + p["other"]}) for p in parts)
-    assert rows_of(state.adjudicated(one, two, judge, "key string, answer string")) == [("a", "1"), ("b", "2/3"), ("c", None)]
+    assert rows_of(state.adjudicated(one, two, judge, "key string, answer string")) == [("a", '{"x": 1, "y": [2]}'), ("b", "2/3"), ("c", None)]
 
 
 def test_samples(spark):
-    assert sampling.allocate([0, 0], 5) == [0, 0] and sampling.allocate([1, 1, 1, 97], 24) == [1, 1, 1, 21]
-    for sizes, total in (([5, 0, 1, 94], 20), ([1, 1, 1, 1], 3), ([3, 3], 100), ([10, 1, 1, 1], 2)):
-        take = sampling.allocate(sizes, total)
-        assert sum(take) == min(total, sum(sizes)) and all(t <= s for t, s in zip(take, sizes, strict=True))
+    cases = [([0, 0], 5), ([1, 1, 1, 97], 24), ([50, 50], 5), ([5, 0, 1, 94], 20), ([1, 1, 1, 1], 3), ([3, 3], 100), ([10, 1, 1, 1], 2), ([0, 0, 30, 0], 7)]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, sizes array<bigint>, total bigint")
+    got = [r.take for r in df.select("i", sampling.allocate(F.col("sizes"), F.col("total")).alias("take")).orderBy("i").collect()]
+    assert got[:3] == [[0, 0], [1, 1, 1, 21], [2, 3]]  # a half is rounded to the even number, the rest goes to the last
+    for (sizes, total), take in zip(cases, got, strict=True):
+        assert sum(take) == min(total, sum(sizes)) and all(0 <= t <= s for t, s in zip(take, sizes, strict=True))
     rows = spark.createDataFrame([("g", i, sampling.STRATA[min(3, i)]) for i in range(200)], "g string, ord int, change string")
     got = sampling.stratified_sample(rows, ["g"]).toPandas()
     assert len(got) == spark.range(1).select(sampling.sample_size(F.lit(200)).alias("n")).collect()[0].n == 22
@@ -97,6 +168,16 @@ def test_samples(spark):
         sampling.task_grid(["a", "a"], ["de"], ["A1"], spark)
 
 
+def test_scalars(spark):
+    one = lambda c: spark.range(1).select(c.alias("x")).collect()[0].x
+    assert one(rules.strip_thoughts(F.lit('<think>a\nb</think>\n```json\n{"a": 1}\n```'))) == '{"a": 1}' and one(rules.strip_thoughts(F.lit("plain"))) == "plain"
+    now = F.lit("2025-01-01 10:00:00").cast("timestamp")
+    wait = lambda attempt, after, **kw: one(rules.retry_delay(F.lit(attempt), F.lit(after).cast("string"), now=now, **kw))
+    assert (wait(3, None), wait(9, None), wait(3, "7"), wait(3, "Wed, 01 Jan 2025 10:00:30 GMT"), wait(3, None, jitter=F.lit(0.5))) == (8.0, 60.0, 7.0, 30.0, 8.5)
+    assert one(responses.same_json(F.lit('{"a":1,"b":2}'), F.lit('{"b": 2, "a": 1}'))) and not one(responses.same_json(F.lit("x"), F.lit("y")))
+    assert [(x.key, x.value) for x in one(responses.flat_items(F.lit('{"3": "Hund"}')))] == [("3", "Hund")]
+
+
 def test_batches(spark):
     rows = spark.createDataFrame([("l", i, c) for i, c in enumerate([40, 40, 40, 100, 1, 1, 1, 1])], "g string, ord int, cost int")
     assert [r.batch for r in batching.greedy_batches(rows, ["g"], "ord", "cost", 100, 3).orderBy("ord").collect()] == [0, 0, 1, 2, 3, 3, 3, 4]
@@ -105,8 +186,12 @@ def test_batches(spark):
     with pytest.raises(Exception, match="more than"):
         batching.greedy_batches(rows, ["g"], "ord", "cost", 99, 3).count()
     assert [r.ord for r in batching.exclusion_prefix(rows, ["g"], "ord", "cost", 100).orderBy("ord").collect()] == [0, 1]
-    parts = batching.halved(rows.withColumn("b", F.lit(0)), ["g", "b"], "ord", "cost", 100).groupBy("part").agg(F.sum("cost").alias("c"), F.count("*").alias("n")).collect()
-    assert all(p.c <= 100 or p.n == 1 for p in parts)
+    parts = batching.halved(rows.withColumn("b", F.lit(0)), ["g", "b"], "ord", "cost", 100).orderBy("ord").collect()
+    assert [p.part for p in parts] == [0, 0, 1, 2, 3, 3, 3, 3]
+    five = spark.createDataFrame([("l", i, 30) for i in range(5)], "g string, ord int, cost int")
+    assert [p.part for p in batching.halved(five, ["g"], "ord", "cost", 100).orderBy("ord").collect()] == [0, 0, 1, 1, 1]
+    with pytest.raises(Exception, match="costs more"):
+        batching.halved(rows, ["g"], "ord", "cost", 99).collect()
 
 
 def test_large_batches_are_halved_to_the_end(spark):

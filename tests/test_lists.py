@@ -153,10 +153,17 @@ def test_gates(spark, entry):
     assert got == {1: ["german.noun_requires_uppercase"], 2: ["german.non_noun_capitalized"], 3: ["german.verb_requires_infinitive"], 4: ["english.citation_mismatch"], 5: ["cefr.forbidden_upos", "cefr.english_echo"], 6: ["arabic.script_required"], 7: ["chinese.script_required"], 8: ["cefr.lemma_not_nfc"]}
     assert rows_of(gates.capitalise_nouns(gates.gate_issues(rows)).where("ord = 1"), "lemma") == [("Haus",)]
     assert rows_of(gates.citation_form(rows).where("ord = 4"), "lemma", "action") == [("dream", "fix")]
-    lex = gates.Lexicon(drop=("شوية", "مَسُوس"), keep=("بخير", "روح"), clitic_stems=("شوية",))
+    lex = gates.rule_table(drop=("شوية", "مَسُوس"), keep=("بخير", "روح"), stems=("شوية",))
     cases = [("بشوية", "ADV", "slowly", "drop"), ("بخير", "ADV", "fine", "ok"), ("روح", "VERB", "go", "drop"), ("روح", "NOUN", "soul", "ok"), ("المسوس", "ADJ", "bland", "drop"), ("يعني", "PART", "like", "drop"), ("بروفيل", "NOUN", "profile", "drop"), ("بروفيل", "NOUN", "outline", "ok"), ("ولا", "CCONJ", "or", "drop"), ("ولا", "CCONJ", "and not or", "ok"), ("كلمة", "NOUN", "word (dialect)", "policy"), ("", "X", "", "ok")]
     df = spark.createDataFrame([c[:3] for c in cases], "lemma string, upos string, english string")
     assert [r.v.action for r in df.select(gates.dialect_class(F.col("lemma"), F.col("upos"), F.col("english"), lex).alias("v")).collect()] == [c[3] for c in cases]
+    assert {("شوية", "", "drop", "closed set"), ("كون", "CCONJ", "drop", "dialect conditional"), ("لازم", "AUX", "drop", "dialect auxiliary")} <= set(gates.lexicon_rows(lex))
+    many = entry(("de", "A1", "Haus", "house", "房", "NOUN"), ("de", "A1", "Haus", "hut", "房", "NOUN"), ("de", "A1", "e\u0301", "x", "y", "NOUN"), ("ar", "A1", "شوية", "a bit", "点", "ADV"), ("ar", "A1", "كلمة", "word", "词", "NOUN"))
+    forms = spark.createDataFrame([("de", "Haus", None, "hut", "fix", "sense")], "lang string, lemma string, pos string, english_has string, verdict string, note string")
+    listed = spark.createDataFrame([("A1", "كلمة", "NOUN", "drop")], "level string, lemma string, pos string, action string")
+    assert [r.note for r in gates.sample_score(many, lex, forms, listed).orderBy("ord").collect()] == ["clean", "sense", "not composed", "classifier:closed set", "inventory"]
+    more = entry(("sv", "A1", "a²", "x", "", "NOUN"), ("sv", "A1", "Öl", "x", "", "NOUN"), ("sv", "A1", "ab", "e\u0301", "", "NOUN")).withColumns({"action": F.lit("keep"), "initial": F.when(F.col("ord") == 2, "ö")})
+    assert [r.problem for r in gates.candidate_problems(more).orderBy("ord").collect()] == ["digit", None, "nfc"]
 
 
 def test_sentences(spark):
@@ -165,4 +172,12 @@ def test_sentences(spark):
     bad = ("s2", "de", "Der hund geht.", ["t2"], [("t1", "katze", "NOUN")], [(1, "Der", "der", "DET"), (3, "hund", "hund", "NOUN"), (4, "geht", "geht", "VERB"), (5, ".", "!", "PUNCT")])
     got = {r.sent_id: set(r.problems) for r in gates.sentence_problems(spark.createDataFrame([good, bad], schema)).collect()}
     assert got == {"s1": set(), "s2": {"token_ids", "punct_lemma", "target_ids", "missing_target", "de_noun", "de_verb"}}
+    zh = ("s3", "zh", "狗。", ["t"], [("t", "狗", "NOUN")], [(1, "狗", "狗", "NOUN"), (2, "。", "。", "PUNCT")])
+    ar = ("s4", "ar", "bayt ok.", ["t"], [("t", "bayt", "NOUN")], [(1, "bayt", "bayt", "NOUN"), (2, "ok", "ok", "X"), (3, ".", ".", "PUNCT")])
+    loose = ("s5", "fr", "e\u0301te\u0301", ["t"], [("t", "ÉTÉ", "NOUN")], [(1, "été", "été", "NOUN")])
+    got = {r.sent_id: set(r.problems) for r in gates.sentence_problems(spark.createDataFrame([zh, ar, loose], schema)).collect()}
+    assert got == {"s3": set(), "s4": {"ar_script", "tag_x"}, "s5": {"nfc", "text"}}
+    b = spark.createDataFrame([("b", 1, "x", "t"), ("b", 2, "y", "t"), ("c", 1, "z", "u")], "batch string, place int, sent_id string, text string")
+    assert rows_of(gates.batch_problems(b, b.select("batch", "place", "sent_id"))) == [("b", "repeated_text")]
+    assert rows_of(gates.batch_problems(b.where("place = 1"), b.select("batch", "place", "sent_id"))) == [("b", "order")]
     assert [r.unique_ids for r in gates.repeated_ids(spark.createDataFrame([good], schema), "tokens", "id").collect()] == [True]

@@ -54,3 +54,23 @@ def test_unicode(spark):
 def test_hash_tells_nulls_apart(spark):
     df = spark.createDataFrame([("a", None, "b"), ("a", "b", None), (None, "a", "b"), ("a", "", "b"), ("ab", "", "")], "x string, y string, z string")
     assert df.select(key64(F.col("x"), F.col("y"), F.col("z")).alias("h")).distinct().count() == 5
+
+
+def test_unicode_functions_agree_with_python(spark):
+    import random
+    import unicodedata
+
+    from gradelex.functions import text
+
+    r = random.Random(1)
+    pool = [chr(c) for c in range(1, 0x3000) if unicodedata.category(chr(c)) != "Cn"] + list("ßẞİıſﬁ가각Å①²")
+    words = ["".join(r.choice(pool) for _ in range(r.randrange(6))) for _ in range(3000)] + ["", "Straße", "abc"]
+    df = spark.createDataFrame([(w,) for w in words] + [(None,)], "x string")
+    rows = df.select("x", text.nfc("x").alias("a"), text.casefold("x").alias("b"), text.nfkd_plain("x").alias("c"), text.nfc_fold("x").alias("d"), text.word_key("x").alias("e")).collect()
+    for x, *got in rows:
+        if x is None:
+            assert got == [None] * 5
+            continue
+        plain = "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
+        folded = unicodedata.normalize("NFC", unicodedata.normalize("NFD", x.strip()).casefold())
+        assert got == [unicodedata.normalize("NFC", x), x.casefold(), plain, folded, unicodedata.normalize("NFC", x.strip()).casefold()], ascii(x)
