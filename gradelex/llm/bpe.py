@@ -68,12 +68,33 @@ def symbol_table() -> np.ndarray:
     return t
 
 
+#: state after a symbol whatever was before, where that is so
+PLAIN = np.array([S0, S1, SL, SN, SO, SO, SO], np.uint8)
+
+
+def _scan(f: np.ndarray, at: np.ndarray, known: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """States after the places at, whose functions are f, by doubling. Places with a known state before them, or the start of a text, come out of
+    it at once; the others are composed with those 1, 2, 4, … places before until all functions are constant."""
+    head = np.ones(len(at), bool)
+    head[1:] = (np.diff(at) != 1) | first[at[1:]]
+    before = np.where(first[at[head]] | (at[head] == 0), S0, known[at[head] - 1])
+    f[head] = np.take_along_axis(f[head], before[:, None].astype(np.int64), axis=1)
+    k = 1
+    while k < len(at):
+        still = np.flatnonzero((f[k:] != f[k:, :1]).any(axis=1)) + k
+        if not len(still):
+            break
+        f[still] = np.take_along_axis(f[still], f[still - k].astype(np.int64), axis=1)
+        k *= 2
+    return f[:, 0]
+
+
 def token_starts(cp: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Where tokens start in a run of texts; first marks each text's first character.
 
     Every character is a function from the automaton's state before it to the state after it. Functions compose
-    associatively, so the state after each character comes from a scan by doubling; it ends as soon as all
-    composed functions are constant, which takes as many steps as the longest dependence has binary digits.
+    associatively, so the state after each character comes from a scan by doubling over those that are not constant; it ends as soon as all
+    composed functions are, which takes as many steps as the longest dependence has binary digits.
     """
     n = len(cp)
     sym = symbol_table()[cp]
@@ -88,20 +109,21 @@ def token_starts(cp: np.ndarray, first: np.ndarray) -> np.ndarray:
             long_ |= same(1) & same(2) & (one == ord(a)) & (two == ord(b))
         sym[at[short]] = Q1
         sym[at[long_]] = Q2
-    f = NEXT[sym]
-    f[first] = f[first][:, [S0]]  # a text starts in S0 whatever stood before
-    k = 1
-    while k < n:
-        open_ = np.flatnonzero((f[k:] != f[k:, :1]).any(axis=1)) + k
-        if not len(open_):
-            break
-        f[open_] = np.take_along_axis(f[open_], f[open_ - k], axis=1)
-        k *= 2
-    after = f[:, 0]
+    # most functions are constant; a letter's is but in the two places after such an apostrophe, where a contraction may be on its way
+    after = PLAIN[sym]
+    quotes = at[sym[at] >= Q1] if len(at) else at
+    if len(quotes):
+        near = np.zeros(n, bool)
+        near[quotes] = True
+        for step in (1, 2):
+            later = quotes[quotes + step < n] + step
+            near[later[sym[later] == L]] = True
+        open_at = np.flatnonzero(near)
+        after[open_at] = _scan(NEXT[sym[open_at]], open_at, after, first)
     before = np.empty(n, np.uint8)
     before[0], before[1:] = S0, after[:-1]
     before[first] = S0
-    starts = STARTS[sym, before] | first
+    starts = STARTS.ravel()[sym * np.uint8(8) + before] | first
     # the last of several blanks stands apart if something visible follows
     blank = sym <= B
     follows = np.zeros(n, bool)
@@ -156,6 +178,31 @@ def _chunks(texts: pa.Array) -> Iterator[pa.Array]:
         at = to
 
 
+@lru_cache(1)
+def _weights(n: int) -> np.ndarray:
+    """n odd numbers, the same in every process."""
+    return np.random.default_rng(5).integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def distinct_slices(octets: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of slices that differ, for each slice the one it equals among them). Slices lie one after the other from the starts on.
+
+    Slices are told apart by a hash of their bytes, weighted by place; then the bytes of every slice are compared with those of the one it is
+    said to equal, and one that differs, as hashes may collide, stands for itself."""
+    size = np.diff(np.append(start, len(octets)))
+    at = np.arange(len(octets)) - np.repeat(start, size)
+    part = (octets.astype(np.uint64) + np.uint64(1)) * _weights(1 << int(size.max()).bit_length())[at]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part, dtype=np.uint64)])
+    _, unlike, of = np.unique(sums[start + size] - sums[start], return_index=True, return_inverse=True)
+    twin = unlike[of]
+    same = size == size[twin]
+    mirror = np.minimum(np.repeat(start[twin], size) + at, len(octets) - 1)
+    same[np.repeat(np.arange(len(start)), size)[octets != octets[mirror]]] = False
+    alone = np.flatnonzero(~same)
+    of[alone] = len(unlike) + np.arange(len(alone))
+    return np.concatenate([unlike, alone]), of
+
+
 def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids of all texts, number of ids of each text, end of each id's bytes within its text)."""
     m = merger(path)
@@ -175,10 +222,13 @@ def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarr
         first = np.zeros(len(cp), bool)
         first[np.searchsorted(head_at, text_at)] = True
         cut_at = head_at[token_starts(cp, first)]
-        bounds = [*cut_at.tolist(), len(raw)]
-        pieces = [m(raw[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        ids = np.fromiter(chain.from_iterable(pieces), np.int32, int(sizes.sum()))
+        unlike, of = distinct_slices(octets, cut_at)
+        bounds = np.append(cut_at, len(raw))
+        pieces = [m(raw[a:b]) for a, b in zip(cut_at[unlike].tolist(), bounds[unlike + 1].tolist(), strict=True)]
+        own = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        flat = np.fromiter(chain.from_iterable(pieces), np.int32, int(own.sum()))
+        sizes = own[of]
+        ids = flat[np.repeat((np.cumsum(own) - own)[of] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
         upto = np.concatenate([[0], np.cumsum(sizes)])
         edge = upto[np.searchsorted(cut_at, offsets - offsets[0])]
         all_ids.append(ids)

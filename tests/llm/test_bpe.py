@@ -91,3 +91,13 @@ def test_decoding_of_whole_and_broken_texts():
     words = bpe.merger(PATH).words
     broken = [next(i for i, w in words.items() if w == bytes([b])) for b in "é".encode()]
     assert bpe.decode(pa.array([broken[:1], broken[1:], broken, None, []], pa.list_(pa.int32())), PATH).to_pylist() == ["\ufffd", "\ufffd", "é", None, ""]
+
+
+def test_slices_are_told_apart(library, monkeypatch):
+    text = b"abcabcabdxab"
+    start = np.array([0, 3, 6, 9, 10])
+    unlike, of = bpe.distinct_slices(np.frombuffer(text, np.uint8), start)
+    assert of[0] == of[1] and len(set(of.tolist())) == 4 and all(start[unlike[of[i]]] in (0, start[i]) for i in range(5))
+    # with a hash that tells nothing apart, the comparison of bytes must
+    monkeypatch.setattr(bpe, "_weights", lambda n: np.zeros(n, np.uint64))
+    check(["it's he'll 12 12 12", "it's not", "", None, "中文 中文"], library)
