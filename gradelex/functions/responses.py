@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,21 @@ def content(body: Column) -> Column:
     return F.coalesce(get("$.choices[0].message.content"), get("$.choices[0].message.reasoning_content"), F.try_element_at(F.transform(shown, lambda p: p["text"]), F.lit(1)))
 
 
+def request(model: Column, system: Column, user: Column, most_tokens: Column) -> Column:
+    """The body of a chat request as JSON."""
+    message = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
+    return F.to_json(F.struct(model.alias("model"), F.array(message("system", system), message("user", user)).alias("messages"), most_tokens.alias("max_tokens")))
+
+
+def filled(template: str, **fields: Column) -> Column:
+    """A prompt template with {name} replaced by the field of that name; null fields are blank, other braces stay."""
+    parts, rest = [], template
+    while (at := re.search(r"\{(\w+)\}", rest)) is not None:
+        parts += [F.lit(rest[: at.start()]), F.coalesce(fields[at[1]].cast("string"), F.lit("")) if at[1] in fields else F.lit(at[0])]
+        rest = rest[at.end() :]
+    return F.concat(*parts, F.lit(rest))
+
+
 def usage(body: Column) -> Column:
     """struct(prompt, candidate, total) of token counts in either of two shapes, 0 where missing."""
     n = lambda *paths: F.coalesce(*[F.get_json_object(body, p).try_cast("bigint") for p in paths], F.lit(0)).cast("bigint")

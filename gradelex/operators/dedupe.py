@@ -176,6 +176,13 @@ def level_of_rank(rank):
     return out
 
 
+def levelled_words(words: DataFrame) -> DataFrame:
+    """(rank, word, level) from a frequency source (rank, word): the first rank of each word, whatever its case, within the bands of the levels."""
+    first = words.where((F.col("rank") >= BANDS[0][0]) & (F.col("rank") <= BANDS[-1][1]) & (strip_ws(F.col("word")) != ""))
+    best = first.groupBy(F.lower(strip_ws(F.col("word"))).alias("_k")).agg(F.min(F.struct("rank", "word")).alias("x"))
+    return best.select("x.rank", "x.word", level_of_rank(F.col("x.rank")).alias("level"))
+
+
 def change_report(changes: DataFrame, top: int = 60) -> DataFrame:
     """The first `top` changes of each language by ord, and how many more there are."""
     from pyspark.sql import Window
@@ -184,5 +191,3 @@ def change_report(changes: DataFrame, top: int = 60) -> DataFrame:
     shown = changes.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= top)
     n = changes.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     return shown.join(F.broadcast(n), "lang").select("lang", "ord", "rn", F.greatest(F.col("n") - top, F.lit(0)).alias("more"))
-
-

@@ -106,6 +106,11 @@ BY_SENSE = (
 )
 
 
+def token_set(*lists: Iterable[str], keep: Iterable[str] = ()) -> tuple[str, ...]:
+    """The words of all lists but those to keep, in order."""
+    return tuple(sorted(set().union(*lists) - set(keep)))
+
+
 def rule_table(drop: Iterable[str], keep: Iterable[str] = (), stems: Iterable[str] = ()) -> tuple[Rule, ...]:
     """The rules in their order, with a lexicon of words to drop, words to keep and stems that only take a clitic in dialect."""
     own = tuple(drop)

@@ -73,28 +73,32 @@ def split_lines(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     as an empty line, a null line_no as an ordinary line, a null file name as a plain CSV file.
     Identical rows have the same fate and are each kept; further columns are ignored.
 
-    Only failing cells are aggregated, so the shuffle carries failures and not the table; the lines themselves
-    meet them in one join on a 128-bit key of the whole line, which no single file or line number can skew.
+    Failing lines come from one pass: cells are exploded, joined to the rules, and only failing cells, with their line, are aggregated, so the
+    shuffle carries failures and not the table. Sound lines leave the failing ones by an anti-join on a 128-bit key of
+    the whole line, which no single file or line number can skew.
     """
     spark = raw.sparkSession
-    lines = raw.select("raw_id", "file_name", "line_no", "raw_text", F.regexp_replace("raw_text", r"\r\z", "").alias("line"))
+    whole = ["raw_id", "file_name", "line_no", "raw_text"]
+    lines = raw.select(*whole, F.regexp_replace("raw_text", r"\r\z", "").alias("line"))
     lines = lines.where(F.col("line").isNotNull() & (F.col("line") != "") & ~F.col("line_no").eqNullSafe(1))
-    whole = [F.col(c) for c in ("raw_id", "file_name", "line_no", "raw_text")]
-    lines = lines.withColumns({"k1": key64(*whole, seed=1), "k2": key64(*whole, seed=2)})
     parsed = _parse(lines)
     need = F.element_at(F.create_map(*[F.lit(x) for kv in WIDTH.items() for x in kv]), F.col("kind"))
     parsed = parsed.withColumn("shape", F.when(~F.col("quoted_well"), "quoting").when(F.size("cells") != need, "column_count"))
     rules = F.broadcast(spark.createDataFrame(RULES, "kind string, c int, rule string"))  # 13 rows, fixed
-    cells = parsed.where("shape is null").select("k1", "k2", "kind", F.posexplode("cells").alias("c", "v"))
-    bad = cells.join(rules, ["kind", "c"]).where(_breaks(F.col("rule"), F.col("v")))
-    # equal lines hash to one key: their failures repeat, and a set keeps the details one per cell
-    errors = bad.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("c", "rule"))).alias("details"))
-    shape = parsed.where("shape is not null").select("raw_id", "file_name", "line_no", "raw_text", F.col("shape").alias("reason"), F.expr("cast(null as array<struct<c:int,rule:string>>)").alias("details"))
-    sound = parsed.where("shape is null")
-    failing = sound.join(errors, ["k1", "k2"]).select("raw_id", "file_name", "line_no", "raw_text", F.lit("value").alias("reason"), "details").unionByName(shape)
+    # a line of another shape is one cell that no rule is for
+    cells = parsed.select(*whole, "kind", "shape", F.posexplode(F.when(F.col("shape").isNull(), F.col("cells")).otherwise(F.array(F.lit(None).cast("string")))).alias("c", "v"))
+    bad = cells.join(rules, ["kind", "c"], "left").where(F.col("shape").isNotNull() | _breaks(F.col("rule"), F.col("v")))
+    # equal lines have equal failures: a set keeps the details one per cell, and their number tells how many lines there are
+    details = F.sort_array(F.collect_set(F.when(F.col("shape").isNull(), F.struct("c", "rule"))))
+    # they are counted per task that read them, so equal lines without end are written out by many
+    errors = bad.withColumn("_task", F.spark_partition_id()).groupBy(*whole, "shape", "_task").agg(details.alias("details"), F.count(F.lit(1)).alias("n"))
+    times = F.when(F.col("shape").isNull(), F.col("n") / F.size("details")).otherwise(F.col("n")).cast("int")
+    failing = errors.select(*whole, F.coalesce("shape", F.lit("value")).alias("reason"), F.when(F.col("shape").isNull(), F.col("details")).alias("details"), F.explode(F.array_repeat(F.lit(True), times)).alias("_")).drop("_")
+    keyed = lambda df: df.withColumns({f"k{i}": key64(*[F.col(c) for c in whole], seed=i) for i in (1, 2)})
+    lost = keyed(bad.where("shape is null").select(*whole)).select("k1", "k2").distinct()
     cell = lambda i: F.col("cells")[i]
     tsv = F.col("kind") == "tsv"
-    valid = sound.join(errors, ["k1", "k2"], "left_anti").select(
+    valid = keyed(parsed.where("shape is null")).join(lost, ["k1", "k2"], "left_anti").select(
         "raw_id", "file_name", "line_no", "kind", "cells", cell(0).alias("lemma"), F.when(tsv, cell(2)).otherwise(cell(1)).alias("gloss"),
         F.trim(F.when(tsv, cell(1)).otherwise(cell(3))).alias("pos"), F.when(tsv | (F.col("kind") == "expansion"), F.nullif(F.trim(F.try_element_at("cells", F.lit(5))), F.lit(""))).alias("level"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -96,3 +97,16 @@ def unclean(rows: DataFrame, issues: Gate, protected: DataFrame | None = None) -
     if protected is not None:
         found = found.withColumn("key", word_key("lemma")).join(protected.select("lang", "key", "pos"), ["lang", "key", "pos"], "left_anti")
     return found.select(*LIST, "place", F.explode("issues").alias("code"))
+
+
+def repaired(rows: DataFrame, issues: Gate, repair: Gate, passes: int = 2) -> tuple[DataFrame, DataFrame]:
+    """(rows that pass the gates, rows that still do not) after at most `passes` rounds in which repair, a function of the failing rows with their
+    issues, gives other values to any columns but place. Rows that pass at once are not touched; a repaired row is judged again. Each round is written
+    once, so that no row is repaired twice in it."""
+    gated = cut(issues(rows))
+    good, bad = [gated.where(F.size("issues") == 0).drop("issues")], gated.where(F.size("issues") > 0)
+    for _ in range(passes):
+        again = cut(issues(repair(bad).drop("issues")))
+        good.append(again.where(F.size("issues") == 0).drop("issues"))
+        bad = again.where(F.size("issues") > 0)
+    return reduce(DataFrame.unionByName, [g.select(*rows.columns) for g in good]), bad.select(*rows.columns, "issues")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradelex.functions.responses import usage
@@ -30,6 +30,14 @@ def readiness(rows: DataFrame, issues: DataFrame, required: DataFrame, ignored:
     return j.select("lang", "level", "n_rows", "required", k.alias("n_issues"), ((F.col("n_rows") >= F.col("required")) & (k == 0)).alias("ready"))
 
 
+def blocking_issues(issues: DataFrame, ignored: tuple[str, ...] = (), shown: int = 20) -> DataFrame:
+    """(lang, level, ord, code, place): the first `shown` issues of each list that keep it from being ready, by ord and code. The window's limit is
+    applied before the shuffle."""
+    w = Window.partitionBy("lang", "level").orderBy("ord", "code")
+    own = issues.where(~F.col("code").isin(*ignored)).withColumn("place", F.row_number().over(w))
+    return own.where(F.col("place") <= shown).select("lang", "level", "ord", "code", "place")
+
+
 def blocked_tasks(tasks: DataFrame, before: str, after: str) -> DataFrame:
     """task_key of tasks of phase `after` whose sibling of phase `before` (same lang and level) exists and has not succeeded."""
     sib = tasks.where(F.col("phase") == before).select("lang", "level", F.col("status").alias("s"))

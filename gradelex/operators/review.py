@@ -14,12 +14,12 @@ from gradelex.operators.keep import keep_first
 FIELDS = ("lemma", "english", "chinese", "pos")
 
 
-def apply_decisions(rows: DataFrame, decisions: DataFrame) -> DataFrame:
+def apply_decisions(rows: DataFrame, decisions: DataFrame, strict: bool = False) -> DataFrame:
     """rows (list_id, line, lemma, english, chinese, pos, ord) after decisions, with outcome: untouched, kept, fixed, dropped, or
     mismatch where the expected values are not the row's.
 
     decisions: list_id, line, decided_at, decision_id, action, expected and replacement structs of lemma, english_lemma,
-    chinese_lemma, upos. The latest decision of a line counts. Dropped rows are still listed, with that outcome."""
+    chinese_lemma, upos. The latest decision of a line counts. Dropped rows are still listed, with that outcome. strict: a mismatch is an error."""
     slim = decisions.where("list_id is not null and line is not null").select("list_id", "line", F.struct("decided_at", "decision_id", "action", "expected", "replacement").alias("x"))
     last = slim.groupBy("list_id", "line").agg(F.max("x").alias("x"))
     j = rows.join(last, ["list_id", "line"], "left")
@@ -28,6 +28,9 @@ def apply_decisions(rows: DataFrame, decisions: DataFrame) -> DataFrame:
     for own, other in pairs:
         same = same & (F.coalesce(F.col(own), F.lit("")) == F.coalesce(F.col(f"x.expected.{other}"), F.lit("")))
     outcome = F.when(F.col("x").isNull(), "untouched").when(~same, "mismatch").when(F.col("x.action") == "drop", "dropped").when((F.col("x.action") == "fix") & F.col("x.replacement").isNotNull(), "fixed").otherwise("kept")
+    if strict:
+        lost = F.raise_error(F.concat(F.lit("a decision does not fit "), F.concat_ws(":", "list_id", "line")))
+        outcome = F.when(F.col("x").isNotNull() & ~same, lost).otherwise(outcome)
     j = j.withColumn("outcome", outcome)
     return j.withColumns({own: F.when(F.col("outcome") == "fixed", F.coalesce(F.col(f"x.replacement.{other}"), F.lit(""))).otherwise(F.col(own)) for own, other in pairs}).drop("x")
 

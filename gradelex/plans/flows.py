@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gradelex.functions import rules
 from gradelex.functions.text import nfc, word_key
-from gradelex.operators import align, batching, gates, manage, refill, reports, review, sampling, state
+from gradelex.operators import align, batching, expand, gates, manage, refill, reports, review, sampling, state
 from gradelex.operators.keep import keep_latest
 from gradelex.plans.base import LEVEL_LIST, Registry, entries, fold, level_no, norm, with_entry
 from gradelex.plans.contract import _DELIVERY
@@ -130,7 +130,25 @@ def concept_universe(spark, d):
 
 @R.add("missing_concepts", with_entry(f"SELECT l.lang, gloss, u.pos FROM u, (SELECT DISTINCT lang FROM entry) l WHERE NOT EXISTS (SELECT 1 FROM entry e WHERE e.lang = l.lang AND {norm('e.english')} = u.g AND e.pos = u.pos)", _UNI))
 def missing_concepts(spark, d):
-    return review.missing_concepts(entries(spark, d))
+    return review.missing_concepts(entries(spark, d)).orderBy("lang", "gloss", "pos")
+
+
+# words of the independent lists stand for generated ones; a review keeps those of one word, trims and lowers those of two, and drops the rest
+_EXPAND = (
+    f"mc AS (SELECT l.lang, gloss, u.pos, u.g FROM u, (SELECT DISTINCT lang FROM entry) l WHERE NOT EXISTS (SELECT 1 FROM entry e WHERE e.lang = l.lang AND {norm('e.english')} = u.g AND e.pos = u.pos))",
+    f"gw AS (SELECT lang, g, min(lemma) AS lemma FROM (SELECT 'sv' AS lang, {norm('english_lemma')} AS g, swedish_lemma AS lemma FROM swedish_list UNION ALL SELECT 'fr', {norm('english_lemma')}, french_lemma FROM french_list) WHERE lemma <> '' GROUP BY ALL)",
+    f"lv AS (SELECT {norm('english')} AS g, pos, min({level_no('level')}) AS li FROM entry GROUP BY ALL)",
+)
+
+
+@R.add("expansion_flow", with_entry(f"SELECT mc.lang, CASE WHEN contains(lemma, ' ') THEN lower(trim(lemma)) ELSE lemma END AS lemma, gloss AS english, mc.pos, coalesce([{LEVEL_LIST}][li], 'B1') AS level FROM mc JOIN gw ON gw.lang = mc.lang AND gw.g = {norm('gloss')} LEFT JOIN lv ON lv.g = {norm('gloss')} AND lv.pos = mc.pos WHERE length(lemma) - length(replace(lemma, ' ', '')) < 2 AND trim(lemma) <> ''", _UNI, *_EXPAND))
+def expansion_flow(spark, d):
+    own = [table(spark, d, name).select(F.lit(lang).alias("lang"), rules.norm_gloss(F.col("english_lemma")).alias("g"), F.col(col).alias("lemma")) for name, lang, col in (("swedish_list", "sv", "swedish_lemma"), ("french_list", "fr", "french_lemma"))]
+    words = own[0].unionByName(own[1]).where("lemma <> ''").groupBy("lang", "g").agg(F.min("lemma").alias("lemma"))
+    generate = lambda c: c.withColumn("g", rules.norm_gloss(F.col("gloss"))).join(words, ["lang", "g"]).select("id", "lemma")
+    blanks = F.length("lemma") - F.length(F.replace("lemma", F.lit(" "), F.lit("")))
+    judge = lambda c: c.select("id", F.lit(1).alias("ord"), F.when(blanks == 0, "keep").when(blanks == 1, "fix").otherwise("drop").alias("verdict"), F.lower("lemma").alias("new_lemma"))
+    return expand.expansion(entries(spark, d), generate, judge)
 
 
 _FRC = "fc AS (SELECT DISTINCT english_lemma AS gloss, coalesce(pos, '') AS pos FROM french_list WHERE english_lemma IS NOT NULL)"
@@ -300,7 +318,22 @@ def task_states(spark, d):
 
 @R.add("tail_events", "SELECT event_id, user_id, event_type FROM events ORDER BY event_id DESC LIMIT 20")
 def tail_events(spark, d):
-    return state.tail(_events(spark, d).withColumn("ord", F.col("event_id")), 20).select("event_id", "user_id", "event_type")
+    """The last events of a log of JSON lines in several files."""
+    at = scratch(spark, "log")
+    writers.append_log(_events(spark, d).select("event_id", "user_id", "event_type"), at)
+    log = readers.read_log(spark, at, "event_id bigint, user_id bigint, event_type string")
+    return state.tail(log.withColumn("ord", F.col("event_id")), 20).select("event_id", "user_id", "event_type")
+
+
+@R.add("delete_keys", "SELECT c_custkey AS k, c_name AS v FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def delete_keys(spark, d):
+    s = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("v"))
+    return state.delete_keys(s, table(spark, d, "orders").select(F.col("o_custkey").alias("k")))
+
+
+@R.add("point", "SELECT entry_id, lemma FROM level_entry WHERE lang = 'de' AND level = 'A1'")
+def point(spark, d):
+    return state.point(table(spark, d, "level_entry"), lang="de", level="A1").select("entry_id", "lemma")
 
 
 @R.add("ledger_status", "SELECT count(*) AS n, CAST(coalesce(sum(l_linenumber), 0) AS BIGINT) AS prompt_tokens, CAST(coalesce(sum(l_suppkey), 0) AS BIGINT) AS candidate_tokens, CAST(coalesce(sum(l_partkey), 0) AS BIGINT) AS total_tokens FROM lineitem")
@@ -463,7 +496,25 @@ def language_lookup(spark, d):
 def roundtrip_delivery(spark, d):
     at = scratch(spark, "delivery")
     writers.write_delivery(align.delivery_rows(entries(spark, d)), at)
-    return readers.read_delivery(spark, f"{at}/*/*.csv").select("lang", "lemma", "english_gloss", "cefr", F.col("rank").cast("bigint").alias("rank"), "concept_key")
+    return readers.read_delivery(spark, f"{at}/*.tsv").select("lang", "lemma", "english_gloss", "cefr", F.col("rank").cast("bigint").alias("rank"), "concept_key")
+
+
+@R.add("roundtrip_levels", with_entry("SELECT 'de' AS lang, 'B2' AS level, CAST(row_number() OVER (ORDER BY lower(lemma), ord) + 1 AS INT) AS line, lemma, english, chinese, pos FROM entry WHERE lang = 'de' AND level = 'B2' AND list_id = (SELECT min(list_id) FROM entry WHERE lang = 'de' AND level = 'B2')"))
+def roundtrip_levels(spark, d):
+    """A list written as a file with its header and read back strictly."""
+    at = scratch(spark, "levels")
+    e = entries(spark, d).where("lang = 'de' and level = 'B2'")
+    first = e.agg(F.min("list_id").alias("list_id"))
+    writers.write_level(e.join(first, "list_id", "left_semi"), f"{at}/german/B2.csv", "German")
+    return readers.read_levels(spark, at, strict=True, langs=["de"], levels=["B2"]).select("lang", "level", "line", "lemma", "english", "chinese", "pos")
+
+
+@R.add("roundtrip_inventory", with_entry("SELECT lang, level, lemma, pos, 'drop' AS action FROM entry WHERE lang = 'ar' AND pos = 'VERB'"))
+def roundtrip_inventory(spark, d):
+    at = scratch(spark, "inventory")
+    e = entries(spark, d).where("lang = 'ar' and pos = 'VERB'").withColumns({"action": F.lit("drop"), "reason": F.lit("a, \"b\"")})
+    writers.write_inventory(e, f"{at}/ar.csv")
+    return readers.read_inventory(spark, f"{at}/ar.csv").where("reason = 'a, \"b\"'").select("lang", "level", "lemma", "pos", "action")
 
 
 @R.add("roundtrip_log", "SELECT event_id, event_type FROM events")

@@ -367,3 +367,26 @@ def batch_problems(spark, d):
 @R.add("trimmed_lemmas", with_entry("SELECT ord, trim(lemma) AS lemma FROM entry"))
 def trimmed_lemmas(spark, d):
     return entries(spark, d).select("ord", strip_ws(F.col("lemma")).alias("lemma"))
+
+
+@R.add("unique_ids", "SELECT l_orderkey, count(DISTINCT l_partkey) = count(*) AS unique_ids FROM lineitem GROUP BY ALL")
+def unique_ids(spark, d):
+    orders = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_partkey").alias("id"))).alias("items"))  # an order has at most seven lines
+    return gates.repeated_ids(orders, "items", "id").select("l_orderkey", "unique_ids")
+
+
+@R.add("first_candidates", with_entry("SELECT lang, kl AS lemma, kind, base FROM (SELECT lang, kl, kind, left(kl, length(kl) - CASE kind WHEN 'plural' THEN 1 WHEN 'gerund' THEN 3 ELSE 2 END) AS base FROM (SELECT *, CASE WHEN kl LIKE '%s' AND kl NOT LIKE '%ss' THEN 'plural' WHEN kl LIKE '%ing' THEN 'gerund' WHEN kl LIKE '%ed' AND length(kl) > 3 THEN 'past' END AS kind FROM w) WHERE kind IS NOT NULL) c WHERE EXISTS (SELECT 1 FROM w WHERE w.lang = c.lang AND w.kl = c.base) ORDER BY lemma, lang, kind LIMIT 20", _WORDS, "w AS (SELECT DISTINCT lang, lower(trim(lemma)) AS kl FROM gw)"))
+def first_candidates(spark, d):
+    return dedupe.inflection_candidates(_words(spark, d)).orderBy("lemma", "lang", "kind").limit(20)
+
+
+@R.add("first_rows", with_entry("SELECT ord, lang, lemma FROM entry ORDER BY ord LIMIT 100"))
+def first_rows(spark, d):
+    """The limit of a trial run: the first rows by ord."""
+    return entries(spark, d).select("ord", "lang", "lemma").orderBy("ord").limit(100)
+
+
+@R.add("levelled_words", "SELECT rank, word, CASE WHEN rank <= 600 THEN 'A1' WHEN rank <= 1200 THEN 'A2' WHEN rank <= 2200 THEN 'B1' WHEN rank <= 4200 THEN 'B2' ELSE 'C1' END AS level FROM (SELECT sv_id % 9000 AS rank, swedish_lemma AS word FROM swedish_list WHERE swedish_lemma IS NOT NULL) WHERE rank BETWEEN 1 AND 8200 AND trim(word) <> '' QUALIFY row_number() OVER (PARTITION BY lower(trim(word)) ORDER BY rank, word) = 1")
+def levelled_words(spark, d):
+    words = table(spark, d, "swedish_list").where("swedish_lemma is not null").select((F.col("sv_id") % 9000).alias("rank"), F.col("swedish_lemma").alias("word"))
+    return dedupe.levelled_words(words)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gradelex.functions import responses
+from gradelex.functions import responses, rules
 from gradelex.functions.rules import TARGETS
 from gradelex.operators import gates, reports, state
-from gradelex.plans.base import Registry, entries, with_entry
+from gradelex.plans.base import UPOS_LIST, Registry, entries, with_entry
 from gradelex.session import table
 
 R = Registry()
@@ -123,9 +123,41 @@ def readiness(spark, d):
     return reports.readiness(e, issues, required, ("control",))
 
 
+@R.add("blocking_issues", with_entry(f"SELECT lang, level, ord, code, CAST(row_number() OVER (PARTITION BY lang, level ORDER BY ord, code) AS INT) AS place FROM (SELECT lang, level, ord, 'unknown tag' AS code FROM entry WHERE pos NOT IN ({UPOS_LIST}) UNION ALL SELECT lang, level, ord, 'empty' FROM entry WHERE trim(english) = '') QUALIFY place <= 20"))
+def blocking_issues(spark, d):
+    e = entries(spark, d)
+    found = e.select("lang", "level", "ord", F.when(~rules.known_upos(F.col("pos")), "unknown tag").alias("code")).where("code is not null")
+    blank = e.select("lang", "level", "ord", rules.text_problem(F.col("english")).alias("code")).where("code is not null")
+    return reports.blocking_issues(found.unionByName(blank), ("control",))
+
+
 @R.add("blocked_tasks", "WITH t AS (SELECT DISTINCT lang, level FROM level_entry), s AS (SELECT 'cefr' AS phase, lang, level, CASE WHEN level = 'A1' THEN 'succeeded' ELSE 'failed' END AS status FROM t) SELECT 'handcraft:' || lang || ':' || level AS task_key FROM s WHERE status <> 'succeeded'")
 def blocked_tasks(spark, d):
     t = entries(spark, d).select("lang", "level").distinct()
     both = t.select(F.explode(F.array(F.lit("cefr"), F.lit("handcraft"))).alias("phase"), "lang", "level")
     tasks = both.select("phase", "lang", "level", F.concat_ws(":", "phase", "lang", "level").alias("task_key"), F.when(F.col("level") == "A1", "succeeded").otherwise("failed").alias("status"))
     return reports.blocked_tasks(tasks, "cefr", "handcraft")
+
+
+@R.add("request_bodies", with_entry("SELECT ord, to_json({'model': 'm-' || level, 'messages': [{'role': 'system', 'content': 'Judge words.'}, {'role': 'user', 'content': 'Is ' || lemma || ' a ' || pos || ' for ' || english || '? {yes}'}], 'max_tokens': 100 + length(lemma)}) AS body FROM entry"))
+def request_bodies(spark, d):
+    prompt = responses.filled("Is {word} a {tag} for {gloss}? {yes}", word=F.col("lemma"), tag=F.col("pos"), gloss=F.col("english"))
+    return entries(spark, d).select("ord", responses.request(F.concat(F.lit("m-"), "level"), F.lit("Judge words."), prompt, 100 + F.length("lemma")).alias("body"))
+
+
+@R.add("model_text", with_entry("SELECT ord, trim(lemma || ' is kept') AS shown, '{\"lemma\": 2}' AS last, left(replace(english, 'e', '[redacted]'), 20) AS safe FROM entry WHERE NOT contains(lemma, '`')"))
+def model_text(spark, d):
+    """Answers with thoughts, fences and several JSON blocks."""
+    w = F.col("lemma")
+    e = entries(spark, d).where(~w.contains("`"))
+    thought = F.concat(F.lit("<think>maybe {"), w, F.lit("}\n</think>\n```text\n"), F.ltrim(w), F.lit(" is kept\n```"))
+    blocks = F.concat(F.lit('first {"lemma": 1} then {"lemma": 2} of '), F.lit("it"))
+    return e.select("ord", rules.strip_thoughts(thought).alias("shown"), rules.last_json(blocks).alias("last"), rules.redact(F.col("english"), "e", 20).alias("safe"))
+
+
+@R.add("same_json", "SELECT event_id, value < 50 AS same FROM events WHERE value IS NOT NULL")
+def same_json(spark, d):
+    e = table(spark, d, "events").where("value is not null")
+    a = F.concat(F.lit('{"id":'), "event_id", F.lit(',"k": [1,2]}'))
+    b = F.concat(F.lit('{ "k":[1, '), F.when(F.col("value") < 50, "2").otherwise("3"), F.lit('], "id": '), "event_id", F.lit("}"))
+    return e.select("event_id", responses.same_json(a, b).alias("same"))

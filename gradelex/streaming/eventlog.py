@@ -17,7 +17,8 @@ def windowed_counts(events: DataFrame, time: str, kind: str, width: str = "1 hou
 
 
 def latest_sink(stream: DataFrame, target: str, keys: list[str], order: str, checkpoint: str):
-    """Keeps the latest event of each key in the table at target, batch by batch. A batch that is run again gives the same table."""
+    """Keeps the latest event of each key in the table at target, batch by batch, as folders v<batch>. A batch that is run again gives the same
+    table, as it reads the version before it, which is the only other one kept."""
 
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
@@ -27,5 +28,8 @@ def latest_sink(stream: DataFrame, target: str, keys: list[str], order: str, che
         old = spark.read.schema(batch.schema).parquet(before) if epoch else batch.limit(0)
         best = old.unionByName(batch).groupBy(*keys).agg(F.max(F.struct(order, *rest)).alias("_x"))
         best.select(*keys, *[F.col("_x")[c].alias(c) for c in (order, *rest)]).select(*batch.columns).write.mode("overwrite").parquet(version)
+        if epoch > 1:
+            past = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/v{epoch - 2}")
+            past.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(past, True)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,5 +1,6 @@
 """Review, state, sampling, batching, files and streams on literal rows."""
 
+import random
 from datetime import datetime
 
 import pandas as pd
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gradelex.functions import responses, rules
-from gradelex.operators import batching, gates, refill, review, sampling, state
+from gradelex.operators import batching, expand, gates, refill, review, sampling, state
 from gradelex.sources import lists as readers
 from gradelex.sources import writers
 from gradelex.streaming import eventlog
@@ -27,6 +28,8 @@ def test_decisions(spark, entry):
     got = review.apply_decisions(rows, d)
     assert rows_of(got, "ord", "outcome", "lemma") == [(1, "dropped", "Hund"), (2, "fixed", "Kater"), (3, "mismatch", "Maus"), (4, "untouched", "Kuh")]
     assert [tuple(r)[1:] for r in review.review_counts(got).collect()] == [(4, 1, 1, 1, 3)]
+    with pytest.raises(Exception, match="does not fit de-A1:4"):
+        review.apply_decisions(rows, d, strict=True).collect()
 
 
 def test_reviews(spark):
@@ -109,6 +112,27 @@ def test_completing_lists(spark):
     assert refill.completed(rows.limit(0), concepts, taken, targets, answer, gates.gate_issues).count() == 0
 
 
+def test_repair_and_expansion(spark, entry):
+    schema = "lang string, level string, place int, lemma string, english string, chinese string, pos string, action string"
+    rows = spark.createDataFrame([("de", "A1", i, w, "thing", "y", "NOUN", "keep") for i, w in enumerate(["Hund", "katze", "ein Haus", "12 x"])], schema)
+    fix = lambda bad: bad.withColumn("lemma", F.when(F.array_contains("issues", "cefr.lemma_whitespace"), F.element_at(F.split("lemma", " "), -1)).otherwise(F.initcap("lemma")))
+    good, bad = refill.repaired(rows, gates.gate_issues, fix)
+    assert rows_of(good, "place", "lemma") == [(0, "Hund"), (1, "Katze"), (2, "Haus"), (3, "X")] and bad.count() == 0
+    good, bad = refill.repaired(rows, gates.gate_issues, fix, passes=1)
+    assert rows_of(bad, "place", "lemma") == [(3, "x")] and good.count() == 3
+    own = entry(("de", "A2", "Haus", "house", "", "NOUN"), ("es", "B1", "sol", "sun", "", "NOUN"), ("es", "A1", "luz", "light", "", "NOUN"))
+    words = spark.createDataFrame([("de", "sun", "Sonne"), ("de", "light", "licht"), ("es", "house", "casa"), ("es", "house", "morada")], "lang string, gloss string, lemma string")
+    judge = lambda c: c.select("id", F.lit(1).alias("ord"), F.when(F.col("lemma") == "licht", "fix").when(F.col("lemma") == "Sonne", "drop").otherwise("keep").alias("verdict"), F.lit("Licht").alias("new_lemma"))
+    got = expand.expansion(own, lambda c: c.join(words, ["lang", "gloss"]).select("id", "lemma"), judge)
+    assert rows_of(got) == [("de", "Licht", "light", "NOUN", "A1"), ("es", "casa", "house", "NOUN", "A2")]
+    items = spark.createDataFrame([(b, p, p * 10 + b) for b in range(3) for p in range(4)], "batch int, place int, v int").repartition(5)
+    done = expand.in_batches(items, "batch", "place", lambda pdf: pdf.assign(v=pdf["v"].cumsum()), "batch int, place int, v int")
+    assert [r.v for r in done.orderBy("batch", "place").collect()] == [0, 10, 30, 60, 1, 12, 33, 64, 2, 14, 36, 68]
+    tasks = spark.createDataFrame([("a", "one", "de", "A1", "succeeded"), ("b", "two", "de", "A1", "pending"), ("c", "one", "fr", "A1", "failed"), ("d", "two", "fr", "A1", "pending")], "task_key string, phase string, lang string, level string, status string")
+    assert rows_of(state.runnable(tasks, ["one", "two"]), "task_key") == [("b",)]
+    assert rows_of(state.runnable(tasks, ["one", "two"], retry_failed=True), "task_key") == [("b",), ("c",)]
+
+
 def test_state(spark):
     s = spark.createDataFrame([("a", "x", "succeeded", 2), ("b", "y", "failed", 1)], "k string, config string, status string, attempts int")
     new = spark.createDataFrame([("a", "x"), ("b", "z"), ("c", "w")], "k string, config string")
@@ -185,6 +209,20 @@ def test_batches(spark):
     assert [r.batch for r in batching.greedy_batches(eight, ["g"], "ord", "cost", 10_000, 3).orderBy("ord").collect()] == [0, 0, 0, 1, 1, 1, 2, 2]
     with pytest.raises(Exception, match="more than"):
         batching.greedy_batches(rows, ["g"], "ord", "cost", 99, 3).count()
+    r = random.Random(4)
+    many = [(g, i, r.choice([0, 1, 5, 30, 100])) for g in ("hot", "a") for i in range(700 if g == "hot" else 3)]
+    df = spark.createDataFrame(many, "g string, ord int, cost int").repartition(3)
+    want, last = [], None
+    for g, i, c in many:
+        if g != last:
+            last, batch, total, n = g, 0, 0, 0
+        elif total + c > 100 or n >= 6:
+            batch, total, n = batch + 1, 0, 0
+        total, n = total + c, n + 1
+        want.append((g, i, batch))
+    for stretch in (6, 50, 100_000):
+        assert rows_of(batching.greedy_batches(df, ["g"], "ord", "cost", 100, 6, stretch), "g", "ord", "batch") == sorted(want, key=repr)
+    assert batching.greedy_batches(df.limit(0), ["g"], "ord", "cost", 100, 6).count() == 0
     assert [r.ord for r in batching.exclusion_prefix(rows, ["g"], "ord", "cost", 100).orderBy("ord").collect()] == [0, 1]
     parts = batching.halved(rows.withColumn("b", F.lit(0)), ["g", "b"], "ord", "cost", 100).orderBy("ord").collect()
     assert [p.part for p in parts] == [0, 0, 1, 2, 3, 3, 3, 3]
@@ -205,32 +243,96 @@ def test_list_files(spark, entry, tmp_path):
     rows = entry(("de", "A1", "b\"c", "x, y", "", "NOUN"), ("de", "A1", " A", "", "字", "VERB"))
     writers.write_level(rows, str(tmp_path / "out"))
     writers.write_level(rows, str(tmp_path / "out"))  # takes the place of the first
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["out"]
     (tmp_path / "german").mkdir()
     part = next((tmp_path / "out").glob("*.csv")).read_bytes()
     assert part.count(b"\n") == 3
-    (tmp_path / "german/A1.csv").write_bytes(part.replace(b"lemma,english,chinese,pos", b"German_Lemma,English_Lemma,Chinese_Lemma,POS") + b'Hund,dog,\xe7\x8b\x97,NOUN\r\n ,,,\nshort\n')
+    head = b"German_Lemma,English_Lemma,Chinese_Lemma,POS"
+    (tmp_path / "german/A1.csv").write_bytes(part.replace(b"lemma,english,chinese,pos", head) + b'Hund,dog,\xe7\x8b\x97,NOUN\r\n ,,,\nshort\n')
     back = readers.read_levels(spark, str(tmp_path))
-    assert rows_of(back, "lang", "level", "lemma", "english", "chinese", "pos") == sorted([("de", "A1", " A", "", "字", "VERB"), ("de", "A1", 'b"c', "x, y", "", "NOUN"), ("de", "A1", "Hund", "dog", "狗", "NOUN"), ("de", "A1", "short", "", "", "")], key=repr)
-    with pytest.raises(Exception, match="wrong number of cells"):
+    assert rows_of(back, "id", "line", "lemma", "english", "chinese", "pos") == sorted([("de:A1:1", 2, " A", "", "字", "VERB"), ("de:A1:2", 3, 'b"c', "x, y", "", "NOUN"), ("de:A1:3", 4, "Hund", "dog", "狗", "NOUN"), ("de:A1:5", 6, "short", "", "", "")], key=repr)
+    assert [r.line for r in readers.blank_gloss_rows(back, 1).collect()] == [2]
+    with pytest.raises(Exception, match="wrong number of cells in .*A1.csv : 6"):
         readers.read_levels(spark, str(tmp_path), strict=True).collect()
     assert readers.bad_headers(spark, str(tmp_path)).where("path like '%german%'").count() == 0
-    assert rows_of(readers.cleaned_records(entry(("sv", "A1", ' "Word_1" ', "", "", ""), ("sv", "A1", '"katt"', "cat (male)", "", ""))), "lemma", "english") == [("katt", "cat male")]
+    (tmp_path / "german/A2.csv").write_bytes(head + b"\r\n\r\nMaus,mouse,,NOUN\r\n   \r\nRatte,rat,,NOUN\r\n")
+    assert rows_of(readers.read_for_quality(spark, str(tmp_path)).where("level = 'A2'"), "line", "lemma") == [(2, "Maus"), (3, "Ratte")]
+    assert rows_of(readers.read_levels(spark, str(tmp_path), langs=["de"], levels=["A2"]), "line", "lemma") == [(3, "Maus"), (5, "Ratte")]
+    (tmp_path / "german/B1.csv").write_bytes(head.replace(b"German", b"French") + b"\na,b,c,X\n")
+    assert readers.bad_headers(spark, str(tmp_path)).where("path like '%german%'").count() == 0 and readers.read_levels(spark, str(tmp_path), levels=["B1"]).count() == 1
+    for read in (lambda: readers.read_levels(spark, str(tmp_path), strict=True, levels=["B1"]), lambda: readers.read_for_quality(spark, str(tmp_path))):
+        with pytest.raises(Exception, match="unexpected header"):
+            read().collect()
+    assert rows_of(readers.cleaned_records(entry(("sv", "A1", ' "Word_1" ', "", "", ""), ("sv", "A1", "word_2", "", "", ""), ("sv", "A1", '"katt"', "cat (male)", "", ""))), "lemma", "english") == [("katt", "cat male"), ("word_2", "")]
     (tmp_path / "german/expansion.csv").write_text('l,e,c,p,cefr\n"a","b","","NOUN",""\n,,,,\n"d","e","","VERB","C1"\n')
-    assert rows_of(readers.read_expansion(spark, str(tmp_path)), "level", "lemma") == [("B1", "a"), ("C1", "d")]
+    assert rows_of(readers.read_expansion(spark, str(tmp_path)), "level", "lemma", "line") == [("B1", "a", 2), ("C1", "d", 4)]
+    every = readers.read_everything(spark, str(tmp_path))
+    assert every.count() == every.select("ord").distinct().count() == 9
     with pytest.raises(Exception, match="dropped row"):
         writers.write_proposal(rows.withColumn("action", F.lit("drop")), str(tmp_path / "p"))
+    assert not (tmp_path / "p").exists()
+    assert writers.checked_source("r", "german", "A1", "r/german/A1.gap.proposed.csv")
+    for level, source in (("A1", "r/french/A1.proposed.csv"), ("A9", "r/german/A9.proposed.csv")):
+        with pytest.raises(ValueError):
+            writers.checked_source("r", "german", level, source)
+
+
+def test_lines_are_numbered_across_splits(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("".join(f"line {i}\n" for i in range(1, 5001)))
+    (tmp_path / "b.txt").write_text("line 1\n\nline 3")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = readers.read_lines(spark, str(tmp_path / "*.txt"), header=True)
+        assert got.where("value <> '' and value <> concat('line ', line)").count() == 0 and got.count() == 5003
+        assert {r.header for r in got.collect()} == {"line 1"}
+        assert readers.read_lines(spark, str(tmp_path / "b.txt"), blank=False).agg(F.max("line")).first()[0] == 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_failed_swap_keeps_the_old_data(spark, tmp_path, monkeypatch):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t/old").write_text("x")
+    files = writers._Files(spark, str(tmp_path))
+    with pytest.raises(Exception, match="missing"):
+        writers._swap(files, str(tmp_path / "missing"), str(tmp_path / "t"))
+    assert (tmp_path / "t/old").read_text() == "x" and [p.name for p in tmp_path.iterdir() if p.is_dir()] == ["t"]
 
 
 def test_other_files(spark, tmp_path):
-    (tmp_path / "de.tsv").write_text('lemma\tpos\tenglish_gloss\tenglish_pos\tcefr\trank\tconcept_key\nHa"us\tNOUN\thouse\tNOUN\tA1\t1\tk\n\tX\t\t\t\t\t\nb\tNOUN\tc\tNOUN\tA1\tx\tk\n')
-    assert rows_of(readers.read_delivery(spark, str(tmp_path / "de.tsv")), "lang", "lemma", "rank") == [("de", 'Ha"us', 1), ("de", "b", None)]
+    head = "lemma\tpos\tenglish_gloss\tenglish_pos\tcefr\trank\tconcept_key\n"
+    (tmp_path / "german.tsv").write_text(head + 'Ha"us\tNOUN\thouse\tNOUN\tA1\t1\tk\n\tX\t\t\t\t\t\nb\tNOUN\tc\tNOUN\tA1\tx\tk\n')
+    assert rows_of(readers.read_delivery(spark, str(tmp_path / "german.tsv")), "lang", "lemma", "rank") == [("de", 'Ha"us', 1), ("de", "b", None)]
+    for name, text, why in (("fr.tsv", head + "a\tb\n", "short row"), ("xx.tsv", head + "a\tb\tc\td\te\t1\tk\n", "no such language"), ("sv.tsv", "lemma\tpos\na\tb\tc\td\te\t1\tk\n", "unexpected header")):
+        (tmp_path / name).write_text(text)
+        with pytest.raises(Exception, match=why):
+            readers.read_delivery(spark, str(tmp_path / name)).collect()
+    d = readers.read_delivery(spark, str(tmp_path / "german.tsv"))
+    writers.write_delivery(d, str(tmp_path / "out"))
+    assert [p.name for p in (tmp_path / "out").glob("*.tsv")] == ["de.tsv"]
+    assert rows_of(readers.read_delivery(spark, str(tmp_path / "out/*.tsv"))) == rows_of(d)
     (tmp_path / "d.jsonl").write_text('{"line": 3, "expected": {"lemma": "a"}, "action": "drop"}\n\n')
-    with pytest.raises(Exception, match="bad decision"):
+    with pytest.raises(Exception, match="bad decision in .*d.jsonl:2"):
         readers.read_decisions(spark, str(tmp_path / "d.jsonl")).collect()
+    (tmp_path / "e.jsonl").write_text('{"line": 3, "expected": {"lemma": "a"}, "action": "drop"}\n' * 2)
+    assert rows_of(readers.read_decisions(spark, str(tmp_path / "e.jsonl")), "line_no", "line", "action") == [(1, 3, "drop"), (2, 3, "drop")]
     (tmp_path / "log.jsonl").write_text('{"a": 1}\nbroken{\n{"a": 2}\n')
-    assert [r.a for r in readers.read_log(spark, str(tmp_path / "log.jsonl"), "a int").orderBy("ord").collect()] == [1, 2]
+    assert [(r.ord, r.a) for r in readers.read_log(spark, str(tmp_path / "log.jsonl"), "a int").orderBy("ord").collect()] == [(1, 1), (3, 2)]
+    writers.append_events(spark.createDataFrame([("w",)], "lemma string"), "approved", str(tmp_path / "events"))
+    assert rows_of(readers.read_log(spark, str(tmp_path / "events"), "lemma string, kind string, at timestamp"), "lemma", "kind") == [("w", "approved")]
+    with pytest.raises(ValueError):
+        writers.append_events(spark.range(1), "lost", str(tmp_path / "events"))
     s = spark.createDataFrame([("s1", "Go.", [(1, "Go", "go", "VERB"), (2, ".", ".", "PUNCT")])], "sent_id string, text string, tokens array<struct<id:int,form:string,lemma:string,upos:string>>")
-    assert writers.conllu(s).collect()[0].text == "# sent_id = s1\n# text = Go.\n1\tGo\tgo\tVERB\t_\t_\t_\t_\t_\t_\n2\t.\t.\tPUNCT\t_\t_\t_\t_\t_\t_\n"
+    want = "# sent_id = s1\n# text = Go.\n1\tGo\tgo\tVERB\t_\t_\t_\t_\t_\t_\n2\t.\t.\tPUNCT\t_\t_\t_\t_\t_\t_\n"
+    assert writers.conllu(s).collect()[0].text == want
+    writers.write_conllu_level(s, str(tmp_path), "german", "A1")
+    assert (tmp_path / "german/a1.conllu").read_text() == want + "\n"
+    pack = spark.createDataFrame([("A1", 1, "w", "edited"), ("A2", 1, "v", "unchanged"), ("A1", 2, "u", "edited")], "level string, sample_index int, lemma string, change string")
+    writers.write_sample(pack, str(tmp_path / "pack"))
+    assert sorted(p.name for p in (tmp_path / "pack").iterdir() if not p.name.startswith((".", "_"))) == ["A1.csv", "A2.csv", "ALL.csv", "README.md"]
+    assert (tmp_path / "pack/README.md").read_text().endswith("| A1 | 2 | 2 | 0 | 0 | 0 |\n| A2 | 1 | 0 | 0 | 0 | 1 |\n")
+    assert (tmp_path / "pack/ALL.csv").read_text().splitlines()[1:] == ["A1,1,w,edited", "A1,2,u,edited", "A2,1,v,unchanged"]
 
 
 def test_stream_keeps_latest(spark, tmp_path):

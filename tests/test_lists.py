@@ -153,12 +153,13 @@ def test_gates(spark, entry):
     assert got == {1: ["german.noun_requires_uppercase"], 2: ["german.non_noun_capitalized"], 3: ["german.verb_requires_infinitive"], 4: ["english.citation_mismatch"], 5: ["cefr.forbidden_upos", "cefr.english_echo"], 6: ["arabic.script_required"], 7: ["chinese.script_required"], 8: ["cefr.lemma_not_nfc"]}
     assert rows_of(gates.capitalise_nouns(gates.gate_issues(rows)).where("ord = 1"), "lemma") == [("Haus",)]
     assert rows_of(gates.citation_form(rows).where("ord = 4"), "lemma", "action") == [("dream", "fix")]
+    assert gates.token_set(("b", "a"), ("c", "a"), keep=("c",)) == ("a", "b")
     lex = gates.rule_table(drop=("شوية", "مَسُوس"), keep=("بخير", "روح"), stems=("شوية",))
     cases = [("بشوية", "ADV", "slowly", "drop"), ("بخير", "ADV", "fine", "ok"), ("روح", "VERB", "go", "drop"), ("روح", "NOUN", "soul", "ok"), ("المسوس", "ADJ", "bland", "drop"), ("يعني", "PART", "like", "drop"), ("بروفيل", "NOUN", "profile", "drop"), ("بروفيل", "NOUN", "outline", "ok"), ("ولا", "CCONJ", "or", "drop"), ("ولا", "CCONJ", "and not or", "ok"), ("كلمة", "NOUN", "word (dialect)", "policy"), ("", "X", "", "ok")]
     df = spark.createDataFrame([c[:3] for c in cases], "lemma string, upos string, english string")
     assert [r.v.action for r in df.select(gates.dialect_class(F.col("lemma"), F.col("upos"), F.col("english"), lex).alias("v")).collect()] == [c[3] for c in cases]
     assert {("شوية", "", "drop", "closed set"), ("كون", "CCONJ", "drop", "dialect conditional"), ("لازم", "AUX", "drop", "dialect auxiliary")} <= set(gates.lexicon_rows(lex))
-    many = entry(("de", "A1", "Haus", "house", "房", "NOUN"), ("de", "A1", "Haus", "hut", "房", "NOUN"), ("de", "A1", "e\u0301", "x", "y", "NOUN"), ("ar", "A1", "شوية", "a bit", "点", "ADV"), ("ar", "A1", "كلمة", "word", "词", "NOUN"))
+    many = entry(("de", "A1", "Haus", "house", "房", "NOUN"), ("de", "A1", "Haus", "hut", "房", "NOUN"), ("de", "A1", "e\u0301", "x", "字", "NOUN"), ("ar", "A1", "شوية", "a bit", "点", "ADV"), ("ar", "A1", "كلمة", "word", "词", "NOUN"))
     forms = spark.createDataFrame([("de", "Haus", None, "hut", "fix", "sense")], "lang string, lemma string, pos string, english_has string, verdict string, note string")
     listed = spark.createDataFrame([("A1", "كلمة", "NOUN", "drop")], "level string, lemma string, pos string, action string")
     assert [r.note for r in gates.sample_score(many, lex, forms, listed).orderBy("ord").collect()] == ["clean", "sense", "not composed", "classifier:closed set", "inventory"]
