@@ -127,40 +127,41 @@ def match_classes(left: DataFrame, left_id: str, right: DataFrame, right_id: str
     none = F.lit(None).cast("boolean")
     hot = _crowded(classes, total)
     found: list[DataFrame] = []
-    open_ = classes
+    state = classes.withColumn("open", F.lit(True))
+    still = F.col("open1") | F.col("open2")
 
     def rule(number: int, candidates: DataFrame, ok: Column, label: Column) -> None:
-        """Keeps the candidates that the rule accepts or that tell its precision; accepted classes are open no more. Both
-        results are written, so that each rule's plan starts at two tables however many rules came before."""
-        nonlocal open_
-        got = cut(candidates.select("c1", "c2", F.coalesce(ok, F.lit(False)).alias("ok"), label.alias("label"), F.lit(number).alias("rule")).where("ok or label is not null").distinct())
+        """Keeps the candidates that the rule accepts or that tell its precision; accepted classes are open no more: an anti-join takes them from
+        the open ones, but leaves them as partners. Both results are written, so that each rule's plan starts at two tables however many came before."""
+        nonlocal state
+        got = candidates.select("c1", "c2", F.coalesce(ok, F.lit(False)).alias("ok"), label.alias("label"), F.lit(number).alias("rule")).where("ok or label is not null")
+        got = cut(got if number < len(RULES) else got.distinct())  # in the last rule either gloss of a pair may be the mistyped one
         found.append(got)
-        new = got.where("ok").select(F.explode(F.array("c1", "c2")).alias("c"))
-        open_ = cut(open_.join(new.hint("merge"), "c", "left_anti"))
+        if number < len(RULES):
+            new = got.where("ok").select(F.explode(F.array("c1", "c2")).alias("c")).distinct().withColumn("_new", F.lit(True))
+            state = cut(state.join(new.hint("merge"), "c", "left").withColumn("open", F.col("open") & F.col("_new").isNull()).drop("_new"))
 
-    def both_ways(*on: str, also: Column | None = None) -> DataFrame:
-        """Open classes of either side against all classes of the other."""
-        has = reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in on])
-        every, still = classes.where(has), open_.where(has)
+    def met(*on: str, also: Column | None = None) -> DataFrame:
+        """Classes of the two sides, of which one at least is open."""
+        some = state.where(reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in on]))
         keys, crowd = [(f"{x}1", f"{x}2") for x in on], hot.get(on[0], []) if len(on) == 1 else []
-        a = split_join(side(still, 0), side(every, 1), keys, crowd, ("c1", "c2"), also)
-        return a if open_ is classes else a.unionByName(split_join(side(every, 0), side(still, 1), keys, crowd, ("c1", "c2"), also))
+        return split_join(side(some, 0), side(some, 1), keys, crowd, ("c1", "c2"), still if also is None else still & also)
 
     lacking = F.col("e1").isNull() | F.col("e2").isNull()
-    rule(1, both_ways("e", "z", "p"), F.lit(True), none)
-    rule(2, both_ways("e", "z"), tags, none)
-    rule(3, both_ways("z", also=near | lacking), tags, by_tag)
+    rule(1, met("e", "z", "p"), F.lit(True), none)
+    rule(2, met("e", "z"), tags, none)
+    rule(3, met("z", also=near | lacking), tags, by_tag)
     senses = classes.where("z is not null and e is not null").groupBy("e").agg(F.count_distinct(F.right("z", F.lit(1))).alias("senses"))
-    by_gloss = both_ways("e", also=one_null | tail).join(senses.withColumnRenamed("e", "e1").hint("merge"), "e1", "left")
+    by_gloss = met("e", also=one_null | tail).join(senses.withColumnRenamed("e", "e1").hint("merge"), "e1", "left")
     rule(4, by_gloss, tags & ((one_null & (F.coalesce("senses", F.lit(0)) <= 1)) | tail), none)
-    headless = classes.where(F.length("z") > 2).withColumn("t", F.expr("substring(z, 2)"))
-    whole = open_.where("z is not null and e is not null")
+    headless = state.where(F.length("z") > 2).withColumn("t", F.expr("substring(z, 2)"))
+    whole = state.where("z is not null and e is not null and open")
     alike = same_count & (F.size("toks1") > 1) & (distance.between(0, 2) | (first_close & (F.size(other_words) <= 1)))
     longer, shorter = hot.get("t", []), [(k, m, n) for k, n, m in hot.get("t", [])]
     tails = split_join(side(headless, 0), side(whole, 1), [("t1", "z2")], longer, ("c1", "c2"), alike).drop("t1")
     tails = tails.unionByName(split_join(side(whole, 0), side(headless, 1), [("z1", "t2")], shorter, ("c1", "c2"), alike).drop("t2"))
     rule(5, tails, tags, by_tag)
-    _typos(classes, open_, total, side, rule, tags, one_null, tail)
+    _typos(state, total, side, rule, tags, one_null, tail)
     every = reduce(DataFrame.unionByName, found)
     if labels is None:
         judged = _held_back(classes).unionByName(every.where("label is not null").groupBy("rule").agg(F.sum(F.col("label").cast("double")).alias("good"), F.count(F.lit(1)).cast("double").alias("all")))
@@ -203,7 +204,7 @@ def _held_back(classes: DataFrame) -> DataFrame:
     return by_tag.unionByName(by_pivot).where(F.col("all") > 0)
 
 
-def _typos(classes: DataFrame, open_: DataFrame, total: int, side, rule, tags: Column, one_null: Column, tail: Column) -> None:
+def _typos(classes: DataFrame, total: int, side, rule, tags: Column, one_null: Column, tail: Column) -> None:
     """Rule 6: an exact join on what one edit or one swap leaves of a gloss: the gloss without one letter, or one of its halves.
     All glosses of the two sides are joined, so that each knows every gloss as close; then their classes, of which one must be open."""
     word = classes.where("toks is not null").select("e", F.explode("toks").alias("token")).distinct().groupBy("token").agg(F.count(F.lit(1)).alias("k"))
@@ -230,10 +231,10 @@ def _typos(classes: DataFrame, open_: DataFrame, total: int, side, rule, tags: C
     near = cut(near.where((F.coalesce("ko", F.lit(1)) <= 1) | (F.col("ku") >= RARE * F.col("ko"))).select("e1", "toks1", "e2", "toks2", "own", "gloss", one("twin", 1).alias("twin")))
     alone = near.groupBy("own", "gloss").agg(F.min(one("e", 2)).alias("least"), F.max(one("e", 2)).alias("most")).where("least = most").select("own", "gloss")
     near = near.join(alone.hint("merge"), ["own", "gloss"])
-    marked = classes.join(open_.select("c", F.lit(True).alias("open")).hint("merge"), "c", "left").withColumn("open", F.coalesce("open", F.lit(False)))
-    got = near.join(side(marked, 0).hint("merge"), ["e1", "toks1"]).join(side(marked, 1).hint("merge"), ["e2", "toks2"])
+    got = near.join(side(classes, 0).hint("merge"), ["e1", "toks1"]).join(side(classes, 1).hint("merge"), ["e2", "toks2"])
     # a resolved class is mistyped only if its gloss stands in one list
     mistyped = tags & (one("open", 1) | ~F.col("twin"))
+    got = got.select("c1", "c2", "z1", "z2", "p1", "p2", "toks1", "toks2", "open1", "open2", "own", "twin")
     rule(6, got, mistyped & one_null & (F.col("open1") | F.col("open2")), F.when(~one_null & mistyped, tail))
 
 
