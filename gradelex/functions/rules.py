@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
+from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from gradelex.functions.text import UPOS, nfkd_plain, strip_ws
 
@@ -76,7 +80,22 @@ def gloss_pos(gloss: Column) -> Column:
 
 
 def token_estimate(text: Column) -> Column:
-    return F.greatest(F.lit(1), F.ceil(F.octet_length(text) / 4)).cast("bigint")
+    return F.when(text.isNotNull(), F.greatest(F.lit(1), F.ceil(F.octet_length(text) / 4))).cast("bigint")
+
+
+def token_count(text: Column, encoding: Callable[[], Any] | None = None) -> Column:
+    """Tokens of a text: those of an encoding, which a function that runs on the executors makes once (an object with encode_ordinary, as
+    tiktoken's), or the estimate where there is none. Null texts have none."""
+    if encoding is None:
+        return token_estimate(text)
+    made: list[Any] = []
+
+    def count(texts: pd.Series) -> pd.Series:
+        if not made:
+            made.append(encoding())
+        return pd.Series([None if t is None else len(made[0].encode_ordinary(t)) for t in texts], dtype="Int64")
+
+    return F.pandas_udf(count, LongType())(text)
 
 
 def duration(seconds: Column) -> Column:

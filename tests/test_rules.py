@@ -74,3 +74,18 @@ def test_unicode_functions_agree_with_python(spark):
         plain = "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
         folded = unicodedata.normalize("NFC", unicodedata.normalize("NFD", x.strip()).casefold())
         assert got == [unicodedata.normalize("NFC", x), x.casefold(), plain, folded, unicodedata.normalize("NFC", x.strip()).casefold()], ascii(x)
+
+
+class Letters:
+    """An encoding whose tokens are letters."""
+
+    def encode_ordinary(self, text):
+        return list(text)
+
+
+def test_token_count(spark):
+    from gradelex.functions import rules
+
+    df = spark.createDataFrame([("abcd efgh",), ("",), (None,)], "x string")
+    got = df.select(rules.token_count(df.x).alias("a"), rules.token_count(df.x, Letters).alias("b")).collect()
+    assert [tuple(r) for r in got] == [(3, 9), (1, 0), (None, None)]
