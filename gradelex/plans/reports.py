@@ -139,7 +139,7 @@ def blocked_tasks(spark, d):
     return reports.blocked_tasks(tasks, "cefr", "handcraft")
 
 
-@R.add("request_bodies", with_entry("SELECT ord, to_json({'model': 'm-' || level, 'messages': [{'role': 'system', 'content': 'Judge words.'}, {'role': 'user', 'content': 'Is ' || lemma || ' a ' || pos || ' for ' || english || '? {yes}'}], 'max_tokens': 100 + length(lemma)}) AS body FROM entry"))
+@R.add("request_bodies", with_entry("SELECT ord, to_json({'model': 'm-' || level, 'messages': [{'role': 'system', 'content': 'Judge words.'}, {'role': 'user', 'content': 'Is ' || lemma || ' a ' || pos || ' for ' || english || '? {yes}'}], 'max_tokens': 100 + length(lemma)})::VARCHAR AS body FROM entry"))
 def request_bodies(spark, d):
     prompt = responses.filled("Is {word} a {tag} for {gloss}? {yes}", word=F.col("lemma"), tag=F.col("pos"), gloss=F.col("english"))
     return entries(spark, d).select("ord", responses.request(F.concat(F.lit("m-"), "level"), F.lit("Judge words."), prompt, 100 + F.length("lemma")).alias("body"))
