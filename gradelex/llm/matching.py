@@ -90,7 +90,7 @@ def match_classes(left: DataFrame, left_id: str, right: DataFrame, right_id: str
     4 gloss, where a pivot is missing and the gloss has one sense only, or one pivot is the tail of the other;
     5 pivot against pivot without its first character, where the glosses are close or differ in one word after the first;
     6 gloss with one letter deleted, where a pivot is missing, the differing word is attested nowhere else or much more
-    rarely than the other's, and only one gloss is that close.
+    rarely than the other's, and only one gloss is that close; glosses of which one has a whole word more are not close.
     After each rule, resolved classes leave by an anti-join: later rules only pair classes of which one is still
     open. Tags must agree unless one is missing. Glosses are compared after frequent synonyms and typos, learnt from
     the records themselves, are replaced.
@@ -223,9 +223,12 @@ def _typos(classes: DataFrame, total: int, side, rule, tags: Column, one_null: C
     near = near.withColumn("own", F.explode(F.array(F.lit(1), F.lit(2))))
     one = lambda x, k: F.when(F.col("own") == k, F.col(f"{x}1")).otherwise(F.col(f"{x}2"))
     near = near.withColumn("gloss", one("e", 1))
-    # the words in which the two differ: one each, or none where only the place of a gap differs
-    mine, theirs = one("toks", 1), one("toks", 2)
-    near = near.withColumn("odd", F.array_except(mine, theirs)[0]).withColumn("usual", F.array_except(theirs, mine)[0])
+    # the first words in which the two differ, counted by place, as a gloss may repeat a word; none in a gloss that the words
+    # at either end cover: then the other has a whole word more, and neither is mistyped for the other
+    near = near.withColumns({"mine": one("toks", 1), "theirs": one("toks", 2)})
+    head, end = (F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False) - 1 for a, b in (("mine", "theirs"), (F.reverse("mine"), F.reverse("theirs"))))
+    first = lambda x: F.when(head + end < F.size(x), F.get(x, head.cast("int")))
+    near = near.withColumn("odd", first("mine")).withColumn("usual", first("theirs")).where("odd is not null and usual is not null")
     often = lambda token, k: word.select(F.col("token").alias(token), F.col("k").alias(k)).hint("merge")
     near = near.join(often("odd", "ko"), "odd", "left").join(often("usual", "ku"), "usual", "left")
     near = cut(near.where((F.coalesce("ko", F.lit(1)) <= 1) | (F.col("ku") >= RARE * F.col("ko"))).select("e1", "toks1", "e2", "toks2", "own", "gloss", one("twin", 1).alias("twin")))

@@ -41,6 +41,13 @@ def test_typos(spark):
     assert (0, 0) in got and (0, 1) in got and (1, 2) in got
 
 
+def test_typos_beside_repeated_and_further_words(spark):
+    sv = [("buy window window", "买窗窗", "NOUN"), ("thin fire fire", "薄火火", "NOUN"), ("long ring", "长戒指", "NOUN"), ("cold ka kata", "冷卡塔", "NOUN")]
+    fr = [("buy window windoww", None, "NOUN"), ("thin fier fire", None, "NOUN"), ("long x ring", None, "NOUN"), ("cold kata ka", None, "NOUN")]
+    # a letter that stands alone is a word more, and the same words in another order are no typo
+    assert pairs(run(spark, sv, fr)) == [(0, 0), (1, 1)]
+
+
 ADJECTIVES = ["quiet", "cold", "rare", "heavy", "empty", "simple"]
 NOUNS = ["apple", "river", "engine", "window", "bottle", "garden"]
 
